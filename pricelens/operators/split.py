@@ -52,13 +52,13 @@ def first_k_threshold(df: DataFrame, score: Column, key: Column, k: int) -> Thre
     if k <= 0:
         return Threshold(0, None, None)
     scored = df.select(score.alias("_s"), key.cast("string").alias("_k"))
-    top = scored.groupBy((F.col("_s") >> 16).alias("_b")).count().collect()  # <= 65,536 rows
+    top = scored.groupBy(F.shiftright(F.col("_s"), 16).alias("_b")).count().collect()  # <= 65,536 rows
     total = sum(r["count"] for r in top)
     if k >= total:
         mx = scored.agg(F.max("_s")).first()[0]
         return Threshold(total, int(mx), None)
     bucket, before = _cumulative_cross([(r["_b"], r["count"]) for r in top], k)
-    inner = scored.filter((F.col("_s") >> 16) == bucket).groupBy("_s").count().collect()  # <= 65,536 rows
+    inner = scored.filter(F.shiftright(F.col("_s"), 16) == bucket).groupBy("_s").count().collect()  # <= 65,536 rows
     value, before2 = _cumulative_cross([(r["_s"], r["count"]) for r in inner], k - before)
     need = k - before - before2
     ties = [r for r in inner if r["_s"] == value][0]["count"]

@@ -112,7 +112,7 @@ def device_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
         (c("p_retailprice") / 1000.0).alias("cpu_base_ghz"),
         (c("p_retailprice") / 500.0).alias("cpu_boost_ghz"),
         (c("l_quantity") / 4.0).alias("display_size_in"),
-        (c("o_totalprice") / 100000.0).alias("weight_kg"),
+        (c("o_totalprice") / 10000.0).alias("weight_kg"),
         planted_target("row_key").alias("price"),
     )
 
@@ -151,7 +151,7 @@ SELECT row_key AS ID,
        l_discount * 100.0::DOUBLE AS battery_wh, l_discount * 50.0::DOUBLE AS charger_watts,
        l_tax * 100.0::DOUBLE AS psu_watts,
        p_retailprice / 1000.0::DOUBLE AS cpu_base_ghz, p_retailprice / 500.0::DOUBLE AS cpu_boost_ghz,
-       l_quantity / 4.0::DOUBLE AS display_size_in, o_totalprice / 100000.0::DOUBLE AS weight_kg,
+       l_quantity / 4.0::DOUBLE AS display_size_in, o_totalprice / 10000.0::DOUBLE AS weight_kg,
        {planted_target_sql('row_key')} AS price
 FROM (SELECT *, {ROW_KEY_SQL} AS row_key
       FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey) j"""
