@@ -47,26 +47,54 @@ def _cumulative_cross(rows: list[tuple[int, int]], k: int) -> tuple[int, int]:
     raise ValueError("k exceeds row count")
 
 
-def first_k_threshold(df: DataFrame, score: Column, key: Column, k: int) -> Threshold:
-    """Exact threshold for the k smallest rows by (score, key); score in [0, 2^32)."""
-    if k <= 0:
-        return Threshold(0, None, None)
+def first_k_thresholds(df: DataFrame, score: Column, key: Column, ks: list[int]) -> list[Threshold]:
+    """Exact thresholds for the k smallest rows by (score, key), for several k at once.
+
+    score must lie in [0, 2^32). Two bounded histogram passes serve every k:
+    counts per top-16-bit bucket, then counts per full score inside the
+    buckets that contain a boundary. Hash ties at a boundary (a handful of
+    rows) are ordered by key in a third, tiny pass.
+    """
     scored = df.select(score.alias("_s"), key.cast("string").alias("_k"))
     top = scored.groupBy(F.shiftright(F.col("_s"), 16).alias("_b")).count().collect()  # <= 65,536 rows
     total = sum(r["count"] for r in top)
-    if k >= total:
-        mx = scored.agg(F.max("_s")).first()[0]
-        return Threshold(total, int(mx), None)
-    bucket, before = _cumulative_cross([(r["_b"], r["count"]) for r in top], k)
-    inner = scored.filter(F.shiftright(F.col("_s"), 16) == bucket).groupBy("_s").count().collect()  # <= 65,536 rows
-    value, before2 = _cumulative_cross([(r["_s"], r["count"]) for r in inner], k - before)
-    need = k - before - before2
-    ties = [r for r in inner if r["_s"] == value][0]["count"]
-    if need == ties:
-        return Threshold(k, int(value), None)
-    # Hash ties at the threshold are ordered by key; they are a handful of rows.
-    keys = scored.filter(F.col("_s") == value).select("_k").orderBy("_k").limit(need).collect()
-    return Threshold(k, int(value), keys[-1]["_k"])
+    tops = [(r["_b"], r["count"]) for r in top]
+    plan = {}
+    for k in ks:
+        if 0 < k < total:
+            plan[k] = _cumulative_cross(tops, k)
+    buckets = sorted({b for b, _ in plan.values()})
+    inner_rows = []
+    if buckets:
+        inner_rows = (scored.filter(F.shiftright(F.col("_s"), 16).isin(buckets))
+                      .groupBy("_s").count().collect())  # <= 65,536 rows per boundary bucket
+    by_bucket: dict[int, list[tuple[int, int]]] = {}
+    for r in inner_rows:
+        by_bucket.setdefault(r["_s"] >> 16, []).append((r["_s"], r["count"]))
+    out = []
+    for k in ks:
+        if k <= 0:
+            out.append(Threshold(0, None, None))
+            continue
+        if k >= total:
+            out.append(Threshold(total, (1 << 32) - 1, None))
+            continue
+        bucket, before = plan[k]
+        rows = by_bucket[bucket]
+        value, before2 = _cumulative_cross(rows, k - before)
+        need = k - before - before2
+        ties = dict(rows)[value]
+        if need == ties:
+            out.append(Threshold(k, int(value), None))
+        else:
+            keys = scored.filter(F.col("_s") == value).select("_k").orderBy("_k").limit(need).collect()
+            out.append(Threshold(k, int(value), keys[-1]["_k"]))
+    return out
+
+
+def first_k_threshold(df: DataFrame, score: Column, key: Column, k: int) -> Threshold:
+    """Exact threshold for the k smallest rows by (score, key); score in [0, 2^32)."""
+    return first_k_thresholds(df, score, key, [k])[0]
 
 
 # -- SP1 / SP3 ------------------------------------------------------------------
@@ -134,11 +162,11 @@ def nested_prefixes(df: DataFrame, sizes: list[int], n_val: int, key: str = "ID"
     """
     h = hash_int(seed, F.col(key))
     kc = F.col(key)
-    val_t = first_k_threshold(df, h, kc, n_val)
-    role = F.when(val_t.mask(h, kc), "val").otherwise("pool")
+    order = sorted(sizes, reverse=True)
+    ts = first_k_thresholds(df, h, kc, [n_val] + [n_val + s for s in order])
+    role = F.when(ts[0].mask(h, kc), "val").otherwise("pool")
     size_expr = F.lit(None).cast("int")
-    for s in sorted(sizes, reverse=True):
-        t = first_k_threshold(df, h, kc, n_val + s)
+    for s, t in zip(order, ts[1:]):
         size_expr = F.when(t.mask(h, kc), F.lit(s)).otherwise(size_expr)
     return df.withColumn("role", role).withColumn("min_size", F.when(role == "pool", size_expr))
 
