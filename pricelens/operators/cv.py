@@ -51,14 +51,20 @@ def train_val_gap(df: DataFrame, role: str = "role", y: str = "y", p: str = "pre
 # Prediction tables
 # ----------------------------------------------------------------------------
 def cv_predictions_closed(df: DataFrame, spec: dict, key: str = "ID", target: str = "price", k: int = 5,
-                          seed: int = 42, repeats: int = 1, roles=("train", "val")) -> DataFrame:
-    """Prediction table of a closed-form model: all folds fitted by one aggregation."""
+                          seed: int = 42, repeats: int = 1, roles=("train", "val"),
+                          carry: list[str] | None = None) -> DataFrame:
+    """Prediction table of a closed-form model: all folds fitted by one aggregation.
+
+    ``carry`` columns ride along to the output (no join back to the source).
+    """
     need = {spec.get("level")} | set(spec.get("levels", [])) - {None}
-    cols = [key, target] + sorted(c for c in need if c)
-    folded = assign_folds(df.select(*cols), key, k, seed, repeats)
+    levels = sorted(c for c in need if c)
+    extra = [c for c in (carry or []) if c not in levels]
+    folded = assign_folds(df.select(key, target, *levels, *extra), key, k, seed, repeats)
     model = fit_closed_form(spec, cv_train_view(folded, k), ["repeat", "f"], target)
     scored = model.predict(cv_score_view(folded, k, roles), "pred")
-    return scored.select(key, "repeat", F.col("f").alias("fold"), "role", F.col(target).alias("y"), "pred")
+    return scored.select(key, "repeat", F.col("f").alias("fold"), "role", F.col(target).alias("y"), "pred",
+                         *(carry or []))
 
 
 def cv_predictions_estimator(df: DataFrame, make_estimator: Callable[[], object], key: str = "ID",
