@@ -5,7 +5,7 @@ import importlib
 
 from .registry import ORACLE, QUERIES
 
-_MODULES = ["q_core", "q_models", "q_encode", "q_diag"]
+_MODULES = ["q_core", "q_models", "q_encode", "q_diag", "q_audit"]
 
 
 def load_all() -> None:
