@@ -5,7 +5,7 @@ import importlib
 
 from .registry import ORACLE, QUERIES
 
-_MODULES = ["q_core", "q_models", "q_encode", "q_diag", "q_audit"]
+_MODULES = ["q_core", "q_models", "q_encode", "q_diag", "q_audit", "q_blend"]
 
 
 def load_all() -> None:
