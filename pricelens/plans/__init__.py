@@ -5,7 +5,7 @@ import importlib
 
 from .registry import ORACLE, QUERIES
 
-_MODULES = ["q_core", "q_models", "q_encode", "q_diag", "q_audit", "q_blend", "q_ml", "q_explain"]
+_MODULES = ["q_core", "q_models", "q_encode", "q_diag", "q_audit", "q_blend", "q_ml", "q_explain", "q_score"]
 
 
 def load_all() -> None:
