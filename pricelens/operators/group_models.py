@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ class GroupModel:
 
     def predict(self, rows: DataFrame, out: str = "pred") -> DataFrame:
         res = rows.join(F.broadcast(self.intercept), self.mid, "left")  # size = number of models
-        total = F.col("b")
+        total = F.col("_b")
         for lvl, tab in self.effects.items():
             ecol = f"e_{lvl}"
             res = res.join(tab, self.mid + [lvl], "left")
@@ -64,12 +65,12 @@ class GroupModel:
 
 def fit_mean(train: DataFrame, mid: list[str], target: str) -> GroupModel:
     """MD1: DummyRegressor('mean')."""
-    return GroupModel(mid, train.groupBy(*mid).agg(F.avg(target).alias("b")))
+    return GroupModel(mid, train.groupBy(*mid).agg(F.avg(target).alias("_b")))
 
 
 def fit_median(train: DataFrame, mid: list[str], target: str) -> GroupModel:
     """MD2: DummyRegressor('median'): exact median, middle pair averaged (T2)."""
-    return GroupModel(mid, train.groupBy(*mid).agg(F.percentile(target, 0.5).alias("b")))
+    return GroupModel(mid, train.groupBy(*mid).agg(F.percentile(target, 0.5).alias("_b")))
 
 
 def fit_one_factor_ridge(train: DataFrame, mid: list[str], target: str, level: str, alpha: float) -> GroupModel:
@@ -79,39 +80,45 @@ def fit_one_factor_ridge(train: DataFrame, mid: list[str], target: str, level: s
     """
     cells = (train.groupBy(*mid, level).agg(F.count(F.lit(1)).alias("n"), F.avg(target).alias("ybar"))
              .withColumn("w", F.col("n") / (F.col("n") + F.lit(float(alpha)))))
-    b = cells.groupBy(*mid).agg((F.sum(F.col("w") * F.col("ybar")) / F.sum("w")).alias("b"))
+    b = cells.groupBy(*mid).agg((F.sum(F.col("w") * F.col("ybar")) / F.sum("w")).alias("_b"))
     eff = (cells.join(F.broadcast(b), mid)
-           .select(*mid, level, (F.col("w") * (F.col("ybar") - F.col("b"))).alias(f"e_{level}")))
+           .select(*mid, level, (F.col("w") * (F.col("ybar") - F.col("_b"))).alias(f"e_{level}")))
     return GroupModel(mid, b, {level: eff})
 
 
 def fit_backfit(train: DataFrame, mid: list[str], target: str, levels: list[str], lam: float,
-                sweeps: int = 3, checkpoint_every: int = 0) -> GroupModel:
+                sweeps: int = 3) -> GroupModel:
     """MD17 re-aimed: cyclic backfitting of a one-feature-per-term additive model.
 
     Intercept fixed at the training mean; each step refits one feature's level
     effects on the partial residual, shrunk as sum(r) / (n + lam). Additive by
-    construction. ``checkpoint_every`` cuts the lineage every so many sweeps
-    (reliable checkpoint into spark.checkpoint.dir) for long runs.
+    construction.
+
+    The training rows stay fixed (persisted for the sweeps) and each step joins
+    them only to the *current* effect tables of the other features. Every new
+    effect table (model ids x levels rows) is cut from its lineage with a
+    reliable checkpoint into spark.checkpoint.dir, so the plan stays the same
+    size however many sweeps run (re-joining derived rows would double the
+    plan at every step).
     """
-    b = train.groupBy(*mid).agg(F.avg(target).alias("b"))
-    rows = train.select(*mid, *levels, target).join(F.broadcast(b), mid)
-    for lvl in levels:
-        rows = rows.withColumn(f"e_{lvl}", F.lit(0.0))
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(train.sparkSession)
+    b = train.groupBy(*mid).agg(F.avg(target).alias("_b")).checkpoint()
+    base = train.select(*mid, *levels, target).join(F.broadcast(b), mid).persist(StorageLevel.MEMORY_AND_DISK)
     effects: dict[str, DataFrame] = {}
-    for sweep in range(sweeps):
-        for lvl in levels:
-            others = [F.col(f"e_{o}") for o in levels if o != lvl]
-            resid = F.col(target) - F.col("b")
-            for o in others:
-                resid = resid - o
-            tab = (rows.groupBy(*mid, lvl)
-                   .agg((F.sum(resid) / (F.count(F.lit(1)) + F.lit(float(lam)))).alias(f"e_{lvl}")))
-            effects[lvl] = tab
-            rows = rows.drop(f"e_{lvl}").join(tab, mid + [lvl], "left")
-        if checkpoint_every and (sweep + 1) % checkpoint_every == 0:
-            rows = rows.checkpoint()
-            effects = {lv: t.checkpoint() for lv, t in effects.items()}
+    try:
+        for _ in range(sweeps):
+            for lvl in levels:
+                rows, resid = base, F.col(target) - F.col("_b")
+                for o in levels:
+                    if o != lvl and o in effects:
+                        rows = rows.join(effects[o], mid + [o], "left")
+                        resid = resid - F.coalesce(F.col(f"e_{o}"), F.lit(0.0))
+                tab = (rows.groupBy(*mid, lvl)
+                       .agg((F.sum(resid) / (F.count(F.lit(1)) + F.lit(float(lam)))).alias(f"e_{lvl}")))
+                effects[lvl] = tab.checkpoint()
+    finally:
+        base.unpersist()
     return GroupModel(mid, b, effects)
 
 
@@ -122,7 +129,7 @@ def fit_log_group_mean(train: DataFrame, mid: list[str], target: str, level: str
     """
     logged = train.withColumn("_ly", F.log(F.col(target)))
     cells = logged.groupBy(*mid, level).agg(F.avg("_ly").alias(f"e_{level}"))
-    model = GroupModel(mid, logged.groupBy(*mid).agg(F.lit(0.0).alias("b")), {level: cells})
+    model = GroupModel(mid, logged.groupBy(*mid).agg(F.lit(0.0).alias("_b")), {level: cells})
     fitted = model.predict(logged, "_fit")
     smear = fitted.groupBy(*mid).agg(F.avg(F.exp(F.col("_ly") - F.col("_fit"))).alias("smear"))
     return model, smear

@@ -101,6 +101,8 @@ def ridge_scan(d, cfg, kind, alphas, k=5, seed=42, pairs=()):
     each); the result tables are tiny and are checkpointed into the shared
     checkpoint folder so the cached rows can be released.
     """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(d.sparkSession)
     folded = assign_folds(d, "ID", k, seed)
     fe = FeatureEngineer.of(cfg, pairs).fit(folded)
     feats = fe.feature_names()

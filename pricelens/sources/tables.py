@@ -68,7 +68,11 @@ def line_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part")
     orders = read_table(spark, sf_dir, "orders")
     j = li.join(part, li.l_partkey == part.p_partkey).join(orders, li.l_orderkey == orders.o_orderkey)
-    key = F.concat_ws(":", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
+    # (orderkey, linenumber, partkey, suppkey) repeats in the smallest table; the price in cents
+    # (an integer, printed identically by every engine) makes the key unique
+    cents = F.round(F.col("l_extendedprice") * 100.0).cast("long")
+    key = F.concat_ws(":", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
+                      cents.cast("string"))
     return j.withColumn("row_key", key)
 
 
@@ -122,7 +126,8 @@ def device_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------------------------------
 ROW_KEY_SQL = (
     "CAST(l_orderkey AS VARCHAR) || ':' || CAST(l_linenumber AS VARCHAR) || ':' || "
-    "CAST(l_partkey AS VARCHAR) || ':' || CAST(l_suppkey AS VARCHAR)"
+    "CAST(l_partkey AS VARCHAR) || ':' || CAST(l_suppkey AS VARCHAR) || ':' || "
+    "CAST(CAST(round(l_extendedprice * 100.0) AS BIGINT) AS VARCHAR)"
 )
 
 
