@@ -153,6 +153,46 @@ def residual_correlation(wide: DataFrame, members: list[str]) -> DataFrame:
     return r.select(F.explode(F.array(*pairs)).alias("_p")).select("_p.*")
 
 
+STACK_ALPHAS = (0.01, 0.1, 1.0, 10.0)
+
+
+def stacking(wide: DataFrame, members: list[str], alphas=STACK_ALPHAS) -> DataFrame:
+    """BL3: ridge meta-learner with intercept over member OOF predictions, alpha chosen by
+    exact leave-one-out error.
+
+    One aggregation gives the sufficient statistics; for each alpha the LOO
+    residual is e_i / (1 - h_i) with h_i = 1/n + (x_i - m)' (C + alpha I)^-1 (x_i - m),
+    evaluated for every alpha in one pass (k x k matrices as literals, k <= 10).
+    Output: (member, coef) sorted by coef desc, with alpha, intercept and loo_rmse.
+    """
+    k = len(members)
+    G, b, yy, n = gram(wide, members)
+    sums = wide.agg(*[F.sum(m).alias(m) for m in members], F.sum("y").alias("y")).first()
+    mx = np.array([sums[m] for m in members]) / n
+    my = sums["y"] / n
+    C = G - n * np.outer(mx, mx)
+    cy = b - n * mx * my
+    fits = []
+    for a in alphas:
+        ainv = np.linalg.inv(C + a * np.eye(k))
+        w = ainv @ cy
+        fits.append((a, w, float(my - mx @ w), ainv))
+    aggs = []
+    for i, (a, w, b0, ainv) in enumerate(fits):
+        xc = [F.col(m) - F.lit(float(mx[j])) for j, m in enumerate(members)]
+        quad = sum((F.lit(float(ainv[p, q])) * xc[p] * xc[q] for p in range(k) for q in range(k)), F.lit(0.0))
+        h = F.lit(1.0 / n) + quad
+        e = F.col("y") - F.lit(b0) - sum((F.lit(float(w[j])) * F.col(m) for j, m in enumerate(members)), F.lit(0.0))
+        aggs.append(F.avg(F.pow(e / (F.lit(1.0) - h), 2)).alias(f"loo{i}"))
+    loo = wide.agg(*aggs).first()
+    best = min(range(len(fits)), key=lambda i: loo[f"loo{i}"])
+    a, w, b0, _ = fits[best]
+    rows = sorted(((m, round(float(c), 4)) for m, c in zip(members, w)), key=lambda t: -t[1])
+    spark = wide.sparkSession
+    return spark.createDataFrame([(m, c, float(a), float(b0), float(np.sqrt(loo[f"loo{best}"]))) for m, c in rows],
+                                 "member string, coef double, alpha double, intercept double, loo_rmse double")
+
+
 class WeightedEnsemble:
     """BL2: members (fit(df) -> model with transform(df) adding ``prediction``) blended with
     fixed (normalised) weights, or weights learned by BL1 on internal k-fold OOF of the

@@ -151,6 +151,28 @@ def test_nnls_matches_brute_force():
     assert np.sum((y - X @ w) ** 2) == pytest.approx(best, rel=1e-10)
 
 
+def test_stacking_loo_matches_brute_force(spark):
+    rng = np.random.default_rng(6)
+    a = rng.normal(10, 2, 60)
+    bb = a + rng.normal(0, 1, 60)
+    y = 0.6 * a + 0.3 * bb + 2 + rng.normal(0, 0.5, 60)
+    wide = spark.createDataFrame([(float(u), float(v), float(t)) for u, v, t in zip(a, bb, y)], "a double, b double, y double")
+    out = bl.stacking(wide, ["a", "b"], alphas=(0.1, 10.0)).collect()
+    alpha = out[0]["alpha"]
+    X = np.column_stack([a, bb])
+
+    def fit(Xt, yt):
+        m, my = Xt.mean(0), yt.mean()
+        w = np.linalg.solve((Xt - m).T @ (Xt - m) + alpha * np.eye(2), (Xt - m).T @ (yt - my))
+        return w, my - m @ w
+    errs = []
+    for i in range(60):
+        keep = np.arange(60) != i
+        w, b0 = fit(X[keep], y[keep])
+        errs.append(y[i] - b0 - X[i] @ w)
+    assert out[0]["loo_rmse"] == pytest.approx(float(np.sqrt(np.mean(np.square(errs)))), rel=1e-8)
+
+
 def test_weighted_blend_is_linear(spark):
     wide = spark.createDataFrame([(float(i), float(i) * 2, float(i) + 1) for i in range(10)], "a double, b double, y double")
     r = bl.blended(wide, ["a", "b"], [0.25, 0.75]).select("pred").collect()
