@@ -60,10 +60,34 @@ def average_ranks(df: DataFrame, cols: list[str]) -> DataFrame:
     return counts.select("col_name", "v", (before + (F.col("c") + 1) / 2.0).alias("rank"))
 
 
+RANK_CHUNKS = 256
+
+
 def _rank_table(lv: DataFrame, value: str, out: str) -> DataFrame:
+    """(col_name, value, average rank) from per-value counts, without one window over a whole column.
+
+    Values are cut into <= RANK_CHUNKS contiguous chunks per column at
+    approximate-quantile boundaries (any boundaries keep the ranks exact);
+    chunk totals get an exclusive prefix (a window over <= RANK_CHUNKS rows
+    per column) and the running count runs inside (column, chunk) only, so a
+    continuous column is spread over many tasks.
+    """
     counts = lv.groupBy("col_name", value).agg(F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy("col_name").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select("col_name", value, (F.coalesce(F.sum("c").over(w), F.lit(0)) + (F.col("c") + 1) / 2.0).alias(out))
+    probs = [i / RANK_CHUNKS for i in range(1, RANK_CHUNKS)]
+    bounds = {r["col_name"]: sorted(set(r["b"] or [])) for r in
+              counts.groupBy("col_name").agg(F.percentile_approx(value, probs, 10000).alias("b")).collect()}
+    chunk = F.lit(0)
+    for c, bs in bounds.items():
+        arr = F.array(*[F.lit(float(b)) for b in bs]) if bs else F.array().cast("array<double>")
+        chunk = F.when(F.col("col_name") == c, F.size(F.filter(arr, lambda b: b < F.col(value)))).otherwise(chunk)
+    counts = counts.withColumn("_ch", chunk)
+    tot = counts.groupBy("col_name", "_ch").agg(F.sum("c").alias("_t"))
+    wc = Window.partitionBy("col_name").orderBy("_ch").rowsBetween(Window.unboundedPreceding, -1)
+    tot = tot.select("col_name", "_ch", F.coalesce(F.sum("_t").over(wc), F.lit(0)).alias("_pre"))
+    wv = Window.partitionBy("col_name", "_ch").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    inner = counts.select("col_name", "_ch", value, "c", F.coalesce(F.sum("c").over(wv), F.lit(0)).alias("_in"))
+    j = inner.join(tot, ["col_name", "_ch"])
+    return j.select("col_name", value, (F.col("_pre") + F.col("_in") + (F.col("c") + 1) / 2.0).alias(out))
 
 
 def spearman_with_target(df: DataFrame, cols: list[str], target: str = "price") -> DataFrame:
@@ -115,8 +139,9 @@ def variance_ratio(df: DataFrame, cols: list[str], target: str = "price") -> Dat
 
 def conditional_variance_ratio(df: DataFrame, col: str, cond: str, target: str = "price") -> DataFrame:
     """AU9: AU8 on y minus its ``cond``-group mean, grouping by (cond, col) cells."""
-    w = Window.partitionBy(cond)
-    r = df.select(cond, col, (F.col(target) - F.avg(target).over(w)).alias("_r"))
+    # group means by aggregation + join (a window over a hot group would sit in one task)
+    means = df.groupBy(cond).agg(F.avg(target).alias("_gm"))
+    r = df.select(cond, col, target).join(means, cond).select(cond, col, (F.col(target) - F.col("_gm")).alias("_r"))
     cells = r.withColumn("_cell", F.concat_ws("|", F.col(cond).cast("string"), F.col(col).cast("string")))
     out = variance_ratio(cells.select("_cell", "_r"), ["_cell"], "_r")
     return out.withColumn("col_name", F.lit(f"{col}|{cond}"))

@@ -63,9 +63,11 @@ def missing_sentinel(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def most_frequent(train: DataFrame, cols: list[str]) -> DataFrame:
     """EN3: (column, value, n): most frequent non-null value per column; ties -> smallest label."""
+    # pure aggregations: max count per column, then the smallest label holding it (no window)
     counts = long_values(train, cols).filter(F.col("value").isNotNull()).groupBy("col_name", "value").count()
-    w = Window.partitionBy("col_name").orderBy(F.col("count").desc(), F.col("value").asc())
-    return counts.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select("col_name", "value", F.col("count").alias("n"))
+    top = counts.groupBy("col_name").agg(F.max("count").alias("n"))
+    return (counts.join(top, "col_name").filter(F.col("count") == F.col("n"))
+            .groupBy("col_name").agg(F.min("value").alias("value"), F.first("n").alias("n")))
 
 
 def impute_text(df: DataFrame, modes: dict[str, str]) -> DataFrame:
