@@ -90,20 +90,43 @@ def ridge_cv_scan(encoded: DataFrame, p: int, alphas: list[float], key: str = "I
         tr = complement(total, grams[f])
         for a in alphas:
             coefs[(f, a)] = ridge_solve(tr, a)
-    # coefficients travel as one literal array of (f, alpha, w, b) structs (folds x alphas x p numbers,
-    # independent of n); each row explodes into one scoring row per (fold model, alpha): no join
-    coef_arr = F.array(*[F.struct(F.lit(int(f)).alias("f"), F.lit(float(a)).alias("alpha"),
-                                  F.lit([float(v) for v in w]).alias("w"), F.lit(float(b)).alias("b"))
-                         for (f, a), (w, b) in coefs.items()])
-    rows = encoded.select(F.col(y).cast("double").alias("_y"), F.col(fold).cast("int").alias("_fold"),
-                          vector_to_array(F.col(features)).alias("_x"))
-    scored = rows.select("_y", "_fold", "_x", F.explode(coef_arr).alias("_c")).select("_y", "_fold", "_x", "_c.*")
-    dot = F.aggregate(F.zip_with("_x", "w", lambda u, v: u * v), F.lit(0.0), lambda acc, t: acc + t)
-    scored = scored.select("_y", "f", "alpha", F.when(F.col("f") == F.col("_fold"), "val").otherwise("train").alias("role"),
-                           (dot + F.col("b")).alias("_p"))
-    err = F.col("_y") - F.col("_p")
-    return scored.groupBy("alpha", F.col("f").alias("fold"), "role").agg(
-        F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(err * err)).alias("rmse"), F.avg(F.abs(err)).alias("mae"))
+    # scoring: one pass; each task multiplies its rows by the (fold models x alphas) coefficient
+    # matrix (m x p, shipped with the task) and emits only partial sums (n, SSE, SAE) per
+    # (model, alpha, role) -- output bounded by tasks x m x 2, exact RMSE / MAE after the sum
+    keys = list(coefs)
+    W = np.stack([coefs[k][0] for k in keys])
+    B = np.array([coefs[k][1] for k in keys])
+    fid = np.array([k[0] for k in keys])
+    rows = encoded.select(vector_to_array(F.col(features)).alias("x"), F.col(y).cast("double").alias("y"),
+                          F.col(fold).cast("int").alias("fold"))
+    schema = "f int, alpha double, role string, n long, sse double, sae double"
+    part = rows.mapInPandas(_score_partials(keys, W, B, fid), schema)
+    g = part.groupBy("alpha", F.col("f").alias("fold"), "role").agg(
+        F.sum("n").alias("n"), F.sum("sse").alias("_sse"), F.sum("sae").alias("_sae"))
+    return g.select("alpha", "fold", "role", "n", F.sqrt(F.col("_sse") / F.col("n")).alias("rmse"),
+                    (F.col("_sae") / F.col("n")).alias("mae"))
+
+
+def _score_partials(keys, W, B, fid):
+    def fn(it):
+        m = len(keys)
+        acc = np.zeros((m, 2, 3))
+        for pdf in it:
+            if pdf.empty:
+                continue
+            X = np.stack(pdf["x"].to_numpy()).astype(float)
+            yv = pdf["y"].to_numpy(dtype=float)
+            fo = pdf["fold"].to_numpy()
+            E = yv[:, None] - (X @ W.T + B)
+            val = fo[:, None] == fid[None, :]
+            for role, mask in ((0, ~val), (1, val)):
+                acc[:, role, 0] += mask.sum(axis=0)
+                acc[:, role, 1] += (E * E * mask).sum(axis=0)
+                acc[:, role, 2] += (np.abs(E) * mask).sum(axis=0)
+        out = [(int(k[0]), float(k[1]), "val" if r else "train", int(acc[i, r, 0]), float(acc[i, r, 1]), float(acc[i, r, 2]))
+               for i, k in enumerate(keys) for r in (0, 1) if acc[i, r, 0] > 0]
+        yield pd.DataFrame(out, columns=["f", "alpha", "role", "n", "sse", "sae"])
+    return fn
 
 
 def scan_summary(scan: DataFrame, by: list[str] | None = None) -> DataFrame:

@@ -135,6 +135,20 @@ def q_md20(spark, sf_dir):
     return rounded(ln.scan_summary(ridge_scan(d, FeatureConfig(), "levels_plus", ALPHAS, k=3)))
 
 
+@query("cv1_ridge_onehot_5fold")
+def q_cv1_onehot(spark, sf_dir):
+    """The reference's headline linear run: ridge | onehot, alpha 10, 5 folds (CV1 summary)."""
+    d = device_frame(spark, sf_dir)
+    return rounded(ln.scan_summary(ridge_scan(d, FeatureConfig(), "onehot", [10.0], k=5)))
+
+
+@query("cv1_ridge_levels_plus_5fold")
+def q_cv1_lp(spark, sf_dir):
+    """The saturated additive design: ridge | levels_plus, alpha 100, 5 folds (CV1 summary)."""
+    d = device_frame(spark, sf_dir)
+    return rounded(ln.scan_summary(ridge_scan(d, FeatureConfig(), "levels_plus", [100.0], k=5)))
+
+
 VARIANTS = {
     "base": FeatureConfig(),
     "-model_decomp": FeatureConfig(model_decomp=False),
