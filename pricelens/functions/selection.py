@@ -135,6 +135,107 @@ def exact_quantiles(df: DataFrame, col: Column, probs: list[float]) -> list[floa
     return out
 
 
+def grouped_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list[float | None]]:
+    """Exact linear-interpolation quantiles of several columns at once (e.g. every median of a design).
+
+    Runs the same histogram refinement on a long (column, value) view: every
+    pass serves every open (column, rank) pair, so the number of passes does
+    not grow with the number of columns, and no task ever holds a column's
+    distinct values (unlike an exact ``percentile`` aggregate).
+    """
+    arr = F.array(*[F.struct(F.lit(c).alias("_g"), F.col(c).cast("double").alias("_x")) for c in cols])
+    long = (df.select(F.explode(arr).alias("_p")).select("_p._g", "_p._x")
+            .filter(F.col("_x").isNotNull() & ~F.isnan("_x")).persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        st = {r["_g"]: r for r in long.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"),
+                                                       F.max("_x").alias("hi")).collect()}  # one row per column
+        open_: dict[tuple[str, int], tuple[float, float, int]] = {}
+        for c in cols:
+            if c not in st:
+                continue
+            n = st[c]["n"]
+            for p in probs:
+                pos = p * (n - 1)
+                for k in (int(math.floor(pos)) + 1, int(math.ceil(pos)) + 1):
+                    open_[(c, k)] = (st[c]["lo"], st[c]["hi"], k)
+        found = _refine(long, open_)
+    finally:
+        long.unpersist()
+    out: dict[str, list[float | None]] = {}
+    for c in cols:
+        if c not in st:
+            out[c] = [None for _ in probs]
+            continue
+        n, vals = st[c]["n"], []
+        for p in probs:
+            pos = p * (n - 1)
+            lo, hi = found[(c, int(math.floor(pos)) + 1)], found[(c, int(math.ceil(pos)) + 1)]
+            vals.append(lo if lo == hi else lo + (hi - lo) * (pos - math.floor(pos)))
+        out[c] = vals
+    return out
+
+
+def _refine(long: DataFrame, open_: dict) -> dict:
+    """Histogram refinement over a long (_g, _x) view for open {(group, rank): (lo, hi, rank-in-interval)}."""
+    found = {}
+    for _ in range(MAX_PASSES):
+        for key, (lo, hi, r) in list(open_.items()):
+            if lo == hi:
+                found[key] = lo
+                del open_[key]
+        if not open_:
+            break
+        ids = sorted(open_, key=str)
+        sel = []
+        for i, key in enumerate(ids):
+            lo, hi, _ = open_[key]
+            w = (hi - lo) / BUCKETS
+            b = F.least(F.floor((F.col("_x") - F.lit(lo)) / F.lit(w)), F.lit(BUCKETS - 1)).cast("int")
+            cond = (F.col("_g") == F.lit(key[0])) & (F.col("_x") >= lo) & (F.col("_x") <= hi)
+            sel.append(F.when(cond, F.struct(F.lit(i).alias("t"), b.alias("b"))))
+        hist = (long.select(F.explode(F.filter(F.array(*sel), lambda e: e.isNotNull())).alias("_e"), "_x")
+                .groupBy("_e.t", "_e.b").agg(F.count(F.lit(1)).alias("c"), F.min("_x").alias("mn"), F.max("_x").alias("mx"))
+                .collect())  # <= BUCKETS rows per open rank
+        by_t: dict[int, list] = {}
+        for h in hist:
+            by_t.setdefault(h["t"], []).append(h)
+        small = []
+        for i, key in enumerate(ids):
+            lo, hi, r = open_[key]
+            acc = 0
+            for h in sorted(by_t[i], key=lambda h: h["b"]):
+                if acc + h["c"] >= r:
+                    if h["mn"] == h["mx"]:
+                        found[key] = h["mn"]
+                        del open_[key]
+                    else:
+                        open_[key] = (h["mn"], h["mx"], r - acc)
+                        if h["c"] <= RESOLVE_ROWS:
+                            small.append(key)
+                    break
+                acc += h["c"]
+        if small:
+            cond = None
+            for key in small:
+                lo, hi, _ = open_[key]
+                c = (F.col("_g") == F.lit(key[0])) & (F.col("_x") >= lo) & (F.col("_x") <= hi)
+                cond = c if cond is None else cond | c
+            vals = sorted((v["_g"], v["_x"], v["count"]) for v in long.filter(cond).groupBy("_g", "_x").count().collect())
+            for key in small:
+                lo, hi, r = open_[key]
+                acc = 0
+                for g, v, cnt in vals:
+                    if g == key[0] and lo <= v <= hi:
+                        if acc + cnt >= r:
+                            found[key] = v
+                            break
+                        acc += cnt
+                del open_[key]
+    if open_:
+        raise RuntimeError("selection did not converge")
+    return found
+
+
 def kth_largest(df: DataFrame, col: Column, ks: list[int]) -> tuple[dict[int, float], int]:
     """Exact k-th largest values (1-based)."""
     x = (df.select(col.cast("double").alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))

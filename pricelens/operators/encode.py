@@ -84,15 +84,20 @@ def numeric_stats(train: DataFrame, cols: list[str]) -> DataFrame:
     the *imputed* column: with m missing values replaced by the median M,
     mean' = (sum + m M)/n and var' = (sumsq + m M^2)/n - mean'^2.
     """
+    from ..functions.selection import grouped_quantiles
+    # exact medians of every column from shared bounded selection passes (no per-column
+    # buffer of distinct values in one task), then one aggregation for the moments
+    meds = grouped_quantiles(train, cols, [0.5])
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        aggs += [F.percentile(x, 0.5).alias(f"{c}__med"), F.count_if(x.isNull()).alias(f"{c}__miss"),
+        aggs += [F.count_if(x.isNull()).alias(f"{c}__miss"),
                  F.sum(x).alias(f"{c}__s"), F.sum(x * x).alias(f"{c}__q"), F.count(F.lit(1)).alias(f"{c}__n")]
     wide = train.agg(*aggs)
     rows = []
     for c in cols:
-        med, miss, s, q, n = (F.col(f"{c}__{p}") for p in ("med", "miss", "s", "q", "n"))
+        med = F.lit(meds[c][0]).cast("double")
+        miss, s, q, n = (F.col(f"{c}__{p}") for p in ("miss", "s", "q", "n"))
         fill = F.coalesce(s, F.lit(0.0)) + miss * F.coalesce(med, F.lit(0.0))
         fillq = F.coalesce(q, F.lit(0.0)) + miss * F.coalesce(med, F.lit(0.0)) * F.coalesce(med, F.lit(0.0))
         mean = fill / n

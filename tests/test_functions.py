@@ -54,6 +54,18 @@ def test_qcut_with_ties_T4(spark):
     assert labels == [0, 0, 0, 0, 2, 3, 4, 5, 6, 7, 8, 8]
 
 
+def test_grouped_quantiles_match_numpy(spark):
+    from pricelens.functions.selection import grouped_quantiles
+    rng = np.random.default_rng(9)
+    a, b = rng.lognormal(size=2000), rng.integers(0, 7, 2000).astype(float)
+    b[::5] = np.nan
+    rows = [(float(x), None if np.isnan(y) else float(y)) for x, y in zip(a, b)]
+    df = spark.createDataFrame(rows, "a double, b double").repartition(5)
+    got = grouped_quantiles(df, ["a", "b"], [0.1, 0.5, 0.9])
+    np.testing.assert_allclose(got["a"], np.quantile(a, [0.1, 0.5, 0.9]), rtol=1e-12)
+    np.testing.assert_allclose(got["b"], np.quantile(b[~np.isnan(b)], [0.1, 0.5, 0.9]), rtol=1e-12)
+
+
 @pytest.mark.parametrize("seed", [0, 1, 2])
 def test_selection_matches_numpy(spark, seed):
     rng = np.random.default_rng(seed)
