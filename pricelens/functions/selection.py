@@ -1,163 +1,140 @@
 """Exact order statistics without a global sort or a global window.
 
-``kth_smallest`` finds exact ranked values of a double column by histogram
-refinement: each pass buckets the values of the still-open intervals into at
-most ``BUCKETS`` equal-width buckets (one grouped aggregation whose output is
-bounded by BUCKETS x open ranks), keeps the bucket that holds the wanted rank
-and narrows the interval to that bucket's actual [min, max]. A bucket with
-few rows is resolved directly from its (value, count) list. Only bounded
-histograms reach the driver, never rows.
-
-``exact_quantiles`` uses it for linear-interpolation quantiles (the same
-definition as numpy / pandas / DuckDB ``quantile_cont`` / Spark ``percentile``),
-which avoids Spark's exact ``percentile`` buffer of every distinct value in one
-task for a global quantile over a continuous column.
+Histogram refinement: each pass buckets the values of every still-open
+(group, rank) interval into at most ``BUCKETS`` equal-width buckets (one
+grouped aggregation whose output is bounded by BUCKETS x open ranks), finds
+in Spark the bucket where the running count reaches the rank (a window over
+each rank's <= BUCKETS buckets) and narrows the interval to that bucket's
+actual [min, max]. A narrow interval with few rows is resolved from its
+(value, count) list. At most one row per open rank reaches the driver per
+pass; never rows of the data, and no task holds a column's distinct values.
+
+``exact_quantiles`` / ``grouped_quantiles`` give linear-interpolation
+quantiles (the definition of numpy, pandas, DuckDB ``quantile_cont`` and
+Spark ``percentile``) without Spark's exact ``percentile`` buffer of every
+distinct value in one task.
 """
 from __future__ import annotations
 
 import math
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 4096
 RESOLVE_ROWS = 20_000
-MAX_PASSES = 30
+MAX_PASSES = 40
 
 
-def kth_smallest(df: DataFrame, col: Column, ks: list[int]) -> tuple[dict[int, float], int]:
-    """Exact k-th smallest non-null values (1-based k) and the non-null count n.
+def _long_view(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
+    arr = F.array(*[F.struct(F.lit(g).alias("_g"), c.cast("double").alias("_x")) for g, c in cols.items()])
+    return (df.select(F.explode(arr).alias("_p")).select("_p._g", "_p._x")
+            .filter(F.col("_x").isNotNull() & ~F.isnan("_x")).persist(StorageLevel.MEMORY_AND_DISK))
 
-    The one projected column is persisted (memory and disk, recomputable from
-    lineage if an executor is lost) for the few passes, then released.
-    """
-    x = (df.select(col.cast("double").alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
-         .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        return _kth_smallest(x, ks)
-    finally:
-        x.unpersist()
+
+def _stats(long: DataFrame) -> dict:
+    return {r["_g"]: r for r in long.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"),
+                                                     F.max("_x").alias("hi")).collect()}  # one row per group
 
 
-def _kth_smallest(x: DataFrame, ks: list[int]) -> tuple[dict[int, float], int]:
-    st = x.agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi")).first()
-    n = st["n"]
-    if n == 0:
-        return {k: None for k in ks}, 0
-    # open: k -> (lo, hi, rank within [lo, hi])
-    open_ = {k: (st["lo"], st["hi"], k) for k in set(ks) if 1 <= k <= n}
-    found: dict[int, float] = {}
+def _refine(long: DataFrame, open_: dict) -> dict:
+    """Resolve {(group, rank): (lo, hi, rank within [lo, hi])} to exact values."""
+    found = {}
     for _ in range(MAX_PASSES):
-        if not open_:
-            break
-        for k, (lo, hi, r) in list(open_.items()):
+        for key, (lo, hi, _r) in list(open_.items()):
             if lo == hi:
-                found[k] = lo
-                del open_[k]
+                found[key] = lo
+                del open_[key]
         if not open_:
             break
-        ids = sorted(open_)
-        sel = None
-        for i, k in enumerate(ids):
-            lo, hi, _ = open_[k]
-            w = (hi - lo) / BUCKETS
-            b = F.least(F.floor((F.col("_x") - F.lit(lo)) / F.lit(w)), F.lit(BUCKETS - 1)).cast("int")
-            s = F.when((F.col("_x") >= lo) & (F.col("_x") <= hi), F.struct(F.lit(i).alias("t"), b.alias("b")))
-            sel = [s] if sel is None else sel + [s]
-        hist = (x.select(F.explode(F.filter(F.array(*sel), lambda e: e.isNotNull())).alias("_e"), "_x")
-                .groupBy("_e.t", "_e.b")
-                .agg(F.count(F.lit(1)).alias("c"), F.min("_x").alias("mn"), F.max("_x").alias("mx"))
-                .collect())  # <= BUCKETS rows per open rank
-        by_t: dict[int, list] = {}
-        for h in hist:
-            by_t.setdefault(h["t"], []).append(h)
+        ids = sorted(open_, key=str)
+        spark = long.sparkSession
+        # one row per open rank (bounded by the ranks asked for): broadcast, joined on the group
+        iv = spark.createDataFrame([(i, key[0], float(open_[key][0]), float(open_[key][1]), int(open_[key][2]))
+                                    for i, key in enumerate(ids)], "t int, _g string, lo double, hi double, r long")
+        j = long.join(F.broadcast(iv), "_g").filter((F.col("_x") >= F.col("lo")) & (F.col("_x") <= F.col("hi")))
+        b = F.least(F.floor((F.col("_x") - F.col("lo")) / ((F.col("hi") - F.col("lo")) / F.lit(BUCKETS))),
+                    F.lit(BUCKETS - 1)).cast("int")
+        hist = (j.groupBy("t", "r", b.alias("b"))
+                .agg(F.count(F.lit(1)).alias("c"), F.min("_x").alias("mn"), F.max("_x").alias("mx")))
+        cum = F.sum("c").over(Window.partitionBy("t").orderBy("b").rowsBetween(Window.unboundedPreceding, 0))
+        hit = (hist.withColumn("cum", cum)
+               .filter((F.col("cum") >= F.col("r")) & (F.col("cum") - F.col("c") < F.col("r"))).collect())  # <= 1 row per rank
         small = []
-        for i, k in enumerate(ids):
-            lo, hi, r = open_[k]
-            acc = 0
-            for h in sorted(by_t[i], key=lambda h: h["b"]):
-                if acc + h["c"] >= r:
-                    if h["mn"] == h["mx"]:
-                        found[k] = h["mn"]
-                        del open_[k]
-                    else:
-                        open_[k] = (h["mn"], h["mx"], r - acc)
-                        if h["c"] <= RESOLVE_ROWS:
-                            small.append(k)
-                    break
-                acc += h["c"]
+        for h in hit:
+            key = ids[h["t"]]
+            r = open_[key][2]
+            if h["mn"] == h["mx"]:
+                found[key] = h["mn"]
+                del open_[key]
+            else:
+                open_[key] = (h["mn"], h["mx"], r - (h["cum"] - h["c"]))
+                if h["c"] <= RESOLVE_ROWS:
+                    small.append(key)
         if small:
-            # one pass resolves every narrow interval from its (value, count) list
             cond = None
-            for k in small:
-                lo, hi, _ = open_[k]
-                c = (F.col("_x") >= lo) & (F.col("_x") <= hi)
+            for key in small:
+                lo, hi, _ = open_[key]
+                c = (F.col("_g") == F.lit(key[0])) & (F.col("_x") >= lo) & (F.col("_x") <= hi)
                 cond = c if cond is None else cond | c
-            vals = sorted((v["_x"], v["count"]) for v in x.filter(cond).groupBy("_x").count().collect())
-            for k in small:
-                lo, hi, r = open_[k]
+            vals = sorted((v["_g"], v["_x"], v["count"]) for v in long.filter(cond).groupBy("_g", "_x").count().collect())
+            for key in small:
+                lo, hi, r = open_[key]
                 acc = 0
-                for v, cnt in vals:
-                    if lo <= v <= hi:
+                for g, v, cnt in vals:
+                    if g == key[0] and lo <= v <= hi:
                         if acc + cnt >= r:
-                            found[k] = v
+                            found[key] = v
                             break
                         acc += cnt
-                del open_[k]
+                del open_[key]
     if open_:
         raise RuntimeError("selection did not converge")
-    return found, n
+    return found
 
 
-def exact_quantiles(df: DataFrame, col: Column, probs: list[float]) -> list[float | None]:
-    """Linear-interpolation quantiles: pos = p (n - 1); lo + (hi - lo) * frac."""
-    x = (df.select(col.cast("double").alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
-         .persist(StorageLevel.MEMORY_AND_DISK))
+def kth_smallest(df: DataFrame, col: Column, ks: list[int]) -> tuple[dict[int, float], int]:
+    """Exact k-th smallest non-null values (1-based k) and the non-null count n."""
+    long = _long_view(df, {"x": col})
     try:
-        n = x.count()
-        if n == 0:
-            return [None for _ in probs]
-        need = set()
-        for p in probs:
-            pos = p * (n - 1)
-            need.add(int(math.floor(pos)) + 1)
-            need.add(int(math.ceil(pos)) + 1)
-        vals, _ = _kth_smallest(x, sorted(need))
+        st = _stats(long)
+        if "x" not in st:
+            return {k: None for k in ks}, 0
+        n = st["x"]["n"]
+        found = _refine(long, {("x", k): (st["x"]["lo"], st["x"]["hi"], k) for k in set(ks) if 1 <= k <= n})
     finally:
-        x.unpersist()
-    out = []
-    for p in probs:
-        pos = p * (n - 1)
-        lo, hi = vals[int(math.floor(pos)) + 1], vals[int(math.ceil(pos)) + 1]
-        frac = pos - math.floor(pos)
-        out.append(lo if lo == hi else lo + (hi - lo) * frac)
-    return out
+        long.unpersist()
+    return {k: found.get(("x", k)) for k in ks}, n
+
+
+def kth_largest(df: DataFrame, col: Column, ks: list[int]) -> tuple[dict[int, float], int]:
+    """Exact k-th largest values (1-based)."""
+    long = _long_view(df, {"x": col})
+    try:
+        st = _stats(long)
+        if "x" not in st:
+            return {k: None for k in ks}, 0
+        n = st["x"]["n"]
+        found = _refine(long, {("x", n - k + 1): (st["x"]["lo"], st["x"]["hi"], n - k + 1) for k in ks if 1 <= k <= n})
+    finally:
+        long.unpersist()
+    return {k: found.get(("x", n - k + 1)) for k in ks}, n
 
 
 def grouped_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list[float | None]]:
-    """Exact linear-interpolation quantiles of several columns at once (e.g. every median of a design).
-
-    Runs the same histogram refinement on a long (column, value) view: every
-    pass serves every open (column, rank) pair, so the number of passes does
-    not grow with the number of columns, and no task ever holds a column's
-    distinct values (unlike an exact ``percentile`` aggregate).
-    """
-    arr = F.array(*[F.struct(F.lit(c).alias("_g"), F.col(c).cast("double").alias("_x")) for c in cols])
-    long = (df.select(F.explode(arr).alias("_p")).select("_p._g", "_p._x")
-            .filter(F.col("_x").isNotNull() & ~F.isnan("_x")).persist(StorageLevel.MEMORY_AND_DISK))
+    """Exact quantiles of several columns at once: every pass serves every (column, rank)."""
+    long = _long_view(df, {c: F.col(c) for c in cols})
     try:
-        st = {r["_g"]: r for r in long.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"),
-                                                       F.max("_x").alias("hi")).collect()}  # one row per column
-        open_: dict[tuple[str, int], tuple[float, float, int]] = {}
+        st = _stats(long)
+        open_ = {}
         for c in cols:
-            if c not in st:
-                continue
-            n = st[c]["n"]
-            for p in probs:
-                pos = p * (n - 1)
-                for k in (int(math.floor(pos)) + 1, int(math.ceil(pos)) + 1):
-                    open_[(c, k)] = (st[c]["lo"], st[c]["hi"], k)
+            if c in st:
+                n = st[c]["n"]
+                for p in probs:
+                    pos = p * (n - 1)
+                    for k in (int(math.floor(pos)) + 1, int(math.ceil(pos)) + 1):
+                        open_[(c, k)] = (st[c]["lo"], st[c]["hi"], k)
         found = _refine(long, open_)
     finally:
         long.unpersist()
@@ -175,74 +152,6 @@ def grouped_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dic
     return out
 
 
-def _refine(long: DataFrame, open_: dict) -> dict:
-    """Histogram refinement over a long (_g, _x) view for open {(group, rank): (lo, hi, rank-in-interval)}."""
-    found = {}
-    for _ in range(MAX_PASSES):
-        for key, (lo, hi, r) in list(open_.items()):
-            if lo == hi:
-                found[key] = lo
-                del open_[key]
-        if not open_:
-            break
-        ids = sorted(open_, key=str)
-        sel = []
-        for i, key in enumerate(ids):
-            lo, hi, _ = open_[key]
-            w = (hi - lo) / BUCKETS
-            b = F.least(F.floor((F.col("_x") - F.lit(lo)) / F.lit(w)), F.lit(BUCKETS - 1)).cast("int")
-            cond = (F.col("_g") == F.lit(key[0])) & (F.col("_x") >= lo) & (F.col("_x") <= hi)
-            sel.append(F.when(cond, F.struct(F.lit(i).alias("t"), b.alias("b"))))
-        hist = (long.select(F.explode(F.filter(F.array(*sel), lambda e: e.isNotNull())).alias("_e"), "_x")
-                .groupBy("_e.t", "_e.b").agg(F.count(F.lit(1)).alias("c"), F.min("_x").alias("mn"), F.max("_x").alias("mx"))
-                .collect())  # <= BUCKETS rows per open rank
-        by_t: dict[int, list] = {}
-        for h in hist:
-            by_t.setdefault(h["t"], []).append(h)
-        small = []
-        for i, key in enumerate(ids):
-            lo, hi, r = open_[key]
-            acc = 0
-            for h in sorted(by_t[i], key=lambda h: h["b"]):
-                if acc + h["c"] >= r:
-                    if h["mn"] == h["mx"]:
-                        found[key] = h["mn"]
-                        del open_[key]
-                    else:
-                        open_[key] = (h["mn"], h["mx"], r - acc)
-                        if h["c"] <= RESOLVE_ROWS:
-                            small.append(key)
-                    break
-                acc += h["c"]
-        if small:
-            cond = None
-            for key in small:
-                lo, hi, _ = open_[key]
-                c = (F.col("_g") == F.lit(key[0])) & (F.col("_x") >= lo) & (F.col("_x") <= hi)
-                cond = c if cond is None else cond | c
-            vals = sorted((v["_g"], v["_x"], v["count"]) for v in long.filter(cond).groupBy("_g", "_x").count().collect())
-            for key in small:
-                lo, hi, r = open_[key]
-                acc = 0
-                for g, v, cnt in vals:
-                    if g == key[0] and lo <= v <= hi:
-                        if acc + cnt >= r:
-                            found[key] = v
-                            break
-                        acc += cnt
-                del open_[key]
-    if open_:
-        raise RuntimeError("selection did not converge")
-    return found
-
-
-def kth_largest(df: DataFrame, col: Column, ks: list[int]) -> tuple[dict[int, float], int]:
-    """Exact k-th largest values (1-based)."""
-    x = (df.select(col.cast("double").alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
-         .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        n = x.count()
-        res, _ = _kth_smallest(x, [n - k + 1 for k in ks]) if n else ({}, 0)
-    finally:
-        x.unpersist()
-    return {k: res.get(n - k + 1) for k in ks}, n
+def exact_quantiles(df: DataFrame, col: Column, probs: list[float]) -> list[float | None]:
+    """Linear-interpolation quantiles of one column: pos = p (n - 1); lo + (hi - lo) * frac."""
+    return grouped_quantiles(df.select(col.alias("_q")), ["_q"], probs)["_q"]
