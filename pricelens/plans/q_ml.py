@@ -38,8 +38,28 @@ def _holdout_query(qname, name, label=None, **kw):
     return run
 
 
-_holdout_query("md1_md2_constant_mean_holdout", "mean")
-_holdout_query("md2_constant_median_holdout", "median")
+def _constant_sql(label: str, stat: str) -> str:
+    from ..functions.portable import unit_sql
+    from .registry import sql_round
+    from .sqlgen import with_ctes
+    split = f"CASE WHEN {unit_sql(42, 'ID')} < 0.2::DOUBLE THEN 'holdout' ELSE 'dev' END"
+    return sql_round(with_ctes(
+        f"SELECT '{label}' AS model, split, count(*) AS n, sqrt(avg((price - c) ^ 2)) AS rmse, avg(abs(price - c)) AS mae "
+        f"FROM hs CROSS JOIN (SELECT {stat} AS c FROM hs WHERE split = 'dev') GROUP BY split",
+        f"hs AS (SELECT ID, price, {split} AS split FROM device)"), ["rmse", "mae"])
+
+
+
+
+def _holdout_query_sql(qname, name, sql, **kw):
+    @query(qname, sql)
+    def run(spark, sf_dir):
+        return holdout_metrics(spark, sf_dir, name, None, **kw)
+    return run
+
+
+_holdout_query_sql("md1_md2_constant_mean_holdout", "mean", _constant_sql("mean", "avg(price)"))
+_holdout_query_sql("md2_constant_median_holdout", "median", _constant_sql("median", "quantile_cont(price, 0.5)"))
 _holdout_query("md3_linear_onehot_holdout", "linear")
 _holdout_query("md4_ridge_onehot_holdout", "ridge", alpha=10.0)
 _holdout_query("md4_ridge_levels_plus_holdout", "ridge", "ridge|levels_plus", preprocessor="levels_plus", alpha=100.0)
