@@ -128,22 +128,34 @@ def ridge_scan(d, cfg, kind, alphas, k=5, seed=42, pairs=()):
     feats = fe.feature_names()
     eng = fe.transform(folded).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _ridge_scan_folds(eng, feats, kind, alphas, k).checkpoint()
+        return _ridge_scan_folds(eng, feats, kind, alphas, k)
     finally:
         eng.unpersist()
 
 
 def _ridge_scan_folds(eng, feats, kind, alphas, k):
-    out = None
+    """Per fold: refit the representation on the training rows, cache the encoded rows, fit ridge
+    for every alpha with Spark's normal-equation solver (JVM-side, sparse-aware Gram) and score
+    both roles; only the (alpha, role) metric rows are kept."""
+    from ..operators.stages import PenalisedLinear
+    rows = []
     for f in range(k):
         rep = Representation(kind=kind, featureColsJson=json.dumps(feats)).fit(eng.filter(F.col("fold") != f))
-        enc = rep.transform(eng).withColumn("_mf", F.when(F.col("fold") == f, 1).otherwise(0))
-        p = enc.select("features").first()[0].size
-        scan = ln.ridge_cv_scan(enc, p, alphas, y="price", fold="_mf", only_folds=[1])
-        # fold-model f: '_mf' == 1 rows are its validation rows; keep the model trained without them
-        part = (scan.filter(F.col("fold") == 1).withColumn("fold", F.lit(f)))
-        out = part if out is None else out.unionByName(part)
-    return out
+        enc = (rep.transform(eng).select("features", "price", F.when(F.col("fold") == f, "val").otherwise("train").alias("role"))
+               .persist(StorageLevel.MEMORY_AND_DISK))
+        try:
+            train = enc.filter(F.col("role") == "train")
+            for a in alphas:
+                model = PenalisedLinear(family="ridge", alpha=a, labelCol="price").fit(train)
+                err = F.col("price") - F.col("prediction")
+                for r in model.transform(enc).groupBy("role").agg(
+                        F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(err * err)).alias("rmse"),
+                        F.avg(F.abs(err)).alias("mae")).collect():  # two rows
+                    rows.append((float(a), f, r["role"], r["n"], r["rmse"], r["mae"]))
+        finally:
+            enc.unpersist()
+    spark = eng.sparkSession
+    return spark.createDataFrame(rows, "alpha double, fold int, role string, n long, rmse double, mae double")
 
 
 ALPHAS = [1.0, 10.0, 100.0, 300.0, 1000.0, 3000.0]
