@@ -122,9 +122,9 @@ class NumericPrep:
     @staticmethod
     def fit(train: DataFrame, cols: list[str], scale: bool = True) -> "NumericPrep":
         st = {r["col_name"]: r for r in numeric_stats(train, cols).collect()}  # one row per column
-        n = train.count() if scale else 0
         meds = {c: st[c]["median"] for c in cols}
         inds = [c for c in cols if st[c]["n_missing"] > 0]
+        n = train.count() if scale and inds else 0   # only indicator scaling needs the row count
         means = {c: st[c]["mean"] or 0.0 for c in cols}
         sds = {c: (st[c]["sd_pop"] or 0.0) for c in cols}
         im, isd = {}, {}
