@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, mixing, sharding, simhash, toxicity
-from .common import table
+from . import decontamination, language, mixing, quality, secrets, sharding, simhash, topk, toxicity
+from .common import id_crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -88,3 +88,40 @@ def op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     chain = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, chain, ["doc_id"])
+
+
+@query("op4_language_id")
+def op4(spark, sf_dir):
+    """Language of every document, learned from those whose id hash modulo 4 is not 2."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", id_crc_mod(F.col("doc_id"), 4) == 2)
+    model = language.train(docs.filter("NOT held_out"), F.col("lang"))
+    return language.predict(docs, model, ["doc_id", "held_out"])
+
+
+@query("op9_quality_gam")
+def op9(spark, sf_dir):
+    """Quality of every document, learned from labels whose id hash modulo 5 is not 0."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", id_crc_mod(F.col("doc_id"), 5) == 0)
+    labels = table(spark, sf_dir, "labels").filter(id_crc_mod(F.col("doc_id"), 5) != 0)
+    return quality.rate(docs, labels, ["doc_id", "held_out"], cut=0.3)
+
+
+@query("op8_pivot_top_k", """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+      FROM e q JOIN e c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+""")
+def op8(spark, sf_dir):
+    """The five best inner products of every fiftieth vector against all vectors."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+@query("op1_secret_scan")
+def op1(spark, sf_dir):
+    """Every secret candidate of the documents, its place and the forest's verdict."""
+    out = secrets.scan(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("i").cast("long").alias("word_no"), F.length("value").alias("n_chars"), "score", "secret",
+                      F.sha2("value", 256).alias("value_sha256"), "coverage", "pair_logp", "named")
