@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, mixing, quality, secrets, sharding, simhash, topk, toxicity
+from . import decontamination, language, language_model, mixing, quality, secrets, sharding, simhash, topk, toxicity
 from .common import id_crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,11 @@ def op1(spark, sf_dir):
     out = secrets.scan(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.col("i").cast("long").alias("word_no"), F.length("value").alias("n_chars"), "score", "secret",
                       F.sha2("value", 256).alias("value_sha256"), "coverage", "pair_logp", "named")
+
+
+@query("op7_pitman_yor_lm")
+def op7(spark, sf_dir):
+    """Log10 probability of every text under a model of those whose id hash modulo 7 is not 2."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", id_crc_mod(F.col("doc_id"), 7) == 2)
+    model, rare = language_model.train(docs.filter("NOT held_out"))
+    return language_model.score(docs, model, rare, ["doc_id", "held_out"])
