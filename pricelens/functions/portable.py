@@ -15,21 +15,24 @@ from pyspark.sql import functions as F
 
 TWO32 = 4294967296.0
 
-# Poisson(1) inverse-CDF cut points: P(W <= j) = e^-1 * sum_{i<=j} 1/i!
-POISSON_MAX = 12
-
-
-def _poisson_cuts() -> list[float]:
-    cuts, acc, fact = [], 0.0, 1.0
-    for j in range(POISSON_MAX):
+def _poisson_cuts(resolution: float = TWO32) -> list[float]:
+    """P(W <= j) = e^-1 * sum_{i<=j} 1/i! for every j that a uniform of this resolution can exceed.
+
+    The largest uniform is 1 - 0.5/resolution, so the list ends at the first cut above it: the weight
+    that follows the last cut can't be drawn, and no draw is capped.
+    """
+    cuts, acc, fact, j = [], 0.0, 1.0, 0
+    while not cuts or cuts[-1] <= 1.0 - 0.5 / resolution:
         if j > 0:
             fact *= j
         acc += 1.0 / fact
         cuts.append(math.exp(-1.0) * acc)
+        j += 1
     return cuts
 
 
 POISSON_CUTS = _poisson_cuts()
+POISSON_MAX = len(POISSON_CUTS)     # follows from the resolution of hash_int, never reached
 
 
 def _as_col(x) -> Column:
@@ -76,7 +79,7 @@ def fold_sql(seed, key_sql: str, k: int) -> str:
 
 
 def poisson1(u: Column) -> Column:
-    """Poisson(1) draw from a uniform column by inverse CDF (capped at POISSON_MAX)."""
+    """Poisson(1) draw from a uniform column by inverse CDF."""
     expr = F.lit(POISSON_MAX)
     for j in reversed(range(POISSON_MAX)):
         expr = F.when(u < F.lit(POISSON_CUTS[j]), F.lit(j)).otherwise(expr)

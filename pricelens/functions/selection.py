@@ -1,18 +1,20 @@
-"""Exact order statistics without a global sort or a global window.
-
-Histogram refinement: each pass buckets the values of every still-open
-(group, rank) interval into at most ``BUCKETS`` equal-width buckets (one
-grouped aggregation whose output is bounded by BUCKETS x open ranks), finds
-in Spark the bucket where the running count reaches the rank (a window over
-each rank's <= BUCKETS buckets) and narrows the interval to that bucket's
-actual [min, max]. A narrow interval with few rows is resolved from its
-(value, count) list. At most one row per open rank reaches the driver per
-pass; never rows of the data, and no task holds a column's distinct values.
-
-``exact_quantiles`` / ``grouped_quantiles`` give linear-interpolation
-quantiles (the definition of numpy, pandas, DuckDB ``quantile_cont`` and
-Spark ``percentile``) without Spark's exact ``percentile`` buffer of every
-distinct value in one task.
+"""Exact order statistics without a global sort, a global window or a buffer of distinct values.
+
+1. One aggregation per call gives, for every column, the count, the range and an
+   approximate bracket of each wanted quantile (``percentile_approx``, whose rank
+   error is bounded by n / ACCURACY).
+2. One pass counts the values below each bracket and keeps the values inside
+   (about 4 n / ACCURACY per quantile); only those are persisted.
+3. Histogram passes over the kept values narrow each interval to the bucket that
+   holds the rank, until a single value is left. Buckets are equal in value
+   inside an interval of one sign and modest ratio, equal in logarithm over a
+   wide one, and an interval across zero is first cut by sign; so the number of
+   passes is bounded by the width of a double (at most about eight), at any n.
+
+At most one row per open rank reaches the driver per pass. A bracket that misses
+its rank (it cannot, by the error bound) falls back to the full range.
+
+Quantiles interpolate linearly: pos = p (n - 1); lo + (hi - lo) * frac.
 """
 from __future__ import annotations
 
@@ -23,135 +25,149 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 4096
-RESOLVE_ROWS = 20_000
-MAX_PASSES = 40
+ACCURACY = 10_000
+WIDE = 4096.0
 
 
-def _long_view(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
-    arr = F.array(*[F.struct(F.lit(g).alias("_g"), c.cast("double").alias("_x")) for g, c in cols.items()])
-    return (df.select(F.explode(arr).alias("_p")).select("_p._g", "_p._x")
-            .filter(F.col("_x").isNotNull() & ~F.isnan("_x")).persist(StorageLevel.MEMORY_AND_DISK))
-
-
-def _stats(long: DataFrame) -> dict:
-    return {r["_g"]: r for r in long.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"),
-                                                     F.max("_x").alias("hi")).collect()}  # one row per group
+def _bucket(x: Column, lo: Column, hi: Column) -> Column:
+    """Bucket number of x in [lo, hi], growing with x."""
+    linear = F.floor((x - lo) / ((hi - lo) / F.lit(BUCKETS)))
+    sign = F.signum(x) + 1
+    small, large = F.least(F.abs(lo), F.abs(hi)), F.greatest(F.abs(lo), F.abs(hi))
+    logs = F.floor((F.log2(F.abs(x)) - F.log2(small)) / ((F.log2(large) - F.log2(small)) / F.lit(BUCKETS)))
+    signed = F.when(lo > 0, logs).otherwise(F.lit(BUCKETS) - logs)
+    inf = F.lit(float("inf"))
+    ends = F.when(x == inf, BUCKETS).when(x == -inf, 0).otherwise(1)
+    raw = F.when((hi == inf) | (lo == -inf), ends).when((lo < 0) & (hi > 0), sign).when((small > 0) & (large / small > WIDE), signed).otherwise(linear)
+    return F.greatest(F.lit(0), F.least(raw, F.lit(BUCKETS))).cast("int")
 
 
 def _refine(long: DataFrame, open_: dict) -> dict:
-    """Resolve {(group, rank): (lo, hi, rank within [lo, hi])} to exact values."""
+    """{(group, rank): value} for {(group, rank): (lo, hi, rank within [lo, hi])}; ``long``: _g, _x."""
     found = {}
-    for _ in range(MAX_PASSES):
+    while True:
         for key, (lo, hi, _r) in list(open_.items()):
             if lo == hi:
                 found[key] = lo
                 del open_[key]
         if not open_:
-            break
+            return found
         ids = sorted(open_, key=str)
-        spark = long.sparkSession
         # one row per open rank (bounded by the ranks asked for): broadcast, joined on the group
-        iv = spark.createDataFrame([(i, key[0], float(open_[key][0]), float(open_[key][1]), int(open_[key][2]))
-                                    for i, key in enumerate(ids)], "t int, _g string, lo double, hi double, r long")
+        iv = long.sparkSession.createDataFrame([(i, key[0], float(open_[key][0]), float(open_[key][1]), int(open_[key][2]))
+                                                for i, key in enumerate(ids)], "t int, _g string, lo double, hi double, r long")
         j = long.join(F.broadcast(iv), "_g").filter((F.col("_x") >= F.col("lo")) & (F.col("_x") <= F.col("hi")))
-        b = F.least(F.floor((F.col("_x") - F.col("lo")) / ((F.col("hi") - F.col("lo")) / F.lit(BUCKETS))),
-                    F.lit(BUCKETS - 1)).cast("int")
-        hist = (j.groupBy("t", "r", b.alias("b"))
+        hist = (j.groupBy("t", "r", _bucket(F.col("_x"), F.col("lo"), F.col("hi")).alias("b"))
                 .agg(F.count(F.lit(1)).alias("c"), F.min("_x").alias("mn"), F.max("_x").alias("mx")))
         cum = F.sum("c").over(Window.partitionBy("t").orderBy("b").rowsBetween(Window.unboundedPreceding, 0))
         hit = (hist.withColumn("cum", cum)
-               .filter((F.col("cum") >= F.col("r")) & (F.col("cum") - F.col("c") < F.col("r"))).collect())  # <= 1 row per rank
-        small = []
+               .filter((F.col("cum") >= F.col("r")) & (F.col("cum") - F.col("c") < F.col("r"))).collect())  # one row per open rank
         for h in hit:
             key = ids[h["t"]]
-            r = open_[key][2]
-            if h["mn"] == h["mx"]:
-                found[key] = h["mn"]
-                del open_[key]
-            else:
-                open_[key] = (h["mn"], h["mx"], r - (h["cum"] - h["c"]))
-                if h["c"] <= RESOLVE_ROWS:
-                    small.append(key)
-        if small:
-            cond = None
-            for key in small:
-                lo, hi, _ = open_[key]
-                c = (F.col("_g") == F.lit(key[0])) & (F.col("_x") >= lo) & (F.col("_x") <= hi)
-                cond = c if cond is None else cond | c
-            vals = sorted((v["_g"], v["_x"], v["count"]) for v in long.filter(cond).groupBy("_g", "_x").count().collect())
-            for key in small:
-                lo, hi, r = open_[key]
-                acc = 0
-                for g, v, cnt in vals:
-                    if g == key[0] and lo <= v <= hi:
-                        if acc + cnt >= r:
-                            found[key] = v
-                            break
-                        acc += cnt
-                del open_[key]
-    if open_:
-        raise RuntimeError("selection did not converge")
-    return found
+            open_[key] = (h["mn"], h["mx"], open_[key][2] - (h["cum"] - h["c"]))
+
+
+def _ranks(df: DataFrame, cols: dict[str, Column], wanted) -> tuple[dict, dict]:
+    """Values at 1-based ranks. ``wanted(n)`` gives the ranks for a column of n values; returns ({(col, rank): value}, {col: n})."""
+    src = df.select(*[F.when(~F.isnan(c.cast("double")), c.cast("double")).alias(f"_{i}") for i, c in enumerate(cols.values())])
+    first = src.agg(*[a for i in range(len(cols)) for a in (F.count(f"_{i}").alias(f"n{i}"), F.min(f"_{i}").alias(f"lo{i}"),
+                                                            F.max(f"_{i}").alias(f"hi{i}"))]).first()
+    names, size, open_ = list(cols), {}, {}
+    for i, name in enumerate(names):
+        size[name] = first[f"n{i}"]
+        for k in wanted(size[name]) if size[name] else []:
+            open_[(name, k)] = (i, first[f"lo{i}"], first[f"hi{i}"])
+    if not open_:
+        return {}, size
+    edge = lambda k, n, d: min(1.0, max(0.0, (k - 0.5) / n + d * 2.0 / ACCURACY))
+    probes = {}
+    for (name, k), (i, _, _) in open_.items():
+        probes.setdefault(i, []).extend([edge(k, size[name], -1), edge(k, size[name], 1)])
+    got = src.agg(*[F.percentile_approx(f"_{i}", sorted(set(ps)), ACCURACY).alias(f"q{i}") for i, ps in probes.items()]).first()
+    value = {i: dict(zip(sorted(set(ps)), got[f"q{i}"])) for i, ps in probes.items()}
+    span = {}
+    for (name, k), (i, lo, hi) in open_.items():
+        a, b = value[i][edge(k, size[name], -1)], value[i][edge(k, size[name], 1)]
+        # ranks near the ends lie outside an interior bracket's guarantee: open it to the extreme
+        span[(name, k)] = (lo if k <= 4 * size[name] / ACCURACY + 1 else a, hi if k >= size[name] * (1 - 4 / ACCURACY) else b)
+    order = list(span)
+    x = lambda key: F.col(f"_{open_[key][0]}")
+    below = src.agg(*[F.count_if(x(key) < F.lit(span[key][0])).alias(f"c{j}") for j, key in enumerate(order)],
+                    *[F.count_if((x(key) >= F.lit(span[key][0])) & (x(key) <= F.lit(span[key][1]))).alias(f"d{j}") for j, key in enumerate(order)]).first()
+    inside: dict[int, Column] = {}
+    todo = {}
+    for j, key in enumerate(order):
+        lo, hi = span[key]
+        c, d = below[f"c{j}"], below[f"d{j}"]
+        if not c < key[1] <= c + d:
+            lo, hi, c = open_[key][1], open_[key][2], 0
+        todo[key] = (lo, hi, key[1] - c)
+        if lo < hi:
+            cond = (x(key) >= F.lit(lo)) & (x(key) <= F.lit(hi))
+            i = open_[key][0]
+            inside[i] = inside[i] | cond if i in inside else cond
+    cells = [F.when(cond, F.struct(F.lit(names[i]).alias("_g"), F.col(f"_{i}").alias("_x"))) for i, cond in inside.items()]
+    if not cells:
+        return _refine(src, todo), size
+    long = (src.select(F.explode(F.filter(F.array(*cells), lambda s: s.isNotNull())).alias("_p")).select("_p._g", "_p._x")
+            .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        return _refine(long, todo), size
+    finally:
+        long.unpersist()
 
 
 def kth_smallest(df: DataFrame, col: Column, ks: list[int]) -> tuple[dict[int, float], int]:
     """Exact k-th smallest non-null values (1-based k) and the non-null count n."""
-    long = _long_view(df, {"x": col})
-    try:
-        st = _stats(long)
-        if "x" not in st:
-            return {k: None for k in ks}, 0
-        n = st["x"]["n"]
-        found = _refine(long, {("x", k): (st["x"]["lo"], st["x"]["hi"], k) for k in set(ks) if 1 <= k <= n})
-    finally:
-        long.unpersist()
-    return {k: found.get(("x", k)) for k in ks}, n
+    found, size = _ranks(df, {"x": col}, lambda n: sorted({k for k in ks if 1 <= k <= n}))
+    return {k: found.get(("x", k)) for k in ks}, size["x"]
 
 
 def kth_largest(df: DataFrame, col: Column, ks: list[int]) -> tuple[dict[int, float], int]:
     """Exact k-th largest values (1-based)."""
-    long = _long_view(df, {"x": col})
-    try:
-        st = _stats(long)
-        if "x" not in st:
-            return {k: None for k in ks}, 0
-        n = st["x"]["n"]
-        found = _refine(long, {("x", n - k + 1): (st["x"]["lo"], st["x"]["hi"], n - k + 1) for k in ks if 1 <= k <= n})
-    finally:
-        long.unpersist()
+    found, size = _ranks(df, {"x": col}, lambda n: sorted({n - k + 1 for k in ks if 1 <= k <= n}))
+    n = size["x"]
     return {k: found.get(("x", n - k + 1)) for k in ks}, n
 
 
 def grouped_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list[float | None]]:
     """Exact quantiles of several columns at once: every pass serves every (column, rank)."""
-    long = _long_view(df, {c: F.col(c) for c in cols})
-    try:
-        st = _stats(long)
-        open_ = {}
-        for c in cols:
-            if c in st:
-                n = st[c]["n"]
-                for p in probs:
-                    pos = p * (n - 1)
-                    for k in (int(math.floor(pos)) + 1, int(math.ceil(pos)) + 1):
-                        open_[(c, k)] = (st[c]["lo"], st[c]["hi"], k)
-        found = _refine(long, open_)
-    finally:
-        long.unpersist()
+    at = lambda n: [(int(math.floor(p * (n - 1))) + 1, int(math.ceil(p * (n - 1))) + 1) for p in probs]
+    found, size = _ranks(df, {c: F.col(f"`{c}`") for c in cols}, lambda n: sorted({k for pair in at(n) for k in pair}))
     out: dict[str, list[float | None]] = {}
     for c in cols:
-        if c not in st:
-            out[c] = [None for _ in probs]
-            continue
-        n, vals = st[c]["n"], []
-        for p in probs:
+        n = size[c]
+        vals: list[float | None] = [None] * len(probs)
+        for j, p in enumerate(probs if n else []):
             pos = p * (n - 1)
-            lo, hi = found[(c, int(math.floor(pos)) + 1)], found[(c, int(math.ceil(pos)) + 1)]
-            vals.append(lo if lo == hi else lo + (hi - lo) * (pos - math.floor(pos)))
+            lo, hi = (found[(c, k)] for k in at(n)[j])
+            vals[j] = lo if lo == hi else lo + (hi - lo) * (pos - math.floor(pos))
         out[c] = vals
     return out
 
 
-def exact_quantiles(df: DataFrame, col: Column, probs: list[float]) -> list[float | None]:
-    """Linear-interpolation quantiles of one column: pos = p (n - 1); lo + (hi - lo) * frac."""
+def quantiles_by(df: DataFrame, by: list[str], target: str, probs: list[float], block: int = 32) -> DataFrame:
+    """One row per group of ``by``: q0, q1, ... The groups' keys reach the driver (models, folds, levels of a
+    column); groups are taken ``block`` at a time, each as a column of its own in shared passes."""
+    spark, types = df.sparkSession, [df.schema[c] for c in by]
+    groups = sorted(df.select(*by).distinct().collect(), key=repr)
+    rows = []
+    for at in range(0, len(groups), block):
+        part = groups[at:at + block]
+        same = [[F.col(c).eqNullSafe(F.lit(g[c])) for c in by] for g in part]
+        cols = []
+        for i, conds in enumerate(same):
+            cond = conds[0]
+            for c in conds[1:]:
+                cond = cond & c
+            cols.append(F.when(cond, F.col(target).cast("double")).alias(f"g{i}"))
+        got = grouped_quantiles(df.select(*cols), [f"g{i}" for i in range(len(part))], probs)
+        rows += [(*[g[c] for c in by], *got[f"g{i}"]) for i, g in enumerate(part)]
+    from pyspark.sql import types as T
+    return spark.createDataFrame(rows, T.StructType(types + [T.StructField(f"q{j}", T.DoubleType()) for j in range(len(probs))]))
+
+
+def exact_quantiles(df: DataFrame, col: Column | str, probs: list[float]) -> list[float | None]:
+    """Linear-interpolation quantiles of one column."""
+    col = F.col(col) if isinstance(col, str) else col
     return grouped_quantiles(df.select(col.alias("_q")), ["_q"], probs)["_q"]

@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.selection import exact_quantiles
+from ..functions.selection import exact_quantiles, quantiles_by
 from ..functions.stats import adjusted_skew
 from .encode import long_values
 
@@ -155,8 +155,8 @@ def crosstab(df: DataFrame, cat: str, flag: str, values=(0, 1)) -> DataFrame:
 
 def box_stats(df: DataFrame, level: str, target: str = "price") -> DataFrame:
     """AU11: per level q1, median, q3 (exact), whiskers = extreme values within 1.5 IQR fences."""
-    q = df.groupBy(level).agg(F.percentile(target, [0.25, 0.5, 0.75]).alias("_q"), F.count(F.lit(1)).alias("n"))
-    q = q.select(level, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    q = quantiles_by(df, [level], target, [0.25, 0.5, 0.75]).toDF(level, "q1", "median", "q3")     # one row per level
+    q = df.groupBy(level).agg(F.count(F.lit(1)).alias("n")).join(q, level)
     q = q.withColumn("_lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).withColumn("_hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
     j = df.select(level, F.col(target).alias("_y")).join(q.select(level, "_lo", "_hi"), level)
     wsk = j.groupBy(level).agg(F.min(F.when(F.col("_y") >= F.col("_lo"), F.col("_y"))).alias("whisker_lo"),

@@ -28,9 +28,7 @@ def oof_long(preds_by_model: dict[str, DataFrame], key: str = "ID") -> DataFrame
 
 def oof_wide(long: DataFrame, members: list[str], key: str = "ID") -> DataFrame:
     """Pivot to one column per member (explicit values: no extra distinct pass); non-finite rows dropped."""
-    w = long.groupBy(key).pivot("model", members).agg(F.first("oof"))
-    y = long.groupBy(key).agg(F.first("y").alias("y"))
-    j = w.join(y, key)
+    j = long.groupBy(key).agg(*[F.max(F.when(F.col("model") == m, F.col("oof"))).alias(m) for m in members], F.max("y").alias("y"))
     ok = F.lit(True)
     for m in members + ["y"]:
         ok = ok & F.col(m).isNotNull() & ~F.isnan(F.col(m))
@@ -57,6 +55,8 @@ def gram(wide: DataFrame, members: list[str]) -> tuple[np.ndarray, np.ndarray, f
 def nnls_gram(G: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact NNLS min ||y - Xw||^2, w >= 0, from the Gram matrix by active-set enumeration (k <= 12)."""
     k = len(b)
+    if k > 12:
+        raise ValueError(f"{k} members: the enumeration of active sets is meant for at most 12")
     best, best_obj = np.zeros(k), 0.0
     for size in range(1, k + 1):
         for subset in itertools.combinations(range(k), size):
@@ -223,12 +223,15 @@ class WeightedEnsembleModel:
         self.fitted, self.weights, self.key = fitted, weights, key
 
     def transform(self, df: DataFrame) -> DataFrame:
-        out, pred = df, F.lit(0.0)
+        """Members score the same rows one after the other: raw columns travel along, so nothing is joined."""
+        pred, done = F.lit(0.0), []
+        out = df.select("*", F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_raw"))
         for n, m in self.fitted.items():
-            p = m.transform(df).select(self.key, F.col("prediction").alias(f"_p_{n}"))
-            out = out.join(p, self.key)
+            scored = m.transform(out)
+            out = scored.select("_raw", *done, F.col("prediction").alias(f"_p_{n}")).select("_raw.*", "_raw", *done, f"_p_{n}")
+            done.append(f"_p_{n}")
             pred = pred + F.lit(float(self.weights[n])) * F.col(f"_p_{n}")
-        return out.withColumn("prediction", pred).drop(*[f"_p_{n}" for n in self.fitted])
+        return out.select("_raw.*", pred.alias("prediction"))
 
     def weight_table(self) -> list[tuple[str, float]]:
         return sorted(((n, round(w, 4)) for n, w in self.weights.items()), key=lambda t: -t[1])

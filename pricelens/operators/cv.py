@@ -15,7 +15,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .group_models import cv_score_view, cv_train_view, fit_closed_form
+from .group_models import cv_score_view, fit_closed_form_cv
 from .split import assign_folds
 
 PRED_COLS = ["repeat", "fold", "role", "y", "pred"]
@@ -61,7 +61,7 @@ def cv_predictions_closed(df: DataFrame, spec: dict, key: str = "ID", target: st
     levels = sorted(c for c in need if c)
     extra = [c for c in (carry or []) if c not in levels]
     folded = assign_folds(df.select(key, target, *levels, *extra), key, k, seed, repeats)
-    model = fit_closed_form(spec, cv_train_view(folded, k), ["repeat", "f"], target)
+    model = fit_closed_form_cv(spec, folded, k, target)
     scored = model.predict(cv_score_view(folded, k, roles), "pred")
     return scored.select(key, "repeat", F.col("f").alias("fold"), "role", F.col(target).alias("y"), "pred",
                          *(carry or []))
@@ -73,11 +73,11 @@ def cv_predictions_estimator(df: DataFrame, make_estimator: Callable[[], object]
                              roles=("train", "val")) -> DataFrame:
     """Prediction table of any estimator with ``fit(df).transform(df)``; one fit per fold.
 
-    The folded input is cached once; fits run from a small thread pool (each
-    fit is itself a set of distributed Spark jobs). The result is the union
-    of per-fold scorings.
+    Fits run from a small thread pool (each fit is itself a set of distributed
+    Spark jobs and keeps its own training rows while it runs). The result is
+    the union of per-fold scorings.
     """
-    folded = assign_folds(df, key, k, seed, repeats).cache()
+    folded = assign_folds(df, key, k, seed, repeats)
     jobs = [(r, f) for r in range(repeats) for f in range(k)]
 
     def one(job):

@@ -13,16 +13,13 @@ from pyspark.sql import functions as F
 from ..functions.selection import exact_quantiles, kth_largest
 from ..functions.stats import adjusted_skew
 
-EDGE_DP = 6   # edges rounded so last-bit interpolation differences cannot move a tied value across an edge
-
-
 # ----------------------------------------------------------------------------
 # QB1: pandas-style qcut
 # ----------------------------------------------------------------------------
 def qcut_edges(df: DataFrame, col: Column, q: int = 10) -> list[float]:
-    """Quantile edges by linear interpolation, rounded, duplicates dropped (sorted)."""
+    """Quantile edges by linear interpolation, duplicates dropped (sorted); never rounded."""
     edges = exact_quantiles(df, col, [i / q for i in range(q + 1)])
-    return sorted({round(e, EDGE_DP) for e in edges if e is not None})
+    return sorted({e for e in edges if e is not None})
 
 
 def qcut_label(col: Column, edges: list[float]) -> Column:

@@ -8,6 +8,7 @@ a long (column, value) view so one aggregation serves every column.
 """
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,10 +16,12 @@ from pyspark.sql import functions as F
 
 from ..functions.portable import hash_int
 
+# Labels and the level limit must equal those of the encodings reproduced here.
 MISSING = "__missing__"
 LEVEL_SUFFIX = "__lvl"
 MAX_LEVELS = 60
 INDICATOR_PREFIX = "missingindicator_"
+CHUNK_ROWS = 50_000
 
 
 def long_values(df: DataFrame, cols: list[str], key: str | None = None) -> DataFrame:
@@ -198,7 +201,7 @@ def one_hot_long(df: DataFrame, vocab: DataFrame, cols: list[str], key: str = "I
 # EN17: ordered target statistics, salted for hot levels
 # ----------------------------------------------------------------------------
 def ordered_target_stats(train: DataFrame, level: str, target: str, key: str = "ID", a: float = 1.0,
-                         seed: int = 42, chunk_bits: int = 8, out: str = "ots") -> DataFrame:
+                         seed: int = 42, chunk_bits: int | None = None, out: str = "ots") -> DataFrame:
     """EN17: each row encoded from *earlier* rows of its level: (sum y + a prior) / (n + a).
 
     Row order = (hash(seed, key), key). A hot level is split into 2^chunk_bits
@@ -208,8 +211,10 @@ def ordered_target_stats(train: DataFrame, level: str, target: str, key: str = "
     so no task sees more than one chunk of one level.
     """
     prior = train.agg(F.avg(target)).scalar()
+    if chunk_bits is None:      # a chunk of the whole table holds about CHUNK_ROWS rows, whatever its size
+        chunk_bits = min(32, max(0, math.ceil(math.log2(max(1, train.count()) / CHUNK_ROWS))))
     h = hash_int(seed, F.col(key))
-    d = train.select(key, level, target, h.alias("_h")).withColumn("_c", F.shiftright("_h", 32 - chunk_bits))
+    d = train.select(key, level, target, h.alias("_h")).withColumn("_c", F.shiftright("_h", 32 - chunk_bits) if chunk_bits else F.lit(0).cast("long"))
     chunks = d.groupBy(level, "_c").agg(F.sum(target).alias("_cs"), F.count(F.lit(1)).alias("_cn"))
     wc = Window.partitionBy(level).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
     chunks = chunks.select(level, "_c", F.coalesce(F.sum("_cs").over(wc), F.lit(0.0)).alias("_ps"),

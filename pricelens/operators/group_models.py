@@ -18,10 +18,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.selection import quantiles_by
+
 
 # ----------------------------------------------------------------------------
 # Views: which rows train / score which model
@@ -63,14 +64,31 @@ class GroupModel:
         return res.select(*keep, total.alias(out))
 
 
+def cells_of(train: DataFrame, mid: list[str], levels: list[str], target: str) -> DataFrame:
+    """One row per model and combination of levels: _n rows with target sum _s. All fits below run on it."""
+    return train.groupBy(*mid, *levels).agg(F.count(F.lit(1)).alias("_n"), F.sum(target).alias("_s"))
+
+
+def cv_cells(folded: DataFrame, k: int, levels: list[str], target: str) -> DataFrame:
+    """Cells of every fold model (repeat, f): rows are summed once per fold, and only those sums are repeated
+    for the k - 1 models that train on the fold."""
+    own = folded.groupBy("repeat", "fold", *levels).agg(F.count(F.lit(1)).alias("_n"), F.sum(target).alias("_s"))
+    each = own.withColumn("f", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).filter(F.col("f") != F.col("fold"))
+    return each.groupBy("repeat", "f", *levels).agg(F.sum("_n").alias("_n"), F.sum("_s").alias("_s"))
+
+
 def fit_mean(train: DataFrame, mid: list[str], target: str) -> GroupModel:
     """MD1: DummyRegressor('mean')."""
-    return GroupModel(mid, train.groupBy(*mid).agg(F.avg(target).alias("_b")))
+    return mean_from_cells(cells_of(train, mid, [], target), mid)
+
+
+def mean_from_cells(cells: DataFrame, mid: list[str]) -> GroupModel:
+    return GroupModel(mid, cells.groupBy(*mid).agg((F.sum("_s") / F.sum("_n")).alias("_b")))
 
 
 def fit_median(train: DataFrame, mid: list[str], target: str) -> GroupModel:
-    """MD2: DummyRegressor('median'): exact median, middle pair averaged (T2)."""
-    return GroupModel(mid, train.groupBy(*mid).agg(F.percentile(target, 0.5).alias("_b")))
+    """MD2: DummyRegressor('median'): exact median, middle pair averaged (T2), by bounded selection passes."""
+    return GroupModel(mid, quantiles_by(train, mid, target, [0.5]).withColumnRenamed("q0", "_b"))
 
 
 def fit_one_factor_ridge(train: DataFrame, mid: list[str], target: str, level: str, alpha: float) -> GroupModel:
@@ -78,8 +96,12 @@ def fit_one_factor_ridge(train: DataFrame, mid: list[str], target: str, level: s
 
     w_l = n_l / (n_l + alpha); b = sum w_l ybar_l / sum w_l; effect_l = w_l (ybar_l - b).
     """
-    cells = (train.groupBy(*mid, level).agg(F.count(F.lit(1)).alias("n"), F.avg(target).alias("ybar"))
-             .withColumn("w", F.col("n") / (F.col("n") + F.lit(float(alpha)))))
+    return one_factor_from_cells(cells_of(train, mid, [level], target), mid, level, alpha)
+
+
+def one_factor_from_cells(cells: DataFrame, mid: list[str], level: str, alpha: float) -> GroupModel:
+    cells = (cells.withColumn("ybar", F.col("_s") / F.col("_n"))
+             .withColumn("w", F.col("_n") / (F.col("_n") + F.lit(float(alpha)))))
     b = cells.groupBy(*mid).agg((F.sum(F.col("w") * F.col("ybar")) / F.sum("w")).alias("_b"))
     eff = (cells.join(F.broadcast(b), mid)
            .select(*mid, level, (F.col("w") * (F.col("ybar") - F.col("_b"))).alias(f"e_{level}")))
@@ -93,32 +115,32 @@ def fit_backfit(train: DataFrame, mid: list[str], target: str, levels: list[str]
     Intercept fixed at the training mean; each step refits one feature's level
     effects on the partial residual, shrunk as sum(r) / (n + lam). Additive by
     construction.
+    """
+    return backfit_from_cells(cells_of(train, mid, levels, target), mid, levels, lam, sweeps)
 
-    The training rows stay fixed (persisted for the sweeps) and each step joins
-    them only to the *current* effect tables of the other features. Every new
-    effect table (model ids x levels rows) is cut from its lineage with a
-    reliable checkpoint into spark.checkpoint.dir, so the plan stays the same
-    size however many sweeps run (re-joining derived rows would double the
-    plan at every step).
+
+def backfit_from_cells(cells: DataFrame, mid: list[str], levels: list[str], lam: float, sweeps: int = 3) -> GroupModel:
+    """Backfitting on the sums per combination of levels: the data are read once, however many sweeps run.
+
+    Every new effect table (model ids x levels rows) is cut from its lineage with a reliable checkpoint
+    into spark.checkpoint.dir, so the plan stays the same size.
     """
     from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(train.sparkSession)
-    b = train.groupBy(*mid).agg(F.avg(target).alias("_b")).checkpoint()
-    base = train.select(*mid, *levels, target).join(F.broadcast(b), mid).persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(cells.sparkSession)
+    cells = cells.checkpoint()
+    b = cells.groupBy(*mid).agg((F.sum("_s") / F.sum("_n")).alias("_b")).checkpoint()
+    base = cells.join(F.broadcast(b), mid)      # one row per model
     effects: dict[str, DataFrame] = {}
-    try:
-        for _ in range(sweeps):
-            for lvl in levels:
-                rows, resid = base, F.col(target) - F.col("_b")
-                for o in levels:
-                    if o != lvl and o in effects:
-                        rows = rows.join(effects[o], mid + [o], "left")
-                        resid = resid - F.coalesce(F.col(f"e_{o}"), F.lit(0.0))
-                tab = (rows.groupBy(*mid, lvl)
-                       .agg((F.sum(resid) / (F.count(F.lit(1)) + F.lit(float(lam)))).alias(f"e_{lvl}")))
-                effects[lvl] = tab.checkpoint()
-    finally:
-        base.unpersist()
+    for _ in range(sweeps):
+        for lvl in levels:
+            rows, fitted = base, F.col("_b")
+            for o in levels:
+                if o != lvl and o in effects:
+                    rows = rows.join(effects[o], mid + [o], "left")
+                    fitted = fitted + F.coalesce(F.col(f"e_{o}"), F.lit(0.0))
+            tab = (rows.groupBy(*mid, lvl)
+                   .agg((F.sum(F.col("_s") - F.col("_n") * fitted) / (F.sum("_n") + F.lit(float(lam)))).alias(f"e_{lvl}")))
+            effects[lvl] = tab.checkpoint()
     return GroupModel(mid, b, effects)
 
 
@@ -142,13 +164,28 @@ def predict_smeared(model: GroupModel, smear: DataFrame, rows: DataFrame, out: s
 
 def fit_closed_form(spec: dict, train: DataFrame, mid: list[str], target: str) -> GroupModel:
     """Dispatch on a spec dict: {'kind': 'mean'|'median'|'ridge1'|'backfit', ...}."""
+    if spec["kind"] == "median":
+        return fit_median(train, mid, target)
+    return fit_from_cells(spec, cells_of(train, mid, spec_levels(spec), target), mid)
+
+
+def fit_closed_form_cv(spec: dict, folded: DataFrame, k: int, target: str) -> GroupModel:
+    """All fold models (repeat, f) of a spec from one pass over the folded rows."""
+    if spec["kind"] == "median":
+        return fit_median(cv_train_view(folded, k), ["repeat", "f"], target)
+    return fit_from_cells(spec, cv_cells(folded, k, spec_levels(spec), target), ["repeat", "f"])
+
+
+def spec_levels(spec: dict) -> list[str]:
+    return [spec["level"]] if spec.get("level") else list(spec.get("levels", []))
+
+
+def fit_from_cells(spec: dict, cells: DataFrame, mid: list[str]) -> GroupModel:
     kind = spec["kind"]
     if kind == "mean":
-        return fit_mean(train, mid, target)
-    if kind == "median":
-        return fit_median(train, mid, target)
+        return mean_from_cells(cells, mid)
     if kind == "ridge1":
-        return fit_one_factor_ridge(train, mid, target, spec["level"], spec.get("alpha", 1.0))
+        return one_factor_from_cells(cells, mid, spec["level"], spec.get("alpha", 1.0))
     if kind == "backfit":
-        return fit_backfit(train, mid, target, spec["levels"], spec.get("lam", 1.0), spec.get("sweeps", 3))
-    raise ValueError(f"unknown closed-form model kind {kind!r}")
+        return backfit_from_cells(cells, mid, spec["levels"], spec.get("lam", 1.0), spec.get("sweeps", 3))
+    raise ValueError(f"no closed form for model kind {kind!r}")

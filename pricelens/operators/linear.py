@@ -1,139 +1,262 @@
-"""Ridge scans from per-fold Gram matrices (MD4 at scale, MD20, CV7, CV8).
-
-One pass over the encoded rows computes, per fold f, the sufficient
-statistics S_f = (n, sum x, sum y, X'X, X'y, y'y) with ``mapInPandas`` (each
-task emits one small row per fold it saw; output size = tasks x folds x p^2,
-independent of n). Training statistics of fold f are the total minus S_f, so
-all k folds and every alpha are solved on the driver from p x p systems
-(intercept unpenalised via centring, the reference's ridge objective). A
-second pass scores every row for every alpha of its own fold in JVM-side
-array expressions. p is the encoded width (hundreds), never the row count.
+"""Ridge cross-validation from one pass over the rows (MD4 at scale, MD20, CV1, CV7, CV8).
+
+Every representation is a linear map of a few raw columns per feature: a 0/1
+column for each level (and one for "missing"), the value with missing as 0, and
+a missing flag. ``fold_grams`` computes, per fold, the count, sums and pairwise
+cross products of those raw columns and of the target in one scan; partial
+tables are merged on the executors (by block of rows, salted, then by block), so
+the driver receives folds x width^2 numbers whatever the number of rows or tasks.
+
+Training statistics of fold f are total minus f. Imputation by the training
+median or mode, missing indicators, centring, scaling and level routing become
+a matrix A per fold and representation; ridge on the represented columns is
+(A'CA + alpha I) w = A'c with the centred training Gram C. All folds, penalties,
+feature sets and interaction pairs are solved from the same scan, and one
+second scan scores them all.
 """
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import vector_to_array
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.selection import grouped_quantiles
+from . import encode as en
+
+BLOCK = 64
+SALTS = 32
+CHUNK = 1024
+
+
+@dataclass
+class Design:
+    """Raw columns: ``levels[c]`` lists the labels of c (None: missing), ``numbers`` the numeric columns."""
+
+    levels: dict[str, list]
+    numbers: list[str]
+    numeric: set[str]
 
+    def __post_init__(self):
+        self.at: dict[tuple[str, object], int] = {}
+        for c, labels in self.levels.items():
+            for v in labels:
+                self.at[(c, v)] = len(self.at)
+        for c in self.numbers:
+            self.at[(c, "__x")] = len(self.at)
+            self.at[(c, "__null")] = len(self.at)
+        self.width = len(self.at)
 
-def _partial_gram(p: int):
-    def fn(it):
-        acc: dict[int, list] = {}
-        for pdf in it:
-            if pdf.empty:
-                continue
-            X = np.stack(pdf["x"].to_numpy()).astype(float)
-            y = pdf["y"].to_numpy(dtype=float)
-            for f in np.unique(pdf["fold"].to_numpy()):
-                m = pdf["fold"].to_numpy() == f
-                Xf, yf = X[m], y[m]
-                a = acc.setdefault(int(f), [0, np.zeros(p), 0.0, np.zeros((p, p)), np.zeros(p), 0.0])
-                a[0] += int(m.sum())
-                a[1] += Xf.sum(axis=0)
-                a[2] += float(yf.sum())
-                a[3] += Xf.T @ Xf
-                a[4] += Xf.T @ yf
-                a[5] += float(yf @ yf)
-        rows = [{"fold": f, "n": a[0], "sx": a[1].tolist(), "sy": a[2], "xx": a[3].ravel().tolist(),
-                 "xy": a[4].tolist(), "yy": a[5]} for f, a in acc.items()]
-        yield pd.DataFrame(rows, columns=["fold", "n", "sx", "sy", "xx", "xy", "yy"])
+    def matrix(self, pdf: pd.DataFrame) -> np.ndarray:
+        z = np.zeros((len(pdf), self.width))
+        rows = np.arange(len(pdf))
+        for c, labels in self.levels.items():
+            where = {v: self.at[(c, v)] for v in labels}
+            v = pdf[c + "__l"]
+            idx = np.array([where.get(None if x is None or x != x else x, -1) for x in v])
+            z[rows[idx >= 0], idx[idx >= 0]] = 1.0
+        for c in self.numbers:
+            x = pdf[c + "__n"].to_numpy(dtype=float)
+            miss = np.isnan(x)
+            z[:, self.at[(c, "__x")]] = np.where(miss, 0.0, x)
+            z[:, self.at[(c, "__null")]] = miss
+        return z
+
+
+def prepare(df: DataFrame, cols: list[str], fold: str = "fold", target: str = "price", key_limit: int = 10 * en.MAX_LEVELS):
+    """(design, rows): the labels of every column that may be encoded as levels, and the narrow table both scans read."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    text = [c for c in cols if isinstance(types[c], T.StringType)]
+    nums = [c for c in cols if c not in text]
+    many = df.agg(*[F.approx_count_distinct(c).alias(c) for c in nums]).first().asDict() if nums else {}
+    small = [c for c in nums if many[c] <= key_limit]     # a column far above the level limit is wide in every fold
+    label = {c: F.col(c) for c in text} | {c: F.col(c).cast("double").cast("string") for c in small}
+    rows = df.select(F.col(fold).cast("int").alias("fold"), F.col(target).cast("double").alias("y"), *[label[c].alias(c + "__l") for c in label],
+                     *[F.col(c).cast("double").alias(c + "__n") for c in nums])
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c + "__l").alias("v")) for c in label])).alias("p")
+    seen: dict[str, list] = {c: [] for c in label}
+    for r in rows.select(pairs).select("p.c", "p.v").distinct().collect() if label else []:   # the width of the design
+        seen[r["c"]].append(r["v"])
+    order = lambda v: (v is not None, "" if v is None else v)
+    return Design({c: sorted(v, key=order) for c, v in seen.items()}, nums, set(nums)), rows
+
+
+def _grams(design: Design):
+    p = design.width + 2       # raw columns, one, target
+
+    def fn(batches):
+        acc: dict[int, np.ndarray] = {}
+        for pdf in batches:
+            for lo in range(0, len(pdf), CHUNK):
+                part = pdf.iloc[lo:lo + CHUNK]
+                z = np.hstack([design.matrix(part), np.ones((len(part), 1)), part[["y"]].to_numpy(dtype=float)])
+                for f in np.unique(part["fold"]):
+                    own = z[(part["fold"] == f).to_numpy()]
+                    acc.setdefault(int(f), np.zeros((p, p)))
+                    acc[int(f)] += own.T @ own
+        salt = TaskContext.get().partitionId() % SALTS
+        for f, a in acc.items():
+            for lo in range(0, p, BLOCK):
+                yield pd.DataFrame({"fold": [f], "blk": [lo // BLOCK], "salt": [salt], "v": [a[lo:lo + BLOCK].tobytes()]})
     return fn
 
 
-def fold_grams(df: DataFrame, p: int, features: str = "features", y: str = "y", fold: str = "fold") -> dict[int, tuple]:
-    """{fold: (n, sum x, sum y, X'X, X'y, y'y)} from one pass."""
-    d = df.select(vector_to_array(F.col(features)).alias("x"), F.col(y).cast("double").alias("y"),
-                  F.col(fold).cast("int").alias("fold"))
-    schema = "fold int, n long, sx array<double>, sy double, xx array<double>, xy array<double>, yy double"
-    rows = d.mapInPandas(_partial_gram(p), schema).collect()  # tasks x folds rows of p^2 numbers
-    out: dict[int, list] = {}
-    for r in rows:
-        a = out.setdefault(r["fold"], [0, np.zeros(p), 0.0, np.zeros((p, p)), np.zeros(p), 0.0])
-        a[0] += r["n"]
-        a[1] += np.asarray(r["sx"])
-        a[2] += r["sy"]
-        a[3] += np.asarray(r["xx"]).reshape(p, p)
-        a[4] += np.asarray(r["xy"])
-        a[5] += r["yy"]
-    return {f: tuple(a) for f, a in out.items()}
-
-
-def ridge_solve(stats: tuple, alpha: float) -> tuple[np.ndarray, float]:
-    """min ||y - b - Xw||^2 + alpha ||w||^2 (intercept unpenalised) from sufficient statistics."""
-    n, sx, sy, xx, xy, _ = stats
-    mx, my = sx / n, sy / n
-    c = xx - n * np.outer(mx, mx)
-    cy = xy - n * mx * my
-    p = len(sx)
-    w = np.linalg.lstsq(c + alpha * np.eye(p), cy, rcond=None)[0] if alpha == 0 else np.linalg.solve(c + alpha * np.eye(p), cy)
-    return w, float(my - mx @ w)
-
-
-def complement(total: tuple, part: tuple) -> tuple:
-    return tuple(t - q for t, q in zip(total, part))
-
-
-def ridge_cv_scan(encoded: DataFrame, p: int, alphas: list[float], key: str = "ID", y: str = "y",
-                  features: str = "features", fold: str = "fold", only_folds: list[int] | None = None) -> DataFrame:
-    """MD20: per (alpha, fold, role) n / rmse / mae of ridge fits, all from one Gram pass + one scoring pass.
-
-    Returns a long table (alpha, fold, role, n, rmse, mae) -- role 'val' on the
-    fold's own rows, 'train' on the rest (train RMSE from rows too, so MAE is exact).
-    """
-    grams = fold_grams(encoded, p, features, y, fold)
-    folds = [f for f in sorted(grams) if only_folds is None or f in only_folds]
-    total = tuple(sum(g[i] for g in grams.values()) for i in range(6))
-    coefs = {}
-    for f in folds:
-        tr = complement(total, grams[f])
-        for a in alphas:
-            coefs[(f, a)] = ridge_solve(tr, a)
-    # scoring: one pass; each task multiplies its rows by the (fold models x alphas) coefficient
-    # matrix (m x p, shipped with the task) and emits only partial sums (n, SSE, SAE) per
-    # (model, alpha, role) -- output bounded by tasks x m x 2, exact RMSE / MAE after the sum
-    keys = list(coefs)
-    W = np.stack([coefs[k][0] for k in keys])
-    B = np.array([coefs[k][1] for k in keys])
-    fid = np.array([k[0] for k in keys])
-    rows = encoded.select(vector_to_array(F.col(features)).alias("x"), F.col(y).cast("double").alias("y"),
-                          F.col(fold).cast("int").alias("fold"))
-    schema = "f int, alpha double, role string, n long, sse double, sae double"
-    part = rows.mapInPandas(_score_partials(keys, W, B, fid), schema)
-    g = part.groupBy("alpha", F.col("f").alias("fold"), "role").agg(
-        F.sum("n").alias("n"), F.sum("sse").alias("_sse"), F.sum("sae").alias("_sae"))
-    return g.select("alpha", "fold", "role", "n", F.sqrt(F.col("_sse") / F.col("n")).alias("rmse"),
-                    (F.col("_sae") / F.col("n")).alias("mae"))
-
-
-def _score_partials(keys, W, B, fid):
-    def fn(it):
-        m = len(keys)
-        acc = np.zeros((m, 2, 3))
-        for pdf in it:
-            if pdf.empty:
-                continue
-            X = np.stack(pdf["x"].to_numpy()).astype(float)
-            yv = pdf["y"].to_numpy(dtype=float)
-            fo = pdf["fold"].to_numpy()
-            E = yv[:, None] - (X @ W.T + B)
-            val = fo[:, None] == fid[None, :]
-            for role, mask in ((0, ~val), (1, val)):
-                acc[:, role, 0] += mask.sum(axis=0)
-                acc[:, role, 1] += (E * E * mask).sum(axis=0)
-                acc[:, role, 2] += (np.abs(E) * mask).sum(axis=0)
-        out = [(int(k[0]), float(k[1]), "val" if r else "train", int(acc[i, r, 0]), float(acc[i, r, 1]), float(acc[i, r, 2]))
-               for i, k in enumerate(keys) for r in (0, 1) if acc[i, r, 0] > 0]
-        yield pd.DataFrame(out, columns=["f", "alpha", "role", "n", "sse", "sae"])
+def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
+    total = sum(np.frombuffer(v) for v in pdf["v"])
+    return pd.DataFrame({"fold": pdf["fold"].iloc[:1], "blk": pdf["blk"].iloc[:1], "salt": [0], "v": [total.tobytes()]})
+
+
+def fold_grams(rows: DataFrame, design: Design, k: int) -> dict[int, np.ndarray]:
+    """{fold: cross products of (raw columns, 1, target)} from one pass."""
+    schema = "fold int, blk int, salt int, v binary"
+    part = rows.mapInPandas(_grams(design), schema)
+    part = part.groupBy("fold", "blk", "salt").applyInPandas(_merge, schema).groupBy("fold", "blk").applyInPandas(_merge, schema)
+    p = design.width + 2
+    out: dict[int, np.ndarray] = {f: np.zeros((p, p)) for f in range(k)}
+    for r in part.collect():
+        v = np.frombuffer(bytes(r["v"])).reshape(-1, p)
+        out[r["fold"]][r["blk"] * BLOCK:r["blk"] * BLOCK + len(v)] = v
+    return out
+
+
+def fold_medians(rows: DataFrame, design: Design, gram: np.ndarray, k: int) -> dict[tuple[int, str], float]:
+    """Training median of every fold for the numeric columns that have missing values (others need none)."""
+    n = design.width
+    holes = [c for c in design.numbers if gram[n, design.at[(c, "__null")]] > 0]
+    if not holes:
+        return {}
+    cols = {f"{f}:{c}": F.when(F.col("fold") != f, F.col(c + "__n")) for f in range(k) for c in holes}
+    got = grouped_quantiles(rows.select(*[e.alias(a) for a, e in cols.items()]), list(cols), [0.5])
+    return {(int(a.split(":")[0]), a.split(":", 1)[1]): v[0] or 0.0 for a, v in got.items()}
+
+
+def representation(design: Design, train: np.ndarray, medians: dict[str, float], cols: list[str], kind: str,
+                   max_levels: int = en.MAX_LEVELS) -> np.ndarray:
+    """A: raw columns -> represented columns of ``kind`` on the features ``cols`` (EN13-EN15), from training cross products."""
+    n, one = train[design.width, design.width], design.width
+    out: list[np.ndarray] = []
+
+    def col(entries: dict[int, float]) -> None:
+        a = np.zeros(design.width)
+        for i, v in entries.items():
+            a[i] = v
+        out.append(a)
+
+    def dummies(c: str, missing_is_level: bool) -> None:
+        count = {v: train[design.at[(c, v)], one] for v in design.levels[c]}
+        seen = [v for v in design.levels[c] if v is not None and count[v] > 0]
+        mode = min((v for v in seen), key=lambda v: (-count[v], v), default=None)
+        for v in seen:
+            entries = {design.at[(c, v)]: 1.0}
+            if v == mode and not missing_is_level and (c, None) in design.at:
+                entries[design.at[(c, None)]] = 1.0
+            col(entries)
+        if missing_is_level and count.get(None, 0) > 0:
+            col({design.at[(c, None)]: 1.0})
+
+    def scaled(entries: dict[int, float]) -> None:
+        a = np.zeros(design.width)
+        for i, v in entries.items():
+            a[i] = v
+        mean = a @ train[:one, one] / n
+        var = a @ train[:one, :one] @ a / n - mean * mean
+        sd = np.sqrt(var) if var > 1e-12 * max(1.0, mean * mean) else 1.0
+        out.append(a / sd)
+
+    def number(c: str) -> None:
+        x, m = design.at[(c, "__x")], design.at[(c, "__null")]
+        scaled({x: 1.0, m: medians.get(c, 0.0)})
+        if train[m, one] > 0:
+            flags.append(m)
+
+    flags: list[int] = []
+    text = [c for c in cols if c not in design.numeric]
+    nums = [c for c in cols if c in design.numeric]
+    if kind == "onehot":
+        for c in text:
+            dummies(c, False)
+        for c in nums:
+            number(c)
+    elif kind in ("levels", "levels_plus"):
+        few = [c for c in nums if c in design.levels
+               and sum(train[design.at[(c, v)], one] > 0 for v in design.levels[c] if v is not None) <= max_levels]
+        for c in text + few:
+            dummies(c, True)
+        for c in nums:
+            if c not in few or kind == "levels_plus":
+                number(c)
+    else:
+        raise ValueError(f"ridge scans run on onehot, levels and levels_plus, not {kind!r}")
+    for m in flags:
+        scaled({m: 1.0})
+    return np.stack(out, axis=1)
+
+
+def ridge_solve(train: np.ndarray, a: np.ndarray, alphas: list[float]) -> list[tuple[np.ndarray, float]]:
+    """(weights on the raw columns, intercept) per alpha: min ||y - b - Xw||^2 + alpha ||w||^2, b free."""
+    one, y = len(a), len(a) + 1
+    n = train[one, one]
+    mz, my = train[:one, one] / n, train[one, y] / n
+    x = a.T @ (train[:one, :one] - n * np.outer(mz, mz)) @ a
+    c = a.T @ (train[:one, y] - n * mz * my)
+    out = []
+    for alpha in alphas:
+        m = x + alpha * np.eye(len(x))
+        v = a @ (np.linalg.lstsq(m, c, rcond=None)[0] if alpha == 0 else np.linalg.solve(m, c))
+        out.append((v, float(my - mz @ v)))
+    return out
+
+
+def _scores(design: Design, keys: list[tuple], w: np.ndarray, b: np.ndarray):
+    fid = np.array([k[2] for k in keys])
+
+    def fn(batches):
+        acc = np.zeros((len(keys), 2, 3))
+        for pdf in batches:
+            for lo in range(0, len(pdf), CHUNK):
+                part = pdf.iloc[lo:lo + CHUNK]
+                e = part["y"].to_numpy(dtype=float)[:, None] - (design.matrix(part) @ w + b)
+                val = part["fold"].to_numpy()[:, None] == fid[None, :]
+                for role, mask in ((0, ~val), (1, val)):
+                    acc[:, role] += np.stack([mask.sum(axis=0), (e * e * mask).sum(axis=0), (np.abs(e) * mask).sum(axis=0)], axis=1)
+        yield pd.DataFrame([(k[0], float(k[1]), int(k[2]), "val" if r else "train", int(acc[i, r, 0]), acc[i, r, 1], acc[i, r, 2])
+                            for i, k in enumerate(keys) for r in (0, 1) if acc[i, r, 0] > 0],
+                           columns=["variant", "alpha", "fold", "role", "n", "sse", "sae"])
     return fn
 
 
-def scan_summary(scan: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """CV1-style summary per alpha (and variant): mean train/val RMSE, val sd, gap."""
-    by = (by or []) + ["alpha"]
+def ridge_scan(df: DataFrame, variants: dict[str, tuple[list[str], str]], alphas: list[float], k: int = 5, fold: str = "fold",
+               target: str = "price") -> DataFrame:
+    """(variant, alpha, fold, role, n, rmse, mae) of ridge for every variant (features, representation), alpha and fold."""
+    cols = list(dict.fromkeys(c for feats, _ in variants.values() for c in feats))
+    design, rows = prepare(df, cols, fold, target)
+    grams = fold_grams(rows, design, k)
+    total = sum(grams.values())
+    medians = fold_medians(rows, design, total, k)
+    keys, w, b = [], [], []
+    for f in range(k):
+        train = total - grams[f]
+        med = {c: v for (g, c), v in medians.items() if g == f}
+        for name, (feats, kind) in variants.items():
+            a = representation(design, train, med, feats, kind)
+            for alpha, (v, b0) in zip(alphas, ridge_solve(train, a, alphas)):
+                keys.append((name, alpha, f))
+                w.append(v)
+                b.append(b0)
+    part = rows.mapInPandas(_scores(design, keys, np.stack(w, axis=1), np.array(b)),
+                            "variant string, alpha double, fold int, role string, n long, sse double, sae double")
+    g = part.groupBy("variant", "alpha", "fold", "role").agg(F.sum("n").alias("n"), F.sum("sse").alias("sse"), F.sum("sae").alias("sae"))
+    return g.select("variant", "alpha", "fold", "role", "n", F.sqrt(F.col("sse") / F.col("n")).alias("rmse"), (F.col("sae") / F.col("n")).alias("mae"))
+
+
+def scan_summary(scan: DataFrame) -> DataFrame:
+    """CV1-style summary per variant and alpha: mean train/val RMSE, val sd, gap."""
     v, t = F.col("role") == "val", F.col("role") == "train"
-    return scan.groupBy(*by).agg(
+    return scan.groupBy("variant", "alpha").agg(
         F.avg(F.when(t, F.col("rmse"))).alias("train_rmse"), F.avg(F.when(v, F.col("rmse"))).alias("val_rmse"),
         F.avg(F.when(v, F.col("mae"))).alias("val_mae"),
         F.coalesce(F.stddev_samp(F.when(v, F.col("rmse"))), F.lit(0.0)).alias("val_rmse_std"),

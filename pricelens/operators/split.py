@@ -144,10 +144,8 @@ def half_split(df: DataFrame, key: str = "ID", seed: int = 0) -> DataFrame:
 
 # -- SP5 ------------------------------------------------------------------------
 def sample_rows(df: DataFrame, n: int, key: str = "ID", seed: int = 42) -> DataFrame:
-    """SP5: n rows without replacement (all rows if n >= count); TakeOrdered for small n."""
+    """SP5: n rows without replacement (all rows if n >= count), by the exact hash threshold at every n."""
     h = hash_int(seed, F.col(key))
-    if n <= 100_000:
-        return df.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")
     t = first_k_threshold(df, h, F.col(key), n)
     return df.filter(t.mask(h, F.col(key)))
 

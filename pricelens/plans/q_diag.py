@@ -34,7 +34,7 @@ DIAG_CTES = [
 
 def edges_sql(col: str, src: str = "diag") -> str:
     probs = ", ".join(repr(i / 10) for i in range(11))
-    return (f"(SELECT list_sort(list_distinct(list_transform(quantile_cont({col}, [{probs}]), lambda e: round(e, 6)))) "
+    return (f"(SELECT list_sort(list_distinct(quantile_cont({col}, [{probs}]))) "
             f"FROM {src})")
 
 

@@ -1,7 +1,7 @@
 """Registered queries: learned encodings (EN1-EN8, EN11, EN12, EN17).
 
-Fit rows are the dev split; vocabularies are fitted on dev rows without
-'Brand#1' so that transform time sees unseen categories. ``brand_gap`` is the
+Fit rows are the dev split with the label 'Brand#1' taken as missing, so that
+transform time sees an unseen category; no row is left out. ``brand_gap`` is the
 brand with NULL wherever the discount is zero, to exercise missing categories.
 """
 from __future__ import annotations
@@ -27,7 +27,8 @@ def base(spark, sf_dir):
 
 
 def fit_rows(d):
-    return d.filter((F.col("split") == "dev") & (F.col("brand") != "Brand#1"))
+    hide = [F.when(F.col(c) != "Brand#1", F.col(c)).alias(c) if c in ("brand", "brand_gap") else F.col(c) for c in d.columns]
+    return d.filter(F.col("split") == "dev").select(*hide)
 
 
 # SQL twin of base(): engineered columns needed here, computed directly
@@ -40,7 +41,8 @@ BASE_SQL = f"""SELECT ID, price, brand, device_type, os, gpu_model,
     / nullif(CAST(display_size_in AS DOUBLE), 0.0) AS res_ppi, weight_kg,
   CASE WHEN {unit_sql(42, 'ID')} < 0.2::DOUBLE THEN 'holdout' ELSE 'dev' END AS split
 FROM device"""
-FIT_SQL = "SELECT * FROM base WHERE split = 'dev' AND brand <> 'Brand#1'"
+FIT_SQL = ("SELECT * REPLACE (CASE WHEN brand <> 'Brand#1' THEN brand END AS brand, "
+           "CASE WHEN brand_gap <> 'Brand#1' THEN brand_gap END AS brand_gap) FROM base WHERE split = 'dev'")
 
 
 def _long_sql(src: str, cols: list[str], key: bool = False) -> str:
@@ -108,12 +110,12 @@ def q_en458(spark, sf_dir):
 
 @query("en6_onehot_long", with_ctes(
     "SELECT l.ID, l.col_name || '_' || l.value AS feature, 1.0::DOUBLE AS value FROM "
-    f"({_long_sql('(SELECT * FROM base WHERE split = ' + chr(39) + 'holdout' + chr(39) + ')', TEXT, key=True)}) l "
+    f"({_long_sql('base', TEXT, key=True)}) l "
     "JOIN vocab v ON v.col_name = l.col_name AND v.value = l.value", *ctes(f"vocab AS ({VOCAB_SQL})")))
 def q_en6(spark, sf_dir):
     d = base(spark, sf_dir)
     v = en.vocabulary(fit_rows(d), TEXT)
-    return en.one_hot_long(d.filter(F.col("split") == "holdout"), v, TEXT)
+    return en.one_hot_long(d, v, TEXT)
 
 
 @query("en7_ordinal_codes", with_ctes(

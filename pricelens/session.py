@@ -3,8 +3,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "pricelens") -> SparkSession:
@@ -32,7 +33,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when it is unset (local tests) a fresh scratch folder is created.
+    is. Only when it is unset (local tests) a fresh scratch folder is created;
+    on a cluster an unset folder raises, for others couldn't read a machine-local one.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -40,11 +42,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="pricelens-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return path
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: computed once, its lineage ends there."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
