@@ -5,8 +5,8 @@ word (RARE) and the end of text. Each symbol that can precede a token (and the
 start of text) is a context with a restaurant of its own; all context
 restaurants share one parent, the unigram restaurant, whose customers are their
 tables and whose parent is uniform. A rare word is spelled out by a restaurant
-over rare words (parent: uniform over the V + 1 token types, the last standing
-for unseen words), so
+over rare words (parent: uniform over the rare types and one more that stands
+for every unseen word), so
 
     p(w | u) = p(s(w) | u)            for frequent w and the end
     p(w | u) = p(RARE | u) p(w | RARE)  otherwise
@@ -237,13 +237,15 @@ def sample_contexts(cells: DataFrame, k: int) -> np.ndarray:
         return np.log10(mean)
 
 
-def sample_rare(words: DataFrame, n_types: int) -> DataFrame:
-    """word, c, t0..: tables of each rare word in every kept seating. The rare restaurant has so many tables
-    that the weight of a new one, (strength + discount * T) / (V + 1), is taken once per sweep."""
+def sample_rare(words: DataFrame) -> tuple[DataFrame, int]:
+    """(word, c, t0..: tables of each rare word in every kept seating; number of rare types). The rare restaurant
+    has at least a table per type, so the weight of a new one, (strength + discount * T) / (types + 1), hardly
+    moves with a single customer: it is taken from a first estimate of T."""
     cols = [f"t{i}" for i in range(SAMPLES)]
     start = words.agg(F.count(F.lit(1)), F.sum((F.col("c") > 1).cast("long"))).first()
     guess = float(start[0]) + 0.5 * float(start[1] or 0)
-    mass = (RARE_STRENGTH + RARE_DISCOUNT * guess) / (n_types + 1)
+    n_rare = int(start[0])
+    mass = (RARE_STRENGTH + RARE_DISCOUNT * guess) / (n_rare + 1)
 
     def run(batches):
         for b in batches:
@@ -261,7 +263,7 @@ def sample_rare(words: DataFrame, n_types: int) -> DataFrame:
                         t[i, s - SWEEPS + SAMPLES] = len(state)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)] + [pa.array(t[:, j]) for j in range(SAMPLES)], names=["word", "c", *cols])
 
-    return words.select("word", "c").mapInArrow(run, "word binary, c long, " + ", ".join(f"{x} long" for x in cols))
+    return words.select("word", "c").mapInArrow(run, "word binary, c long, " + ", ".join(f"{x} long" for x in cols)), n_rare
 
 
 class _Draws:
@@ -290,12 +292,13 @@ def train(docs: DataFrame) -> tuple[Model, DataFrame]:
     k = len(symbol) + 3
     logp = sample_contexts(written(context_counts(docs, symbol), "lm-contexts"), k) if n else np.zeros((k, k))
     frequent = counts.orderBy(F.desc("c"), "word").limit(SYMBOLS).select("word")
-    rare = written(sample_rare(counts.join(F.broadcast(frequent), "word", "left_anti"), v), "lm-rare")
+    seated, n_rare = sample_rare(counts.join(F.broadcast(frequent), "word", "left_anti"))
+    rare = written(seated, "lm-rare")
     sums = rare.agg(F.sum("c"), *[F.sum(f"t{i}") for i in range(SAMPLES)]).first()
     c_all, t_all = float(sums[0] or 0), [float(x or 0) for x in sums[1:]]
 
     def mean(c, tables):
-        parts = [(c - RARE_DISCOUNT * t + (RARE_STRENGTH + RARE_DISCOUNT * ta) / (v + 1)) / (RARE_STRENGTH + c_all) for t, ta in zip(tables, t_all)]
+        parts = [(c - RARE_DISCOUNT * t + (RARE_STRENGTH + RARE_DISCOUNT * ta) / (n_rare + 1)) / (RARE_STRENGTH + c_all) for t, ta in zip(tables, t_all)]
         return sum(parts) / SAMPLES
 
     lp = F.log10(mean(F.col("c"), [F.col(f"t{i}") for i in range(SAMPLES)]))
