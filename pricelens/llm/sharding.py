@@ -8,9 +8,10 @@ finely in the next pass, until each splitter meets its tolerance or no key lies
 between two probes. Rows are then exchanged once.
 
 The first ``TEXT_BITS`` bits of the key come from the text: equal texts stay
-together in a shard, and a splitter goes into a group of copies only if the
-group is larger than the tolerance. Such a group (it may hold a third of all
-rows) is cut by the hash of the id.
+together in a shard, and a splitter goes into a group of copies only if either
+edge of the group is farther than ``GROUP_TOLERANCE`` of a shard from where the cut
+should be. Such a group (it may hold a third of all rows) is cut by the hash of
+the id.
 
 The probe counts that reach the driver are bounded by splitters x probes,
 whatever the input. ``slot`` numbers a shard's rows in an id-hash order by
@@ -31,6 +32,7 @@ from .mixing import KEY_BITS, hash_key, with_prefix
 SHARDS = 40
 OVERHEAD = 16
 TOLERANCE = 0.005
+GROUP_TOLERANCE = 0.02
 TEXT_BITS = 32
 ID_BITS = 31
 BITS = TEXT_BITS + ID_BITS
@@ -48,7 +50,8 @@ def sort_key(doc_id: Column, text: Column) -> Column:
     return F.shiftleft(t, ID_BITS).bitwiseOR(i)
 
 
-def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, bits: int = BITS) -> list[int]:
+def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, bits: int = BITS,
+              text_bits: int = TEXT_BITS, group_tolerance: float = GROUP_TOLERANCE) -> list[int]:
     """Keys b_1 <= .. <= b_{shards-1}: shard j holds b_j <= key < b_{j+1}. ``rows``: key, size."""
     level = FIRST
 
@@ -58,7 +61,7 @@ def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANC
 
     first = probe(rows, level)
     total = sum(s for _, s in first)
-    slack = tolerance * total / shards
+    slack, group_slack = tolerance * total / shards, max(tolerance, group_tolerance) * total / shards
     open_: dict[int, tuple[float, int, int]] = {}   # splitter -> (bytes wanted below it, its cell, bytes below the cell)
     cut: dict[int, int] = {}
 
@@ -70,7 +73,7 @@ def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANC
             for c, s in cells:
                 if at + s >= want or (c, s) == cells[-1]:
                     low, high = want - at, at + s - want
-                    if min(abs(low), abs(high)) <= slack or level >= bits:
+                    if min(abs(low), abs(high)) <= (group_slack if level == text_bits else slack) or level >= bits:
                         cut[j] = (c if abs(low) <= abs(high) else c + 1) << width
                         open_.pop(j, None)
                     else:
@@ -80,7 +83,7 @@ def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANC
 
     settle([(j, total * j / shards) for j in range(1, shards)] if first else [], first, 0, total, level)
     while open_:
-        old, level = level, min(bits, level + NEXT)
+        old, level = level, min(bits if level >= text_bits else text_bits, level + NEXT)
         cells = sorted({c for _, c, _ in open_.values()})
         inside = rows.filter(F.shiftright("key", bits - old).isin(cells))
         found: dict[int, list] = {}
