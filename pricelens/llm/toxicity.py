@@ -31,6 +31,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -179,18 +180,18 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
 
     def count(batches):
         n1, n0 = Counter(), Counter()
-        for pdf in batches:
-            for text, y in zip(pdf["text"], pdf["y"]):
+        for b in batches:
+            for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 (n1 if y else n0).update(features_of(tokens(text)))
-        yield pd.DataFrame({"f": list(n1), "n1": list(n1.values()), "n0": [n0[f] for f in n1]})
-        rest = [f for f in n0 if f not in n1]
-        yield pd.DataFrame({"f": rest, "n1": 0, "n0": [n0[f] for f in rest]})
+        names = list(n1 | n0)
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([n1[f] for f in names], pa.int64()),
+                                          pa.array([n0[f] for f in names], pa.int64())], names=["f", "n1", "n0"])
 
     size = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
     chain = Chain()
     if len(size) < 2:
         return chain
-    counts = (rows.select("text", "y").mapInPandas(count, "f string, n1 long, n0 long").groupBy("f")
+    counts = (rows.select("text", "y").mapInArrow(count, "f string, n1 long, n0 long").groupBy("f")
               .agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).filter(F.col("n1") >= min(MIN_DOCS, size[1])))
     z = F.col("n1") / F.lit(size[1]) - F.col("n0") / F.lit(size[0])
     counts = counts.orderBy(z.desc(), "f").limit(16 * FEATURES).toPandas()
@@ -220,7 +221,6 @@ def score(docs: DataFrame, chain: Chain, keep: list[str] | None = None) -> DataF
                           + [T.StructField("rejected", T.BooleanType())])
 
     def run(batches):
-        import pyarrow as pa
         for b in batches:
             texts = b.column(read.index("text")).to_pylist()
             p = chain.predict(chain.design(texts))
