@@ -163,7 +163,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, pivots: int = PIVOTS
         if not mine:
             continue
         qid, q = np.array([r["vec_id"] for r in mine], np.int64), matrix([r["v"] for r in mine], dim)
-        names = F.array(*[F.lit(int(x)) for x in qid])
+        names = F.array(*[F.lit(int(x)).cast("long") for x in qid])
         got = (search_block(index, qid, q, p, pivot_ids, top, k).withColumn("block", F.lit(i))
                .withColumn("query_id", F.get(names, F.col("q").cast("int"))))
         out = got if out is None else out.union(got)
