@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.selection import exact_quantiles, quantiles_by
+from ..session import written
 from ..functions.stats import adjusted_skew
 from .encode import long_values
 
@@ -93,13 +94,22 @@ def _rank_table(lv: DataFrame, value: str, out: str) -> DataFrame:
 def spearman_with_target(df: DataFrame, cols: list[str], target: str = "price") -> DataFrame:
     """AU4: Spearman rho(x, target) per numeric column (pairwise-complete rows, average ranks on ties).
 
-    Ranks are computed on per-value count tables (windows over distinct
-    values, not rows) and joined back on the value.
+    Ranks are computed on per-value count tables (windows over distinct values, not rows) of one narrow
+    written frame; the target is ranked once for all columns without missing values, and again only for
+    those that have some. Joins on ranks go by value, hot values are split at run time.
     """
-    lv = df.select(F.col(target).cast("double").alias("_y"), F.explode(F.array(*[
-        F.struct(F.lit(c).alias("col_name"), F.col(c).cast("double").alias("v")) for c in cols])).alias("_p"))
-    lv = lv.select("_y", "_p.*").filter(F.col("v").isNotNull() & F.col("_y").isNotNull())
-    j = lv.join(_rank_table(lv, "v", "rx"), ["col_name", "v"]).join(_rank_table(lv, "_y", "ry"), ["col_name", "_y"])
+    narrow = written(df.select(F.col(target).cast("double").alias("_y"), *[F.col(c).cast("double").alias(c) for c in cols])
+                     .filter(F.col("_y").isNotNull()), "au4")
+    holes = narrow.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    lv = narrow.select("_y", F.explode(F.array(*[F.struct(F.lit(c).alias("col_name"), F.lit(bool(holes[c])).alias("own"),
+                                                          F.col(c).alias("v")) for c in cols])).alias("_p"))
+    lv = lv.select("_y", "_p.*").filter(F.col("v").isNotNull())
+    target_rows = narrow.select(F.lit("").alias("col_name"), "_y")
+    if any(holes[c] for c in cols):
+        target_rows = target_rows.union(lv.filter("own").select("col_name", "_y"))
+    ry = written(_rank_table(target_rows, "_y", "ry"), "au4-y").withColumnRenamed("col_name", "yc")
+    j = (lv.join(_rank_table(lv, "v", "rx"), ["col_name", "v"]).withColumn("yc", F.when(F.col("own"), F.col("col_name")).otherwise(""))
+         .join(ry, ["yc", "_y"]))
     out = j.groupBy("col_name").agg(F.corr("rx", "ry").alias("rho"))
     return out.withColumn("abs_rho", F.abs("rho"))
 

@@ -156,14 +156,14 @@ def residual_correlation(wide: DataFrame, members: list[str]) -> DataFrame:
 STACK_ALPHAS = (0.01, 0.1, 1.0, 10.0)
 
 
-def stacking(wide: DataFrame, members: list[str], alphas=STACK_ALPHAS) -> DataFrame:
+def stack_weights(wide: DataFrame, members: list[str], alphas=STACK_ALPHAS) -> tuple[float, np.ndarray, float, float]:
     """BL3: ridge meta-learner with intercept over member OOF predictions, alpha chosen by
     exact leave-one-out error.
 
     One aggregation gives the sufficient statistics; for each alpha the LOO
     residual is e_i / (1 - h_i) with h_i = 1/n + (x_i - m)' (C + alpha I)^-1 (x_i - m),
     evaluated for every alpha in one pass (k x k matrices as literals, k <= 10).
-    Output: (member, coef) sorted by coef desc, with alpha, intercept and loo_rmse.
+    Returns (alpha, coefficients, intercept, loo_rmse).
     """
     k = len(members)
     G, b, yy, n = gram(wide, members)
@@ -187,10 +187,57 @@ def stacking(wide: DataFrame, members: list[str], alphas=STACK_ALPHAS) -> DataFr
     loo = wide.agg(*aggs).first()
     best = min(range(len(fits)), key=lambda i: loo[f"loo{i}"])
     a, w, b0, _ = fits[best]
+    return float(a), w, b0, float(np.sqrt(loo[f"loo{best}"]))
+
+
+def stacking(wide: DataFrame, members: list[str], alphas=STACK_ALPHAS) -> DataFrame:
+    """BL3 as a table: (member, coef) sorted by coef desc, with alpha, intercept and loo_rmse."""
+    a, w, b0, loo = stack_weights(wide, members, alphas)
     rows = sorted(((m, round(float(c), 4)) for m, c in zip(members, w)), key=lambda t: -t[1])
-    spark = wide.sparkSession
-    return spark.createDataFrame([(m, c, float(a), float(b0), float(np.sqrt(loo[f"loo{best}"]))) for m, c in rows],
-                                 "member string, coef double, alpha double, intercept double, loo_rmse double")
+    return wide.sparkSession.createDataFrame([(m, c, a, b0, loo) for m, c in rows],
+                                             "member string, coef double, alpha double, intercept double, loo_rmse double")
+
+
+def chain_predictions(df: DataFrame, fitted: dict[str, object]) -> DataFrame:
+    """``df`` plus ``_p_<member>``: members score the same rows one after the other, so nothing is joined."""
+    done: list[str] = []
+    out = df.select("*", F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_raw"))
+    for n, m in fitted.items():
+        scored = m.transform(out)
+        out = scored.select("_raw", *done, F.col("prediction").alias(f"_p_{n}")).select("_raw.*", "_raw", *done, f"_p_{n}")
+        done.append(f"_p_{n}")
+    return out.select("_raw.*", *done)
+
+
+def member_oof(df: DataFrame, members: dict[str, object], key: str, target: str, n_splits: int, seed: int) -> DataFrame:
+    """Wide out-of-fold table of the members on the rows of ``df``, written once: every Gram and score reads it."""
+    from ..session import written
+    from .cv import cv_predictions_estimator
+    preds = {n: cv_predictions_estimator(df, lambda est=est: est, key, target, n_splits, seed, roles=("val",)) for n, est in members.items()}
+    return written(oof_wide(oof_long(preds, key), list(members), key), "oof")
+
+
+class StackedEnsemble:
+    """BL3: ridge on the members' out-of-fold predictions, members refitted on all training rows."""
+
+    def __init__(self, members: dict[str, object], key: str = "ID", target: str = "price", n_splits: int = 5, seed: int = 42,
+                 alphas=STACK_ALPHAS):
+        self.members, self.key, self.target, self.n_splits, self.seed, self.alphas = members, key, target, n_splits, seed, alphas
+
+    def fit(self, df: DataFrame) -> "StackedEnsembleModel":
+        names = list(self.members)
+        wide = member_oof(df, self.members, self.key, self.target, self.n_splits, self.seed)
+        self.alpha, w, b0, self.loo_rmse = stack_weights(wide, names, self.alphas)
+        return StackedEnsembleModel({n: est.fit(df) for n, est in self.members.items()}, dict(zip(names, map(float, w))), b0)
+
+
+class StackedEnsembleModel:
+    def __init__(self, fitted: dict[str, object], weights: dict[str, float], intercept: float):
+        self.fitted, self.weights, self.intercept = fitted, weights, intercept
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        pred = sum((F.lit(w) * F.col(f"_p_{n}") for n, w in self.weights.items()), F.lit(self.intercept))
+        return chain_predictions(df, self.fitted).withColumn("prediction", pred).drop(*[f"_p_{n}" for n in self.fitted])
 
 
 class WeightedEnsemble:
@@ -204,14 +251,11 @@ class WeightedEnsemble:
         self.n_splits, self.seed = n_splits, seed
 
     def fit(self, df: DataFrame) -> "WeightedEnsembleModel":
-        from .cv import cv_predictions_estimator
         names = list(self.members)
         if self.weights:
             w = normalise(np.array([float(self.weights[n]) for n in names]))
         else:
-            preds = {n: cv_predictions_estimator(df, lambda est=est: est, self.key, self.target, self.n_splits, self.seed,
-                                                 roles=("val",)) for n, est in self.members.items()}
-            wide = oof_wide(oof_long(preds, self.key), names, self.key)
+            wide = member_oof(df, self.members, self.key, self.target, self.n_splits, self.seed)
             G, b, _, _ = gram(wide, names)
             w = normalise(nnls_gram(G, b))
         fitted = {n: est.fit(df) for n, est in self.members.items()}
@@ -223,15 +267,8 @@ class WeightedEnsembleModel:
         self.fitted, self.weights, self.key = fitted, weights, key
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Members score the same rows one after the other: raw columns travel along, so nothing is joined."""
-        pred, done = F.lit(0.0), []
-        out = df.select("*", F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_raw"))
-        for n, m in self.fitted.items():
-            scored = m.transform(out)
-            out = scored.select("_raw", *done, F.col("prediction").alias(f"_p_{n}")).select("_raw.*", "_raw", *done, f"_p_{n}")
-            done.append(f"_p_{n}")
-            pred = pred + F.lit(float(self.weights[n])) * F.col(f"_p_{n}")
-        return out.select("_raw.*", pred.alias("prediction"))
+        pred = sum((F.lit(float(self.weights[n])) * F.col(f"_p_{n}") for n in self.fitted), F.lit(0.0))
+        return chain_predictions(df, self.fitted).withColumn("prediction", pred).drop(*[f"_p_{n}" for n in self.fitted])
 
     def weight_table(self) -> list[tuple[str, float]]:
         return sorted(((n, round(w, 4)) for n, w in self.weights.items()), key=lambda t: -t[1])

@@ -175,3 +175,29 @@ def q_sh9(spark, sf_dir):
     sample, _, _, long, _, _ = attributions(spark, sf_dir)
     first = sample.withColumn("_h", hash_int(42, F.col("ID"))).orderBy("_h", "ID").select("ID").first()["ID"]
     return rounded(sh.local_report(long, first).withColumn("pos", F.col("pos").cast("int")))
+
+
+# ---------------------------------------------------------------------------- fitted pipelines
+def _ridge_pipeline(spark, sf_dir):
+    from ..operators.split import sample_rows
+    from ..operators.stages import build_model
+    d = make_dev_holdout(device_frame(spark, sf_dir))
+    model = build_model("ridge", preprocessor="levels_plus", alpha=100.0).fit(d.filter(F.col("split") == "dev"))
+    sample = sample_rows(d.filter(F.col("split") == "holdout"), N_SAMPLE)
+    return model, sample
+
+
+@query("sh3_pipeline_attribution")
+def q_sh3_pipeline(spark, sf_dir):
+    """Attribution of the fitted ridge pipeline by engineered feature, with its additivity error."""
+    model, sample = _ridge_pipeline(spark, sf_dir)
+    long, base, _ = sh.linear_attribution(model, sample)
+    chk = sh.additivity_check(long, base, model.transform(sample).select("ID", F.col("prediction").alias("pred"))).first()
+    return rounded(sh.global_ranking(long).select("*", F.lit(chk["max_abs_diff"]).alias("max_abs_diff"), F.lit(chk["n"]).alias("n")))
+
+
+@query("sh7_column_ranking")
+def q_sh7_columns(spark, sf_dir):
+    """Encoded columns of the fitted ridge pipeline by mean |phi|."""
+    model, sample = _ridge_pipeline(spark, sf_dir)
+    return rounded(sh.linear_attribution(model, sample)[2])

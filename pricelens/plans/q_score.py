@@ -99,6 +99,23 @@ def q_io8(spark, sf_dir):
                    .select("*", F.lit(first.count()).cast("long").alias("n_first")))
 
 
+@query("io6_run_metadata", with_ctes(
+    "SELECT count(*) FILTER (split = 'dev') AS n_dev, count(*) FILTER (split = 'holdout') AS n_holdout, "
+    "round(sqrt(avg((price - predicted_price) ^ 2) FILTER (split = 'dev')), 4) AS train_rmse, "
+    "round(avg(abs(price - predicted_price)) FILTER (split = 'dev'), 4) AS train_mae, "
+    "round(sqrt(avg((price - predicted_price) ^ 2) FILTER (split = 'holdout')), 4) AS holdout_rmse, "
+    "round(avg(abs(price - predicted_price)) FILTER (split = 'holdout'), 4) AS holdout_mae FROM sc", *_ONE_FACTOR))
+def q_io6(spark, sf_dir):
+    """IO6: the metadata that a training run writes, read back from its file."""
+    from .train import train_job
+    cfg = {"name": "one_factor", "kind": "single", "seed": 42, "members": [{"model": "ridge", "hyperparameters": {"alpha": 10.0}}]}
+    out = scratch_path(spark, f"io6/{uuid.uuid4().hex[:8]}")
+    train_job(spark, sf_dir, cfg, out_dir=out, columns=["ID", "gpu_model", "price"])
+    fields = ("n_dev", "n_holdout", "train_rmse", "train_mae", "holdout_rmse", "holdout_mae")
+    meta = spark.read.text(f"{out}/metadata")
+    return meta.select(*[F.get_json_object("value", f"$.{f}").cast("long" if f.startswith("n_") else "double").alias(f) for f in fields])
+
+
 @query("io9_result_tables", with_ctes(
     "SELECT f.fmt, count(*) AS n, round(sum(price), 2) AS total FROM device CROSS JOIN (SELECT unnest(['parquet', 'csv', 'json']) AS fmt) f GROUP BY f.fmt"))
 def q_io9(spark, sf_dir):

@@ -81,9 +81,13 @@ def load_model(path: str):
 
 
 def train_job(spark: SparkSession, sf_dir: str, cfg: dict, n_boot: int = 2000, boot_seed: int = 12345,
-              out_dir: str | None = None) -> DataFrame:
-    """MD22: returns the one-row run metadata (IO6) as a DataFrame; writes model + metadata."""
-    d = make_dev_holdout(device_frame(spark, sf_dir))
+              out_dir: str | None = None, columns: list[str] | None = None) -> DataFrame:
+    """MD22: returns the one-row run metadata (IO6) as a DataFrame; writes model + metadata.
+
+    ``columns`` restricts the raw frame (key and target included); by default all of it is used.
+    """
+    frame = device_frame(spark, sf_dir)
+    d = make_dev_holdout(frame.select(*columns) if columns else frame)
     dev = d.filter(F.col("split") == "dev")
     model = build_from_config(cfg).fit(dev)
     preds = (model.transform(d).select("ID", "split", F.col("price").alias("y"), F.col("prediction").alias("pred"))
