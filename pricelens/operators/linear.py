@@ -9,8 +9,9 @@ the driver receives folds x width^2 numbers whatever the number of rows or tasks
 
 Training statistics of fold f are total minus f. Imputation by the training
 median or mode, missing indicators, centring, scaling and level routing become
-a matrix A per fold and representation; ridge on the represented columns is
-(A'CA + alpha I) w = A'c with the centred training Gram C. All folds, penalties,
+a sparse matrix A per fold and representation (two entries a column); ridge on
+the represented columns is (A'CA + alpha I) w = A'c with the centred training
+Gram C. All folds, penalties,
 feature sets and interaction pairs are solved from the same scan, and one
 second scan scores them all.
 """
@@ -135,41 +136,35 @@ def fold_medians(rows: DataFrame, design: Design, gram: np.ndarray, k: int) -> d
 
 
 def representation(design: Design, train: np.ndarray, medians: dict[str, float], cols: list[str], kind: str,
-                   max_levels: int = en.MAX_LEVELS) -> np.ndarray:
-    """A: raw columns -> represented columns of ``kind`` on the features ``cols`` (EN13-EN15), from training cross products."""
-    n, one = train[design.width, design.width], design.width
-    out: list[np.ndarray] = []
+                   max_levels: int = en.MAX_LEVELS) -> tuple[np.ndarray, np.ndarray]:
+    """Represented columns of ``kind`` on the features ``cols`` (EN13-EN15), from training cross products.
 
-    def col(entries: dict[int, float]) -> None:
-        a = np.zeros(design.width)
-        for i, v in entries.items():
-            a[i] = v
-        out.append(a)
+    Each is a combination of at most two raw columns (a level and "missing" imputed by it; a value and its missing
+    flag times the median): (indices, coefficients), both columns x 2.
+    """
+    n, one = train[design.width, design.width], design.width
+    out: list[tuple[int, int, float, float]] = []
 
     def dummies(c: str, missing_is_level: bool) -> None:
         count = {v: train[design.at[(c, v)], one] for v in design.levels[c]}
         seen = [v for v in design.levels[c] if v is not None and count[v] > 0]
         mode = min((v for v in seen), key=lambda v: (-count[v], v), default=None)
         for v in seen:
-            entries = {design.at[(c, v)]: 1.0}
-            if v == mode and not missing_is_level and (c, None) in design.at:
-                entries[design.at[(c, None)]] = 1.0
-            col(entries)
+            i = design.at[(c, v)]
+            fills = v == mode and not missing_is_level and (c, None) in design.at
+            out.append((i, design.at[(c, None)] if fills else i, 1.0, 1.0 if fills else 0.0))
         if missing_is_level and count.get(None, 0) > 0:
-            col({design.at[(c, None)]: 1.0})
-
-    def scaled(entries: dict[int, float]) -> None:
-        a = np.zeros(design.width)
-        for i, v in entries.items():
-            a[i] = v
-        mean = a @ train[:one, one] / n
-        var = a @ train[:one, :one] @ a / n - mean * mean
+            out.append((design.at[(c, None)], design.at[(c, None)], 1.0, 0.0))
+
+    def scaled(i: int, j: int, u: float, v: float) -> None:
+        mean = (u * train[i, one] + v * train[j, one]) / n
+        var = (u * u * train[i, i] + 2 * u * v * train[i, j] + v * v * train[j, j]) / n - mean * mean
         sd = np.sqrt(var) if var > 1e-12 * max(1.0, mean * mean) else 1.0
-        out.append(a / sd)
+        out.append((i, j, u / sd, v / sd))
 
     def number(c: str) -> None:
         x, m = design.at[(c, "__x")], design.at[(c, "__null")]
-        scaled({x: 1.0, m: medians.get(c, 0.0)})
+        scaled(x, m, 1.0, medians.get(c, 0.0))
         if train[m, one] > 0:
             flags.append(m)
 
@@ -192,25 +187,41 @@ def representation(design: Design, train: np.ndarray, medians: dict[str, float],
     else:
         raise ValueError(f"ridge scans run on onehot, levels and levels_plus, not {kind!r}")
     for m in flags:
-        scaled({m: 1.0})
-    return np.stack(out, axis=1)
-
-
-def ridge_solve(train: np.ndarray, a: np.ndarray, alphas: list[float]) -> list[tuple[np.ndarray, float]]:
-    """(weights on the raw columns, intercept) per alpha: min ||y - b - Xw||^2 + alpha ||w||^2, b free."""
-    one, y = len(a), len(a) + 1
-    n = train[one, one]
-    mz, my = train[:one, one] / n, train[one, y] / n
-    x = a.T @ (train[:one, :one] - n * np.outer(mz, mz)) @ a
-    c = a.T @ (train[:one, y] - n * mz * my)
+        scaled(m, m, 1.0, 0.0)
+    cells = np.array(out)
+    return cells[:, :2].astype(int), cells[:, 2:]
+
+
+def ridge_solve(train: np.ndarray, centred: np.ndarray, rep: tuple[np.ndarray, np.ndarray], alphas: list[float]) -> list[tuple[np.ndarray, float]]:
+    """(weights on the raw columns, intercept) per alpha: min ||y - b - Xw||^2 + alpha ||w||^2, b free.
+
+    ``centred``: centred training cross products of the raw columns and (last) the target.
+    """
+    one, y = len(train) - 2, len(train) - 1
+    (i, j), (u, v) = rep[0].T, rep[1].T
+    half = centred[:, i] * u + centred[:, j] * v
+    x = half[i] * u[:, None] + half[j] * v[:, None]
+    c = half[one]
+    mz, my = train[:one, one] / train[one, one], train[one, y] / train[one, one]
     out = []
     for alpha in alphas:
         m = x + alpha * np.eye(len(x))
-        v = a @ (np.linalg.lstsq(m, c, rcond=None)[0] if alpha == 0 else np.linalg.solve(m, c))
-        out.append((v, float(my - mz @ v)))
+        w = np.linalg.lstsq(m, c, rcond=None)[0] if alpha == 0 else np.linalg.solve(m, c)
+        z = np.zeros(one)
+        np.add.at(z, i, w * u)
+        np.add.at(z, j, w * v)
+        out.append((z, float(my - mz @ z)))
     return out
 
 
+def centred_products(train: np.ndarray) -> np.ndarray:
+    """Cross products of (raw columns, target) about their means."""
+    n = train[-2, -2]
+    keep = np.r_[0:len(train) - 2, len(train) - 1]
+    mean = train[keep, -2] / n
+    return train[np.ix_(keep, keep)] - n * np.outer(mean, mean)
+
+
 def _scores(design: Design, keys: list[tuple], w: np.ndarray, b: np.ndarray):
     fid = np.array([k[2] for k in keys])
 
@@ -241,9 +252,10 @@ def ridge_scan(df: DataFrame, variants: dict[str, tuple[list[str], str]], alphas
     for f in range(k):
         train = total - grams[f]
         med = {c: v for (g, c), v in medians.items() if g == f}
+        centred = centred_products(train)
         for name, (feats, kind) in variants.items():
-            a = representation(design, train, med, feats, kind)
-            for alpha, (v, b0) in zip(alphas, ridge_solve(train, a, alphas)):
+            rep = representation(design, train, med, feats, kind)
+            for alpha, (v, b0) in zip(alphas, ridge_solve(train, centred, rep, alphas)):
                 keys.append((name, alpha, f))
                 w.append(v)
                 b.append(b0)
