@@ -32,6 +32,7 @@ from . import encode as en
 BLOCK = 64
 SALTS = 32
 CHUNK = 1024
+ROWS_PER_TASK = 20_000
 
 
 @dataclass
@@ -79,9 +80,14 @@ def prepare(df: DataFrame, cols: list[str], fold: str = "fold", target: str = "p
     rows = df.select(F.col(fold).cast("int").alias("fold"), F.col(target).cast("double").alias("y"), *[label[c].alias(c + "__l") for c in label],
                      *[F.col(c).cast("double").alias(c + "__n") for c in nums])
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c + "__l").alias("v")) for c in label])).alias("p")
-    seen: dict[str, list] = {c: [] for c in label}
-    for r in rows.select(pairs).select("p.c", "p.v").distinct().collect() if label else []:   # the width of the design
-        seen[r["c"]].append(r["v"])
+    seen: dict[str, dict] = {c: {} for c in label}
+    # folds x the width of the design
+    for r in rows.select("fold", pairs).select("fold", "p.c", "p.v").distinct().collect() if label else []:
+        seen[r["c"]].setdefault(r["v"], set()).add(r["fold"])
+    folds = set().union(*(f for v in seen.values() for f in v.values()), set())
+    for c in small:     # a number that has too many levels in the training rows of every fold needs no level columns
+        if all(sum(v is not None and bool(own - {f}) for v, own in seen[c].items()) > en.MAX_LEVELS for f in folds):
+            del seen[c]
     order = lambda v: (v is not None, "" if v is None else v)
     return Design({c: sorted(v, key=order) for c, v in seen.items()}, nums, set(nums)), rows
 
@@ -114,7 +120,8 @@ def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
 def fold_grams(rows: DataFrame, design: Design, k: int) -> dict[int, np.ndarray]:
     """{fold: cross products of (raw columns, 1, target)} from one pass."""
     schema = "fold int, blk int, salt int, v binary"
-    part = rows.mapInPandas(_grams(design), schema)
+    # a task's result has width^2 numbers per fold: give it enough rows to be worth that (no effect on large inputs)
+    part = rows.coalesce(max(1, -(-rows.count() // ROWS_PER_TASK))).mapInPandas(_grams(design), schema)
     part = part.groupBy("fold", "blk", "salt").applyInPandas(_merge, schema).groupBy("fold", "blk").applyInPandas(_merge, schema)
     p = design.width + 2
     out: dict[int, np.ndarray] = {f: np.zeros((p, p)) for f in range(k)}
