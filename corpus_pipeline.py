@@ -16,7 +16,7 @@ from pricelens.llm.common import table, written
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity chain rejects go."""
     chain = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, chain).filter("NOT rejected").select(*docs.columns)
+    return toxicity.keep_clean(docs, chain)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

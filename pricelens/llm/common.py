@@ -22,6 +22,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+READ = ("doc_id", "text", "source")
+
+
+def aside(docs: DataFrame) -> DataFrame:
+    """``docs`` with every column but ``READ`` named by its place: no working column can clash with an extra one.
+    ``toDF(*docs.columns)`` gives the names back."""
+    return docs.toDF(*[c if c in READ else f"extra_{i}" for i, c in enumerate(docs.columns)])
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: its lineage ends there."""
     spark = df.sparkSession

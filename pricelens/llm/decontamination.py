@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import let, text_key, word_array, written
+from .common import aside, let, text_key, word_array, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -113,6 +113,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
     """``docs`` without the rows that hold a benchmark item."""
     bad = (contaminated_pairs(docs, items, threshold, k)
            .select(F.col("doc_id").alias("b_id"), F.col("dk").alias("b_dk")).distinct())
-    keyed = docs.withColumn("__dk", text_key(F.col("text")))
+    plain = aside(docs)
+    keyed = plain.withColumn("__dk", text_key(F.col("text")))
     return (keyed.join(bad, F.col("doc_id").eqNullSafe(F.col("b_id")) & (F.col("__dk") == F.col("b_dk")), "left_anti")
-            .select(*docs.columns))
+            .select(*plain.columns).toDF(*docs.columns))

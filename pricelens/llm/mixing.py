@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import text_key, word_count, written
+from .common import aside, text_key, word_count, written
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -111,8 +111,10 @@ def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, max_epochs: int =
     n = W.partitionBy("doc_id", "dk", "source").orderBy("copies", "taken")
     plan = plan.withColumn("n", F.row_number().over(n)).select(
         F.col("doc_id").alias("m_id"), F.col("dk").alias("m_dk"), F.col("source").alias("m_source"), "n", "copies").filter("copies > 0")
-    keyed = docs.withColumn("__dk", text_key(F.col("text")))
+    plain = aside(docs)
+    keyed = plain.withColumn("__dk", text_key(F.col("text")))
     keyed = keyed.withColumn("__n", F.row_number().over(W.partitionBy("doc_id", "__dk", "source").orderBy("__dk")))
     same = (F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("__dk") == F.col("m_dk")) & F.col("source").eqNullSafe(F.col("m_source"))
             & (F.col("__n") == F.col("n")))
-    return (keyed.join(plan, same).withColumn("__c", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns))
+    return (keyed.join(plan, same).withColumn("__c", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+            .select(*plain.columns).toDF(*docs.columns))

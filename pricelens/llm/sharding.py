@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_key, written
+from .common import aside, text_key, written
 from .mixing import KEY_BITS, hash_key, with_prefix
 
 SHARDS = 40
@@ -114,9 +114,11 @@ def sharded(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE)
 
 
 def exchange(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE) -> DataFrame:
-    """Whole documents plus ``shard``, exchanged once by key range (texts of a shard arrive in sorted runs)."""
+    """Whole documents plus ``shard`` (a column of that name gives way), exchanged once by key range (texts of
+    a shard arrive in sorted runs)."""
+    docs = docs.drop("shard")
     slim = written(docs.select(doc_size(F.col("text")).alias("size"), sort_key(F.col("doc_id"), F.col("text")).alias("key")), "shard-rows")
     cuts = splitters(slim, shards, tolerance)
-    keyed = docs.withColumn("__key", sort_key(F.col("doc_id"), F.col("text")))
+    keyed = aside(docs).withColumn("__key", sort_key(F.col("doc_id"), F.col("text")))
     placed = keyed.withColumn("shard", shard_of(F.col("__key"), cuts))
-    return placed.repartition("shard", F.shiftright("__key", BITS - 12)).sortWithinPartitions("shard", "__key").drop("__key")
+    return placed.repartition("shard", F.shiftright("__key", BITS - 12)).sortWithinPartitions("shard", "__key").drop("__key").toDF(*docs.columns, "shard")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import aside, written
 
 SHINGLE = 3
 RADIUS = 3
@@ -254,11 +254,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest id (nulls last), then the
     smallest fingerprint. Repeated rows with that id and fingerprint count once."""
-    rows = written(with_fingerprint(docs, ["doc_id"], shingle), "simhash-rows")
+    plain = aside(docs)
+    rows = written(with_fingerprint(plain, ["doc_id"], shingle), "simhash-rows")
     comps = fingerprint_components(rows, radius)
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("keep_id"))
     best = (nodes.join(comps, "fp").filter(F.col("keep_id").eqNullSafe(F.col("component_id")))
             .groupBy("root", "keep_id").agg(F.min("fp").alias("keep_fp")).select("keep_id", "keep_fp"))
-    tagged = with_fingerprint(docs, docs.columns, shingle, out="__fp")
+    tagged = with_fingerprint(plain, plain.columns, shingle, out="__fp")
     kept = tagged.join(best, F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("__fp") == F.col("keep_fp")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "__fp"]).select(*docs.columns)
+    return kept.dropDuplicates(["doc_id", "__fp"]).select(*plain.columns).toDF(*docs.columns)

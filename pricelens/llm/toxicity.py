@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import aside, written
 
 SAMPLE = 8000
 FEATURES = 256
@@ -229,3 +229,9 @@ def score(docs: DataFrame, chain: Chain, keep: list[str] | None = None) -> DataF
                 + [pa.array(p[:, -1] >= chain.threshold if chain.weights else np.zeros(len(texts), bool))], names=[*keep, *probs, "rejected"])
 
     return docs.select(*[F.col(f"`{c}`") for c in read]).mapInArrow(run, schema)
+
+
+def keep_clean(docs: DataFrame, chain: Chain) -> DataFrame:
+    """``docs`` without the rows that the chain rejects."""
+    plain = aside(docs)
+    return score(plain, chain).filter("NOT rejected").select(*plain.columns).toDF(*docs.columns)

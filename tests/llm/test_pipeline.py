@@ -83,3 +83,18 @@ def test_run_and_registration(spark):
     assert out.count() > 50 and "shard" in out.columns
     sources = {r["source"] for r in mixing.mix(table(spark, SF, "documents")).select("source").distinct().collect()}
     assert {r["source"] for r in out.select("source").distinct().collect()} <= sources
+
+
+WORKING = ["rejected", "p_term", "p_repeated", "p_toxic", "fp", "__fp", "keep_id", "keep_fp", "b_id", "b_dk", "__dk", "m_id", "m_dk", "m_source", "__n",
+           "__c", "n", "copies", "key", "__key", "size", "score", "x", "extra_0"]
+
+
+@pytest.mark.parametrize("name,stage", cp.STAGES)
+def test_extra_columns_named_like_working_columns_pass_through(spark, name, stage):
+    docs = table(spark, SF, "documents")
+    wide = docs.select("*", *[F.concat(F.lit(f"{c}-"), F.col("doc_id").cast("string")).alias(c) for c in WORKING])
+    out = stage(spark, wide, SF)
+    assert out.columns[:len(wide.columns)] == wide.columns
+    got = out.select("doc_id", *WORKING).collect()
+    assert got and all(r[c] == f"{c}-{r['doc_id']}" for r in got for c in WORKING)
+    assert sorted(rows_of(out), key=repr) == sorted(rows_of(stage(spark, docs, SF)), key=repr)
