@@ -160,18 +160,16 @@ def stack_weights(wide: DataFrame, members: list[str], alphas=STACK_ALPHAS) -> t
     """BL3: ridge meta-learner with intercept over member OOF predictions, alpha chosen by
     exact leave-one-out error.
 
-    One aggregation gives the sufficient statistics; for each alpha the LOO
+    Two aggregations give means and centred products; for each alpha the LOO
     residual is e_i / (1 - h_i) with h_i = 1/n + (x_i - m)' (C + alpha I)^-1 (x_i - m),
     evaluated for every alpha in one pass (k x k matrices as literals, k <= 10).
     Returns (alpha, coefficients, intercept, loo_rmse).
     """
     k = len(members)
-    G, b, yy, n = gram(wide, members)
-    sums = wide.agg(*[F.sum(m).alias(m) for m in members], F.sum("y").alias("y")).first()
-    mx = np.array([sums[m] for m in members]) / n
-    my = sums["y"] / n
-    C = G - n * np.outer(mx, mx)
-    cy = b - n * mx * my
+    means = wide.agg(*[F.avg(m).alias(m) for m in members], F.avg("y").alias("y")).first()
+    mx, my = np.array([means[m] for m in members]), means["y"]
+    # products of centred columns: no cancellation when the members are close to each other
+    C, cy, _, n = gram(wide.select(*[(F.col(m) - F.lit(float(means[m]))).alias(m) for m in [*members, "y"]]), members)
     fits = []
     for a in alphas:
         ainv = np.linalg.inv(C + a * np.eye(k))
