@@ -156,10 +156,9 @@ def q_io10(spark, sf_dir):
     return tracker.leaderboard(15)
 
 
-@query("st1_streaming_scoring")
-def q_st1(spark, sf_dir):
+def _streamed(spark, d, model):
+    """``d`` written as arriving files and scored as a stream."""
     from ..streaming.score_stream import score_stream
-    d, model = _fit_ridge(spark, sf_dir)
     run = uuid.uuid4().hex[:8]
     src = scratch_path(spark, f"st1/{run}/incoming")
     raw = d.drop("split", "price")
@@ -170,6 +169,16 @@ def q_st1(spark, sf_dir):
     return rounded(spark.read.parquet(out).select("ID", "predicted_price"))
 
 
+@query("st1_streaming_scoring")
+def q_st1(spark, sf_dir):
+    return _streamed(spark, *_fit_ridge(spark, sf_dir))
+
+
+@query("st1_one_factor_streaming", sql_round(with_ctes("SELECT ID, predicted_price FROM sc", *_ONE_FACTOR), ["predicted_price"]))
+def q_st1_one(spark, sf_dir):
+    return _streamed(spark, *_fit_one_factor(spark, sf_dir))
+
+
 # ----------------------------------------------------------------------------
 # CV9: learning curve with the closed-form ridge (oracle-checked)
 # ----------------------------------------------------------------------------
