@@ -11,11 +11,11 @@ for every unseen word), so
     p(w | u) = p(s(w) | u)            for frequent w and the end
     p(w | u) = p(RARE | u) p(w | RARE)  otherwise
 
-is a proper distribution over tokens. Seating is sampled by Gibbs: a customer is
-taken from its table (a table is hit in proportion to its customers) and reseated at
-a table in proportion to its customers less the discount, or at a new one in
-proportion to the parent's probability. Per sweep at most ``MOVES`` customers of a
-dish are moved, drawn at random (a random-scan Gibbs step, valid at any count).
+is a proper distribution over tokens. Seating is sampled by Gibbs: given a gamma
+variable per restaurant its dishes are independent, and the number of tables of a
+dish is drawn at once from its conditional distribution given all its customers
+(generalised Stirling numbers; exact to ``EXACT`` customers, by a saddle point above),
+so a sweep covers every customer of a dish of any size.
 Predictive probabilities are averaged over ``SAMPLES`` seatings after ``BURN`` sweeps;
 the two kinds of restaurant are independent given the counts, so their averages
 multiply.
@@ -37,6 +37,7 @@ import math
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -54,14 +55,15 @@ PARENT_DISCOUNT, PARENT_STRENGTH = 0.4, 5.0
 RARE_DISCOUNT, RARE_STRENGTH = 0.6, 100.0
 SWEEPS, BURN, SAMPLES = 4, 2, 2
 MOVES = 3
+EXACT = 1024
 FLUSH = 400_000
 BLOCK = 1 << 22
 
 
 # ------------------------------------------------------------------ restaurants
 def first_tables(c: int, mass: float) -> list[int]:
-    """A start seating near the expected number of tables (at most 64), sizes falling as 1, 1/2, 1/3, ..."""
-    t = max(1, min(c, 64, round(mass * math.log1p(c / mass)))) if mass > 0 else 1
+    """A start seating near the expected number of tables, sizes falling as 1, 1/2, 1/3, ..."""
+    t = max(1, min(c, round(mass * math.log1p(c / mass)))) if mass > 0 else 1
     if t == 1:
         return [c]
     share = [(c - t) / (k + 1) for k in range(t)]
@@ -72,7 +74,8 @@ def first_tables(c: int, mass: float) -> list[int]:
 
 
 def reseat(tables: list[int], mass: float, discount: float, rng, moves: int = MOVES) -> int:
-    """Gibbs moves of one dish; ``mass``: weight of a new table. Returns the change in the number of tables."""
+    """Gibbs moves of single customers of one dish; ``mass``: weight of a new table. Returns the change in the
+    number of tables. The chain ``draw_tables`` draws the limit of; kept as its reference."""
     before, n = len(tables), sum(tables)
     if n < 2:
         return 0
@@ -97,12 +100,132 @@ def reseat(tables: list[int], mass: float, discount: float, rng, moves: int = MO
     return len(tables) - before
 
 
-def sweep(state: dict[int, list[int]], parent: np.ndarray, discount: float, strength: float, rng) -> int:
-    """One Gibbs sweep over a restaurant; returns its number of tables."""
-    total = sum(map(len, state.values()))
-    for dish, tables in state.items():
-        total += reseat(tables, (strength + discount * total) * parent[dish], discount, rng)
-    return total
+@lru_cache(maxsize=8)
+def _exact(discount: float, size: int) -> np.ndarray:
+    """log S(c, t) of the generalised Stirling numbers, c and t to ``size``: S(c, t) sums the seatings of c customers at t tables."""
+    out = np.full((size + 1, size + 1), -np.inf)
+    out[1, 1] = 0.0
+    for n in range(1, size):
+        t = np.arange(1, n + 1)
+        out[n + 1, 1:n + 1] = out[n, 1:n + 1] + np.log(n - discount * t)
+        out[n + 1, 1:n + 2] = np.logaddexp(out[n + 1, 1:n + 2], out[n, :n + 1])
+    return out
+
+
+def _saddle(c: int, t: np.ndarray, discount: float) -> np.ndarray:
+    """log S(c, t) for t < c from its generating function ((1 - (1 - x)^d) / d)^t / t! at the saddle point."""
+    r = c / t
+    lo, hi = np.full(t.shape, -700.0), np.zeros(t.shape)     # log(1 - x)
+    for _ in range(60):
+        mid = (lo + hi) / 2
+        at = discount * -np.expm1(mid) * np.exp((discount - 1) * mid) / -np.expm1(discount * mid)
+        lo, hi = np.where(at > r, mid, lo), np.where(at > r, hi, mid)
+    v = (lo + hi) / 2
+    x = -np.expm1(v)
+    curve = c * (1 + (1 - discount) * x * np.exp(-v) - r)
+    return (math.lgamma(c + 1) - _lgamma(t + 1) - t * math.log(discount) + t * np.log(-np.expm1(discount * v)) - c * np.log(x)
+            - 0.5 * np.log(2 * math.pi * curve))
+
+
+def _lgamma(x: np.ndarray) -> np.ndarray:
+    """Stirling's series after moving small arguments up by eight."""
+    x = np.asarray(x, float)
+    y = x + 8
+    low = sum(np.log(x + k) for k in range(8))
+    return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - low
+
+
+def _series(c: int, t: np.ndarray, discount: float) -> np.ndarray:
+    """log S(c, t) for t within a few times c^discount, from the alternating sum over powers (1 - x)^(j discount), whose
+    terms fall fast there; the saddle point is loose for such few tables."""
+    j = np.arange(1, 121)
+    front = np.array([math.lgamma(c - discount * k) - math.lgamma(c) + math.lgamma(1 + discount * k) - math.lgamma(k + 1) for k in j])
+    sign = -np.where(j % 2, -1, 1) * np.sin(math.pi * ((discount * j) % 2)) / math.pi
+    t = t[:, None]
+    ways = _lgamma(t + 1) - _lgamma(np.maximum(t - j, 0) + 1)
+    total = (np.where(j <= t, np.exp(ways + front), 0.0) * sign).sum(axis=1)
+    t = t[:, 0]
+    return math.lgamma(c) - _lgamma(t + 1) - t * math.log(discount) + np.log(np.maximum(total, 1e-300))
+
+
+def log_stirling(c: int, t: np.ndarray, discount: float) -> np.ndarray:
+    """log S(c, t): exact for c <= EXACT, else by the series for few tables and the saddle point (within 1 or 2 %) for many."""
+    if c <= EXACT:
+        return _exact(discount, EXACT)[c, t]
+    out, few = np.zeros(t.shape), t <= 5 * c ** discount
+    out[few] = _series(c, t[few], discount)
+    rest = ~few & (t < c)
+    out[rest] = _saddle(c, t[rest], discount)
+    return out
+
+
+def draw_tables(c: np.ndarray, mass: np.ndarray, discount: float, u: np.ndarray) -> np.ndarray:
+    """Numbers of tables, one draw each from P(t | c) in proportion to mass^t S(c, t), at the quantiles ``u``: the
+    limit that reseating every customer again and again would reach, at a cost that grows with the tables' spread."""
+    out, lm = np.ones(len(c), np.int64), np.log(np.maximum(mass, 1e-300))
+    out[c == 0] = 0
+    two = c == 2
+    out[two] += u[two] < mass[two] / (mass[two] + 1 - discount)
+    order = np.flatnonzero(c > 2)
+    order = order[np.argsort(c[order], kind="stable")]
+    cuts = np.flatnonzero(np.diff(c[order])) + 1
+    for same in np.split(order, cuts) if len(order) else []:
+        n = int(c[same[0]])
+        if n <= EXACT:
+            t = np.arange(1, n + 1)
+            base = log_stirling(n, t, discount)
+            for lo in range(0, len(same), max(1, 1_000_000 // n)):
+                at = same[lo:lo + max(1, 1_000_000 // n)]
+                out[at] = 1 + _quantile(lm[at, None] * t + base, u[at])
+            continue
+        for i in same:
+            t = np.unique(np.geomspace(1, n, 200).astype(np.int64))
+            f = lm[i] * t + log_stirling(n, t, discount)
+            near = np.flatnonzero(f > f.max() - 45)
+            t = np.arange(t[max(near[0] - 1, 0)], t[min(near[-1] + 1, len(t) - 1)] + 1)
+            step = -(-len(t) // 200_000)
+            t = t[::step]
+            out[i] = t[_quantile((lm[i] * t + log_stirling(n, t, discount))[None], u[i:i + 1])[0]]
+    return out
+
+
+def _quantile(logp: np.ndarray, u: np.ndarray) -> np.ndarray:
+    p = np.cumsum(np.exp(logp - logp.max(axis=1, keepdims=True)), axis=1)
+    return np.minimum((p < (u * p[:, -1])[:, None]).sum(axis=1), logp.shape[1] - 1)
+
+
+def uniforms(key: np.ndarray, salt: int) -> np.ndarray:
+    """A number in (0, 1) from each 64-bit key (splitmix)."""
+    with np.errstate(over="ignore"):
+        x = key.astype(np.int64).view(np.uint64) + np.uint64(salt + 1) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(float) / 9007199254740992.0 + 2.0 ** -54
+
+
+def draw_gamma(shape: np.ndarray, key: np.ndarray, salt: int) -> np.ndarray:
+    """Gamma(shape, 1) draws for shapes over 1, seeded by key (Marsaglia and Tsang's rejection)."""
+    d = shape - 1 / 3
+    out, todo = d.copy(), np.arange(len(shape))
+    for k in range(64):
+        a, b, u = (uniforms(key[todo], 1000 * salt + 3 * k + j) for j in range(3))
+        x = np.sqrt(-2 * np.log(a)) * np.cos(2 * math.pi * b)
+        v = np.maximum(1 + x / np.sqrt(9 * d[todo]), 1e-12) ** 3
+        ok = np.log(u) < 0.5 * x * x + d[todo] * (1 - v + np.log(v))
+        out[todo[ok]] = d[todo[ok]] * v[ok]
+        todo = todo[~ok]
+        if not len(todo):
+            break
+    return out
+
+
+def sweep(counts: np.ndarray, total: float, parent: np.ndarray, discount: float, strength: float, key: int) -> np.ndarray:
+    """One Gibbs sweep over the dishes of a restaurant with ``total`` tables; returns the tables of each dish. Given a
+    Gamma(strength / discount + total) draw g the dishes are independent, a new table weighing discount g p(dish)."""
+    if not total:
+        return np.zeros(len(counts), np.int64)
+    g = draw_gamma(np.array([strength / discount + total]), np.array([key], np.int64), 0)[0]
+    return draw_tables(counts.astype(np.int64), discount * g * parent, discount, uniforms(np.arange(len(counts)), key))
 
 
 def predictive(counts: np.ndarray, tables: np.ndarray, parent: np.ndarray, discount: float, strength: float) -> np.ndarray:
@@ -197,39 +320,26 @@ def sample_contexts(cells: DataFrame, k: int) -> np.ndarray:
         counts[r["u"], r["s"]] = r["c"]
     uniform = np.full(k, 1.0 / (k - 1))
     uniform[k - 1] = 0.0    # START never follows anything
-    parents, mean, rng = [(counts.sum(axis=0) + 1) / (counts.sum() + k)], np.zeros((k, k)), np.random.default_rng(1)
-    parent_state: dict[int, list[int]] = {}
+    parents, mean = [(counts.sum(axis=0) + 1) / (counts.sum() + k)], np.zeros((k, k))
+    tops = None
     for done in range(1, SWEEPS + 1):
         seen = list(parents)
 
         def seat(pdf: pd.DataFrame) -> pd.DataFrame:
-            own = np.random.default_rng(int(pdf["u"].iloc[0]) + 7)
             pdf = pdf.sort_values("s")
-            new = (STRENGTH + DISCOUNT * len(pdf)) * seen[0]
-            state = {int(s): first_tables(int(c), new[s]) for s, c in zip(pdf["s"], pdf["c"])}
-            for p in seen:      # the chain from its start: the same draws as in the sweeps before, then one more
-                sweep(state, p, DISCOUNT, STRENGTH, own)
-            return pd.DataFrame({"u": pdf["u"], "s": pdf["s"], "t": [len(state[int(s)]) for s in pdf["s"]]})
+            c, s, u = pdf["c"].to_numpy(), pdf["s"].to_numpy(), int(pdf["u"].iloc[0])
+            t = np.ones(len(pdf), np.int64)
+            for i, p in enumerate(seen):    # the chain from its start: the same draws as in the sweeps before, then one more
+                t = sweep(c, t.sum(), p[s], DISCOUNT, STRENGTH, 1000 * u + i)
+            return pd.DataFrame({"u": pdf["u"], "s": pdf["s"], "t": t})
 
         tables = np.zeros((k, k))
         for r in cells.groupBy("u").applyInPandas(seat, "u long, s long, t long").collect():
             tables[r["u"], r["s"]] = r["t"]
         dishes = tables.sum(axis=0)
-        for s in range(k):      # the parent's customers are the tables below; follow their change, then reseat
-            have, want = parent_state.setdefault(s, []), int(dishes[s])
-            while sum(have) < want:
-                if have and rng.random() < 0.7:
-                    have[int(rng.integers(len(have)))] += 1
-                else:
-                    have.append(1)
-            while sum(have) > want:
-                j = int(rng.choice(len(have), p=np.array(have) / sum(have)))
-                have[j] -= 1
-                if not have[j]:
-                    have.pop(j)
-        for _ in range(2):
-            sweep(parent_state, uniform, PARENT_DISCOUNT, PARENT_STRENGTH, rng)
-        top = predictive(dishes, np.array([len(parent_state[s]) for s in range(k)], float), uniform, PARENT_DISCOUNT, PARENT_STRENGTH)
+        tops = (dishes > 0).astype(np.int64) if tops is None else tops
+        tops = sweep(dishes, tops.sum(), uniform, PARENT_DISCOUNT, PARENT_STRENGTH, 7 + done)
+        top = predictive(dishes, tops.astype(float), uniform, PARENT_DISCOUNT, PARENT_STRENGTH)
         parents.append(top)
         if done > BURN:
             mean += predictive(counts, tables, top, DISCOUNT, STRENGTH) / (SWEEPS - BURN)
@@ -250,37 +360,15 @@ def sample_rare(words: DataFrame) -> tuple[DataFrame, int]:
     def run(batches):
         for b in batches:
             w, c = b.column(0).to_pylist(), b.column(1).to_numpy()
+            key = np.array([zlib.crc32(x) for x in w], np.int64)
             t = np.ones((len(w), SAMPLES), np.int64)
-            two = np.flatnonzero(c == 2)    # two customers: the Gibbs chain's limit is a draw of one table or two
-            u = np.array([zlib.crc32(w[i]) for i in two], np.uint64)
             for j in range(SAMPLES):
-                t[two, j] += (u * np.uint64(2654435761 + 2 * j) >> np.uint64(7)) % np.uint64(1 << 20) < mass / (mass + 1 - RARE_DISCOUNT) * (1 << 20)
-            for i in np.flatnonzero(c > 2):
-                rng, state = _Draws(zlib.crc32(w[i])), first_tables(int(c[i]), mass)
-                for s in range(SWEEPS):
-                    reseat(state, mass, RARE_DISCOUNT, rng)
-                    if s >= SWEEPS - SAMPLES:
-                        t[i, s - SWEEPS + SAMPLES] = len(state)
+                t[:, j] = draw_tables(c, np.full(len(w), mass), RARE_DISCOUNT, uniforms(key, j))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)] + [pa.array(t[:, j]) for j in range(SAMPLES)], names=["word", "c", *cols])
 
     return words.select("word", "c").mapInArrow(run, "word binary, c long, " + ", ".join(f"{x} long" for x in cols)), n_rare
 
 
-class _Draws:
-    """A small seeded generator (xorshift*), cheap to start for each word."""
-
-    def __init__(self, seed: int):
-        self.x = (seed * 0x9E3779B97F4A7C15 + 0x1234567) & 0xFFFFFFFFFFFFFFFF or 1
-
-    def random(self) -> float:
-        x = self.x
-        x ^= x >> 12
-        x ^= (x << 25) & 0xFFFFFFFFFFFFFFFF
-        x ^= x >> 27
-        self.x = x
-        return ((x * 0x2545F4914F6CDD1D & 0xFFFFFFFFFFFFFFFF) >> 11) / 9007199254740992.0
-
-
 def train(docs: DataFrame) -> tuple[Model, DataFrame]:
     """Model and the table of rare words (word, c, lp = log10 p(w | RARE)); ``docs``: training rows only."""
     counts = written(word_counts(docs), "lm-words")

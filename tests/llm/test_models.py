@@ -176,6 +176,27 @@ def test_reseating_keeps_customers_and_finds_the_posterior():
     assert all(sum(lm.first_tables(c, m)) == c and min(lm.first_tables(c, m)) > 0 for c in (1, 2, 3, 50, 10**9) for m in (0.01, 1.0, 80.0))
 
 
+def test_tables_are_drawn_from_the_posterior_at_any_count():
+    u = (np.arange(4000) + 0.5) / 4000
+    t = np.arange(1, 2001)
+    exact = lm._exact(0.6, 2000)
+    for d in (0.4, 0.6):
+        assert np.abs(lm.log_stirling(2000, t[:1990], d) - lm._exact(d, 2000)[2000, 1:1991]).max() < 0.03
+    for c, mass in ((3, 0.7), (40, 2.0), (2000, 30.0)):
+        p = np.exp((f := t[:c] * math.log(mass) + exact[c, 1:c + 1]) - f.max())
+        drawn = lm.draw_tables(np.full(4000, c), np.full(4000, mass), 0.6, u)
+        assert drawn.mean() == pytest.approx((p * t[:c]).sum() / p.sum(), rel=0.005)
+    rng, state, seen = np.random.default_rng(3), [30], []
+    for _ in range(4000):
+        lm.reseat(state, 2.0, 0.6, rng, moves=30)
+        seen.append(len(state))
+    assert np.mean(seen) == pytest.approx(lm.draw_tables(np.full(4000, 30), np.full(4000, 2.0), 0.6, u).mean(), rel=0.03)
+    many = lm.draw_tables(np.array([100_000, 1_000_000]), np.array([100.0, 100.0]), 0.6, np.array([0.5, 0.5]))
+    assert many == pytest.approx(1 + 100 / 0.6, abs=2)     # the limit of the posterior mean at a fixed mass; the start was capped at 64
+    g = lm.draw_gamma(np.full(20_000, 9.0), np.arange(20_000), 1)
+    assert g.mean() == pytest.approx(9, rel=0.02) and g.var() == pytest.approx(9, rel=0.06)
+
+
 # ---------------------------------------------------------------------------- secrets
 def test_secrets_found_and_false_positives_removed(spark):
     docs = table(spark, SF, "documents")
