@@ -1,31 +1,29 @@
 """Word language model: a hierarchical Pitman-Yor process, seated by Gibbs sampling.
 
-Symbols are the ``SYMBOLS`` most frequent training tokens, one sign for every other
-word (RARE) and the end of text. Each symbol that can precede a token (and the
-start of text) is a context with a restaurant of its own; all context
-restaurants share one parent, the unigram restaurant, whose customers are their
-tables and whose parent is uniform. A rare word is spelled out by a restaurant
-over rare words (parent: uniform over the rare types and one more that stands
-for every unseen word), so
-
-    p(w | u) = p(s(w) | u)            for frequent w and the end
-    p(w | u) = p(RARE | u) p(w | RARE)  otherwise
-
-is a proper distribution over tokens. Seating is sampled by Gibbs: given a gamma
+Every word seen before a token (and the start of text) is a context with a
+restaurant of its own, whose dishes are all the words seen after it and the end of
+text. All context restaurants share one parent, the unigram restaurant, whose
+customers are their tables and whose parent is uniform over the types and one more
+that stands for every unseen word:
+
+    p(w | u) = (c(u, w) - d t(u, w) + (s + d t(u)) p(w)) / (s + c(u))
+
+An unseen context has p(w | u) = p(w). Seating is sampled by Gibbs: given a gamma
 variable per restaurant its dishes are independent, and the number of tables of a
 dish is drawn at once from its conditional distribution given all its customers
-(generalised Stirling numbers; exact to ``EXACT`` customers, by a saddle point above),
-so a sweep covers every customer of a dish of any size.
-Predictive probabilities are averaged over ``SAMPLES`` seatings after ``BURN`` sweeps;
-the two kinds of restaurant are independent given the counts, so their averages
-multiply.
-
-Scale. Counts cover all training tokens: every task counts its words, words are
-summed by word. Contexts x symbols is a table of bounded size. Words beyond the
-``HEAD`` most frequent (a bounded broadcast) are looked up by a join on the word:
-scoring sends each text's distinct tail words, never its whole tokens. Reseating is
-done per context and per word inside tasks, seeded by context or word, so a
-retried task draws the same.
+(generalised Stirling numbers; exact to ``EXACT`` customers, by a series and a saddle
+point above), so a sweep covers every customer of a dish of any size. Predictive
+probabilities are averaged over ``SAMPLES`` seatings after ``BURN`` sweeps.
+
+Scale. What is gathered is the table of (context, word, count) over all training
+tokens; it grows with the corpus and stays in Spark. Dishes with one customer have
+one table and need no draw; for the others a sweep joins the context's gamma
+variable and the word's unigram probability and draws inside tasks, so a frequent
+context is spread over tasks by its words. Scoring sends each text's distinct
+pairs to the pair table; pairs it doesn't hold are looked up by context and by word.
+The ``HEAD`` most frequent pairs and all pairs among the ``SYMBOLS`` most frequent words
+travel as bounded broadcasts instead: a shortcut with the same probabilities.
+Draws are seeded by context and word, so a retried task draws the same.
 
 Defined cases: a null text is empty: one token, the end; repeated rows get equal
 scores; ids may be null or repeat; without training texts N = V = 0 and every
@@ -34,13 +32,12 @@ token has probability 1; extra columns are ignored.
 from __future__ import annotations
 
 import math
-import zlib
+import struct
 from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,12 +49,12 @@ SYMBOLS = 256
 HEAD = 50_000
 DISCOUNT, STRENGTH = 0.6, 5.0
 PARENT_DISCOUNT, PARENT_STRENGTH = 0.4, 5.0
-RARE_DISCOUNT, RARE_STRENGTH = 0.6, 100.0
 SWEEPS, BURN, SAMPLES = 4, 2, 2
 MOVES = 3
 EXACT = 1024
 FLUSH = 400_000
-BLOCK = 1 << 22
+#: START as a context, END as a word; no word is empty.
+EDGE = b""
 
 
 # ------------------------------------------------------------------ restaurants
@@ -219,19 +216,27 @@ def draw_gamma(shape: np.ndarray, key: np.ndarray, salt: int) -> np.ndarray:
     return out
 
 
-def sweep(counts: np.ndarray, total: float, parent: np.ndarray, discount: float, strength: float, key: int) -> np.ndarray:
-    """One Gibbs sweep over the dishes of a restaurant with ``total`` tables; returns the tables of each dish. Given a
-    Gamma(strength / discount + total) draw g the dishes are independent, a new table weighing discount g p(dish)."""
-    if not total:
-        return np.zeros(len(counts), np.int64)
-    g = draw_gamma(np.array([strength / discount + total]), np.array([key], np.int64), 0)[0]
-    return draw_tables(counts.astype(np.int64), discount * g * parent, discount, uniforms(np.arange(len(counts)), key))
+def seat(rows: DataFrame, customers: str, mass: Column, discount: float, keys: list[str], salt: int, name: str) -> DataFrame:
+    """``rows`` plus ``name``: tables drawn for every dish, seeded by ``keys``."""
+    rows = rows.withColumn("_mass", mass.cast("double")).withColumn("_key", F.xxhash64(F.lit(salt), *keys))
+    at, n = rows.columns.index(customers), len(rows.columns) - 2
+
+    def run(batches):
+        for b in batches:
+            t = draw_tables(b.column(at).to_numpy(), b.column(n).to_numpy(), discount, uniforms(b.column(n + 1).to_numpy(), salt))
+            yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(t)], names=[*b.schema.names[:n], name])
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:n], T.StructField(name, T.LongType())]))
 
 
-def predictive(counts: np.ndarray, tables: np.ndarray, parent: np.ndarray, discount: float, strength: float) -> np.ndarray:
-    """Predictive distribution of one restaurant (or of many, row by row)."""
-    c, t = counts.sum(axis=-1, keepdims=True), tables.sum(axis=-1, keepdims=True)
-    return (np.maximum(counts - discount * tables, 0) + (strength + discount * t) * parent) / (strength + c)
+def gammas(contexts: DataFrame, salt: int) -> DataFrame:
+    """u, g: the gamma variable of every context with t tables."""
+    def run(batches):
+        for b in batches:
+            g = draw_gamma(STRENGTH / DISCOUNT + b.column(1).to_numpy().astype(float), b.column(2).to_numpy(), salt)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(g)], names=["u", "g"])
+
+    return contexts.select("u", "t", F.xxhash64(F.lit(salt), "u").alias("k")).mapInArrow(run, "u binary, g double")
 
 
 # ------------------------------------------------------------------ tokens
@@ -239,205 +244,186 @@ def words_of(raw: bytes | None) -> list[bytes]:
     return raw.lower().split() if raw else []
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """word, c over all rows (the end of text isn't a word); tasks count before anything is sent."""
+def pair_counts(docs: DataFrame) -> DataFrame:
+    """u, w, c: word w (or the end) after context u (or the start) over all rows; tasks count before anything is sent."""
     def run(batches):
         seen: Counter = Counter()
 
         def out():
-            k = pa.array(list(seen), pa.binary())
-            return pa.RecordBatch.from_arrays([k, pa.array(list(seen.values()), pa.int64())], names=["word", "c"])
+            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in seen], pa.binary()), pa.array([p[1] for p in seen], pa.binary()),
+                                               pa.array(list(seen.values()), pa.int64())], names=["u", "w", "c"])
 
         for b in batches:
             for raw in b.column(0).cast(pa.binary()).to_pylist():
-                seen.update(words_of(raw))
+                words = words_of(raw)
+                seen.update(zip([EDGE, *words], [*words, EDGE]))
                 if len(seen) > FLUSH:
                     yield out()
                     seen.clear()
         yield out()
 
-    return docs.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return docs.select("text").mapInArrow(run, "u binary, w binary, c long").groupBy("u", "w").agg(F.sum("c").alias("c"))
 
 
 @dataclass
 class Model:
-    """``symbol``: frequent word -> number; RARE and END follow, START is the last context.
-    ``logp``: log10 p(symbol | context); ``head``: word -> (count, log10 p(w | RARE))."""
+    """``symbol``: frequent word -> number; RARE (all other words) and END follow, START is the last context.
+    ``logp``: log10 p(symbol | context), in row RARE that of an unseen context; ``head``: frequent pair -> log10 p;
+    ``known``: the counts of the words in both. ``pairs`` (u, w, lp, n), ``contexts`` (u, g0..: back-off mass of every kept seating)
+    and the symbols' rows of the word table, ``frequent`` (word, c, p0..), are what the other pairs are looked up in."""
 
     symbol: dict[bytes, int]
     logp: np.ndarray
-    head: dict[bytes, tuple[int, float]]
+    head: dict[tuple[bytes, bytes], float]
+    known: dict[bytes, int]
     n_tokens: int
     n_types: int
-    n_ends: int
-    rare_free: float    # log10 p(w | RARE) of an unseen word
-
-    def base(self, c: int) -> float:
-        return math.log10((c + 1) / (self.n_tokens + self.n_types + 1))
-
-    def part(self, raw: bytes | None):
-        """(n_tokens, n_known, base, score) of what needs no lookup, and the tail words with their counts."""
-        words, rare = words_of(raw), len(self.symbol)
-        get = self.symbol.get
-        ids = np.fromiter((get(w, rare) for w in words), np.int64, len(words))
-        ctx = np.concatenate(([rare + 2], ids))
-        score = float(self.logp[ctx, np.append(ids, rare + 1)].sum())
-        base, known, tail = self.base(self.n_ends), int(self.n_ends > 0), {}
-        for w, n in Counter(words).items():
-            hit = self.head.get(w)
-            if hit is None:
-                tail[w] = n
-            else:
-                known += n
-                base += n * self.base(hit[0])
-                if w not in self.symbol:
-                    score += n * hit[1]
-        return len(words) + 1, known, base, score, tail
-
-
-def context_counts(docs: DataFrame, symbol: dict[bytes, int]) -> DataFrame:
-    """u, s, c: symbol s after context u over all rows; at most (SYMBOLS + 3)^2 cells leave a task."""
-    k = len(symbol) + 3
-
-    def run(batches):
-        cells = np.zeros(k * k, np.int64)
-        for b in batches:
-            for raw in b.column(0).cast(pa.binary()).to_pylist():
-                words = words_of(raw)
-                ids = np.fromiter((symbol.get(w, k - 3) for w in words), np.int64, len(words))
-                cells += np.bincount(np.concatenate(([k - 1], ids)) * k + np.append(ids, k - 2), minlength=k * k)
-        hit = np.flatnonzero(cells)
-        yield pa.RecordBatch.from_arrays([pa.array(hit // k), pa.array(hit % k), pa.array(cells[hit])], names=["u", "s", "c"])
-
-    return docs.select("text").mapInArrow(run, "u long, s long, c long").groupBy("u", "s").agg(F.sum("c").alias("c"))
-
-
-def sample_contexts(cells: DataFrame, k: int) -> np.ndarray:
-    """Averaged log10 p(s | u), contexts x symbols. The seating is redone per sweep in one task per context
-    from its seed; the parent restaurant (k dishes) is reseated between sweeps."""
-    counts = np.zeros((k, k))
-    for r in cells.collect():
-        counts[r["u"], r["s"]] = r["c"]
-    uniform = np.full(k, 1.0 / (k - 1))
-    uniform[k - 1] = 0.0    # START never follows anything
-    parents, mean = [(counts.sum(axis=0) + 1) / (counts.sum() + k)], np.zeros((k, k))
-    tops = None
+    unseen: list[float]     # p(w) of an unseen word in every kept seating
+    rare_free: float        # log10 p(w | RARE) of an unseen word
+    pairs: DataFrame
+    contexts: DataFrame
+    frequent: DataFrame
+
+
+def sample(pairs: DataFrame, n: int, v: int) -> tuple[DataFrame, DataFrame, DataFrame, list[float]]:
+    """Seatings of all restaurants: pairs (u, w, c, t0..), contexts (u, cu, g0..: back-off mass), words (word, c, p0..), p of an unseen word."""
+    alone = F.col("c") == 1
+    contexts = written(pairs.groupBy("u").agg(F.sum("c").alias("cu"), F.count(F.lit(1)).alias("dishes"), F.sum(alone.cast("long")).alias("lone")), "lm-contexts")
+    words = written(pairs.groupBy("w").agg(F.sum("c").alias("c"), F.sum(alone.cast("long")).alias("lone")).withColumnRenamed("w", "word"), "lm-words")
+    many = pairs.filter(~alone)
+    now, p, kept, free = words, (F.col("c") + 1) / F.lit(float(n + v + 1)), [f"p{j}" for j in range(SAMPLES)], []
+    seated, total = contexts.withColumn("t", F.col("dishes")), v
+    chain = np.random.default_rng(1)
     for done in range(1, SWEEPS + 1):
-        seen = list(parents)
-
-        def seat(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("s")
-            c, s, u = pdf["c"].to_numpy(), pdf["s"].to_numpy(), int(pdf["u"].iloc[0])
-            t = np.ones(len(pdf), np.int64)
-            for i, p in enumerate(seen):    # the chain from its start: the same draws as in the sweeps before, then one more
-                t = sweep(c, t.sum(), p[s], DISCOUNT, STRENGTH, 1000 * u + i)
-            return pd.DataFrame({"u": pdf["u"], "s": pdf["s"], "t": t})
-
-        tables = np.zeros((k, k))
-        for r in cells.groupBy("u").applyInPandas(seat, "u long, s long, t long").collect():
-            tables[r["u"], r["s"]] = r["t"]
-        dishes = tables.sum(axis=0)
-        tops = (dishes > 0).astype(np.int64) if tops is None else tops
-        tops = sweep(dishes, tops.sum(), uniform, PARENT_DISCOUNT, PARENT_STRENGTH, 7 + done)
-        top = predictive(dishes, tops.astype(float), uniform, PARENT_DISCOUNT, PARENT_STRENGTH)
-        parents.append(top)
-        if done > BURN:
-            mean += predictive(counts, tables, top, DISCOUNT, STRENGTH) / (SWEEPS - BURN)
-    with np.errstate(divide="ignore"):
-        return np.log10(mean)
-
-
-def sample_rare(words: DataFrame) -> tuple[DataFrame, int]:
-    """(word, c, t0..: tables of each rare word in every kept seating; number of rare types). The rare restaurant
-    has at least a table per type, so the weight of a new one, (strength + discount * T) / (types + 1), hardly
-    moves with a single customer: it is taken from a first estimate of T."""
-    cols = [f"t{i}" for i in range(SAMPLES)]
-    start = words.agg(F.count(F.lit(1)), F.sum((F.col("c") > 1).cast("long"))).first()
-    guess = float(start[0]) + 0.5 * float(start[1] or 0)
-    n_rare = int(start[0])
-    mass = (RARE_STRENGTH + RARE_DISCOUNT * guess) / (n_rare + 1)
-
-    def run(batches):
-        for b in batches:
-            w, c = b.column(0).to_pylist(), b.column(1).to_numpy()
-            key = np.array([zlib.crc32(x) for x in w], np.int64)
-            t = np.ones((len(w), SAMPLES), np.int64)
-            for j in range(SAMPLES):
-                t[:, j] = draw_tables(c, np.full(len(w), mass), RARE_DISCOUNT, uniforms(key, j))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)] + [pa.array(t[:, j]) for j in range(SAMPLES)], names=["word", "c", *cols])
-
-    return words.select("word", "c").mapInArrow(run, "word binary, c long, " + ", ".join(f"{x} long" for x in cols)), n_rare
+        j = done - 1 - (SWEEPS - SAMPLES)
+        name = f"t{j}" if j >= 0 else "t"
+        lookup = now.select(F.col("word").alias("w"), p.alias("pw"))
+        rows = many.drop("t").join(gammas(seated, done), "u").join(lookup, "w")
+        back = [x for x in many.columns if x != "t"]
+        many = written(seat(rows.select(*back, "g", "pw"), "c", DISCOUNT * F.col("g") * F.col("pw"), DISCOUNT, ["u", "w"], done, name)
+                       .select(*back, name), "lm-seats")
+        tables = F.sum(name).alias("more")
+        more = F.coalesce("more", F.lit(0))
+        seated = contexts.drop("t").join(many.groupBy("u").agg(tables), "u", "left").withColumn("t", F.col("lone") + more).drop("more")
+        if j >= 0:
+            seated = seated.withColumn(f"g{j}", STRENGTH + DISCOUNT * F.col("t"))
+        contexts = seated = written(seated, "lm-contexts")
+        below = now.drop("t", "tt").join(many.groupBy(F.col("w").alias("word")).agg(tables), "word", "left").withColumn("t", F.col("lone") + more).drop("more")
+        g = chain.gamma(PARENT_STRENGTH / PARENT_DISCOUNT + total)
+        now = written(seat(below, "t", F.lit(float(PARENT_DISCOUNT * g / (v + 1))), PARENT_DISCOUNT, ["word"], 100 + done, "tt"), "lm-words")
+        sums = now.agg(F.sum("t"), F.sum("tt")).first()
+        below_all, total = int(sums[0] or 0), int(sums[1] or 0)
+        spread = (PARENT_STRENGTH + PARENT_DISCOUNT * total) / (v + 1)
+        p = (F.col("t") - PARENT_DISCOUNT * F.col("tt") + spread) / (PARENT_STRENGTH + below_all)
+        if j >= 0:
+            now = now.withColumn(kept[j], p)
+            free.append(spread / (PARENT_STRENGTH + below_all))
+    ts = [f"t{j}" for j in range(SAMPLES)]
+    every = many.select("u", "w", "c", *ts).unionByName(pairs.filter(alone).select("u", "w", "c", *[F.lit(1).cast("long").alias(t) for t in ts]))
+    return every, contexts.select("u", "cu", *[f"g{j}" for j in range(SAMPLES)]), now.select("word", "c", *kept), free
 
 
 def train(docs: DataFrame) -> tuple[Model, DataFrame]:
-    """Model and the table of rare words (word, c, lp = log10 p(w | RARE)); ``docs``: training rows only."""
-    counts = written(word_counts(docs), "lm-words")
-    total = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
-    ends = docs.count()
-    n, v = int(total[0] or 0) + ends, int(total[1]) + (ends > 0)
-    top = counts.orderBy(F.desc("c"), "word").limit(SYMBOLS).collect()
+    """Model and the table of the words that are no symbols (word, c, p0.., lp = log10 p(w | RARE)); ``docs``: training rows only."""
+    spark = docs.sparkSession
+    counted = written(pair_counts(docs), "lm-pairs")
+    total = counted.agg(F.sum("c"), F.count_distinct("w")).first()
+    n, v = int(total[0] or 0), int(total[1])
+    seats, contexts, words, free = sample(counted, n, v)
+    kept = range(SAMPLES)
+    by_word = words.select(F.col("word").alias("w"), F.col("c").alias("n"), *[f"p{j}" for j in kept])
+    each = [(F.col("c") - DISCOUNT * F.col(f"t{j}") + F.col(f"g{j}") * F.col(f"p{j}")) / (STRENGTH + F.col("cu")) for j in kept]
+    pairs = written(seats.join(contexts, "u").join(by_word, "w").select("u", "w", "c", F.log10(sum(each) / SAMPLES).alias("lp"), "n"), "lm-scores")
+    back = contexts.select("u", *[(F.col(f"g{j}") / (STRENGTH + F.col("cu"))).alias(f"g{j}") for j in kept])
+
+    listed = words.filter(F.length("word") > 0)
+    top = listed.orderBy(F.desc("c"), "word").limit(SYMBOLS).collect()
     symbol = {bytes(r["word"]): i for i, r in enumerate(top)}
-    k = len(symbol) + 3
-    logp = sample_contexts(written(context_counts(docs, symbol), "lm-contexts"), k) if n else np.zeros((k, k))
-    frequent = counts.orderBy(F.desc("c"), "word").limit(SYMBOLS).select("word")
-    seated, n_rare = sample_rare(counts.join(F.broadcast(frequent), "word", "left_anti"))
-    rare = written(seated, "lm-rare")
-    sums = rare.agg(F.sum("c"), *[F.sum(f"t{i}") for i in range(SAMPLES)]).first()
-    c_all, t_all = float(sums[0] or 0), [float(x or 0) for x in sums[1:]]
-
-    def mean(c, tables):
-        parts = [(c - RARE_DISCOUNT * t + (RARE_STRENGTH + RARE_DISCOUNT * ta) / (n_rare + 1)) / (RARE_STRENGTH + c_all) for t, ta in zip(tables, t_all)]
-        return sum(parts) / SAMPLES
-
-    lp = F.log10(mean(F.col("c"), [F.col(f"t{i}") for i in range(SAMPLES)]))
-    rare = rare.select("word", "c", lp.alias("lp"))
-    free = math.log10(mean(0.0, [0.0] * SAMPLES)) if n else 0.0
-    head = {bytes(r["word"]): (int(r["c"]), float(r["lp"])) for r in rare.orderBy(F.desc("c"), "word").limit(HEAD).collect()}
-    head.update({bytes(r["word"]): (int(r["c"]), 0.0) for r in top})
-    return Model(symbol, logp, head, n, v, ends, free), rare
+    k = len(symbol)
+    frequent = spark.createDataFrame([*top, *words.filter(F.length("word") == 0).collect()], words.schema)
+    unigram, p = np.zeros((SAMPLES, k + 3)), np.zeros((k + 3, k + 3))
+    unigram[:, k + 1] = free    # without training texts; else set below
+    for r in frequent.collect():
+        unigram[:, symbol.get(bytes(r["word"]), k + 1)] = [r[f"p{j}"] for j in kept]
+    p[k] = unigram.mean(axis=0)
+    p[:k] = p[k + 2] = p[k]
+    rows, cols = {**symbol, EDGE: k + 2}, {**symbol, EDGE: k + 1}
+    few = F.broadcast(frequent.select("word"))
+    for r in back.join(few.withColumnRenamed("word", "u"), "u").collect():
+        p[rows[bytes(r["u"])]] = sum(r[f"g{j}"] * unigram[j] for j in kept) / SAMPLES
+    dense = pairs.join(few.withColumnRenamed("word", "u"), "u").join(few.withColumnRenamed("word", "w"), "w")
+    for r in dense.collect():
+        p[rows[bytes(r["u"])], cols[bytes(r["w"])]] = 10 ** r["lp"]
+    p[:, k] = np.maximum(1 - p.sum(axis=1), 0)
+    first = pairs.orderBy(F.desc("c"), "u", "w").limit(HEAD).collect()
+    head = {(bytes(r["u"]), bytes(r["w"])): r["lp"] for r in first}
+    known = {bytes(r["word"]): r["c"] for r in frequent.collect()} | {bytes(r["w"]): r["n"] for r in first}
+    others = float(p[k, k]) or 1.0
+    rare = listed.join(few, "word", "left_anti").withColumn("lp", F.log10(sum(F.col(f"p{j}") for j in kept) / SAMPLES / others))
+    with np.errstate(divide="ignore"):
+        model = Model(symbol, np.log10(p), head, known, n, v, free, math.log10(sum(free) / SAMPLES / others), pairs.select("u", "w", "lp", "n"), back, frequent)
+    return model, rare
 
 
 def score(docs: DataFrame, model: Model, rare: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` columns (doc_id among them) plus n_tokens, n_known, train_tokens, base_score, score."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model)
+    spark, kept = docs.sparkSession, range(SAMPLES)
+    k, free, bottom = len(model.symbol), model.unseen, float(model.n_tokens + model.n_types + 1)
+    sent = spark.sparkContext.broadcast((model.symbol | {EDGE: k + 2}, model.symbol | {EDGE: k + 1}, model.logp.tolist(), model.head,
+                                         {w: (c, math.log10((c + 1) / bottom)) for w, c in model.known.items()}))
     tagged = docs.withColumn("dk", text_key(F.col("text")))
-    read = [*keep, "dk", "text"]
-
-    def parts(b):
-        return [sent.value.part(raw) for raw in b.column(b.num_columns - 1).cast(pa.binary()).to_pylist()]
 
-    def heads(batches):
-        for b in batches:
-            p = parts(b)
-            yield pa.RecordBatch.from_arrays([b.column(i) for i in range(len(read) - 1)] + [pa.array([x[j] for x in p], t) for j, t in
-                                             enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64()))],
-                                             names=[*read[:-1], "n_tokens", "known0", "base0", "score0"])
-
-    def tails(batches):
+    def run(batches):
+        """The pairs of every text to be looked up, and per row one line without a pair (its place is unique) with what was found in the broadcasts."""
+        rows, cols, dense, head, counts = sent.value
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 own = b.slice(lo, 256)
-                p = [x[4] for x in parts(own)]
-                for i, x in enumerate(p):   # one mark per row: repeated rows (same id, same text) add up and are divided by their number
-                    x[b" %d" % (i % 1024)] = 0
-                at = np.repeat(np.arange(len(p)), [len(x) for x in p])
-                yield pa.RecordBatch.from_arrays([own.column(0).take(pa.array(at)), own.column(1).take(pa.array(at)),
-                                                  pa.array([w for x in p for w in x], pa.binary()), pa.array([c for x in p for c in x.values()], pa.int32())],
-                                                 names=["t_id", "t_dk", "word", "m"])
-
-    schema = T.StructType([tagged.schema[c] for c in read[:-1]] + [T.StructField("n_tokens", T.LongType()), T.StructField("known0", T.LongType()),
-                          T.StructField("base0", T.DoubleType()), T.StructField("score0", T.DoubleType())])
-    out = tagged.select(*read).mapInArrow(heads, schema)
-    tail_type = T.StructType([T.StructField("t_id", docs.schema["doc_id"].dataType), T.StructField("t_dk", T.LongType()),
-                              T.StructField("word", T.BinaryType()), T.StructField("m", T.IntegerType())])
-    tail = tagged.select("doc_id", "dk", "text").mapInArrow(tails, tail_type)
-    known, lp = F.col("c").isNotNull(), F.coalesce("lp", F.lit(model.rare_free))
-    base = F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(max(1, model.n_tokens + model.n_types + 1))))
-    sums = (tail.join(rare, "word", "left").groupBy("t_id", "t_dk")
-            .agg(F.sum(F.when(known, F.col("m")).otherwise(0)).alias("known1"), F.sum(F.col("m") * base).alias("base1"),
-                 F.sum(F.col("m") * lp).alias("score1"), F.sum((F.col("m") == 0).cast("long")).alias("same")))
-    each = lambda c: F.col(c) / F.col("same")
-    return (out.join(sums, F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("dk") == F.col("t_dk")), "left")
-            .select(*keep, "n_tokens", (F.col("known0") + each("known1").cast("long")).alias("n_known"), F.lit(model.n_tokens).cast("long").alias("train_tokens"),
-                    (F.col("base0") + each("base1")).alias("base_score"), (F.col("score0") + each("score1")).alias("score")))
+                at, us, ws, ms, local = [], [], [], [], []
+                for i, (raw, dk) in enumerate(zip(own.column(2).cast(pa.binary()).to_pylist(), own.column(1).to_pylist())):
+                    words = words_of(raw)
+                    known, base, total, n = 0, 0.0, 0.0, len(us)
+                    for pair, m in Counter(zip([EDGE, *words], [*words, EDGE])).items():
+                        lp = head.get(pair)
+                        if lp is None:
+                            u, w = pair
+                            r, c = rows.get(u), cols.get(w)
+                            if r is None or c is None or w not in counts:
+                                us.append(u)
+                                ws.append(w)
+                                ms.append(m)
+                                continue
+                            lp = dense[r][c]
+                        total += m * lp
+                        c, one = counts[pair[1]]
+                        known += m * (c > 0)
+                        base += m * one
+                    mark = b"\xff" + struct.pack("<q", dk or 0)
+                    us.append(mark)
+                    ws.append(mark)
+                    ms.append(0)
+                    local.extend([None] * (len(us) - 1 - n))
+                    local.append([float(len(words) + 1), float(known), base, total])
+                    at.extend([i] * (len(us) - n))
+                at = pa.array(at, pa.int32())
+                yield pa.RecordBatch.from_arrays([own.column(0).take(at), own.column(1).take(at), pa.array(us, pa.binary()), pa.array(ws, pa.binary()),
+                                                  pa.array(ms, pa.int64()), pa.array(local, pa.list_(pa.float64()))], names=["t_id", "t_dk", "u", "w", "m", "own"])
+
+    kind = T.StructType([T.StructField("t_id", docs.schema["doc_id"].dataType), T.StructField("t_dk", T.LongType()), T.StructField("u", T.BinaryType(), False),
+                         T.StructField("w", T.BinaryType(), False), T.StructField("m", T.LongType()), T.StructField("own", T.ArrayType(T.DoubleType()))])
+    asked = tagged.select("doc_id", "dk", "text").mapInArrow(run, kind).join(model.pairs, ["u", "w"], "left")
+    columns = ["t_id", "t_dk", "m", "own", "lp", "n"]
+    words = rare.select("word", "c", *[f"p{j}" for j in kept]).unionByName(model.frequent).withColumnRenamed("word", "w")
+    back = sum(F.coalesce(f"g{j}", F.lit(1.0)) * F.coalesce(f"p{j}", F.lit(free[j])) for j in kept) / SAMPLES
+    missed = (asked.filter(F.col("lp").isNull()).drop("lp", "n").join(model.contexts, "u", "left").join(words, "w", "left")
+              .select("t_id", "t_dk", "m", "own", F.log10(back).alias("lp"), F.coalesce("c", F.lit(0)).alias("n")))
+    every = asked.filter(F.col("lp").isNotNull()).select(*columns).unionByName(missed)
+    part = lambda i: F.coalesce(F.col("own")[i], F.lit(0.0))
+    sums = every.groupBy("t_id", "t_dk").agg(
+        F.sum(part(0)).alias("n0"), F.sum(part(1) + F.when(F.col("n") > 0, F.col("m")).otherwise(0)).alias("known"),
+        F.sum(part(2) + F.col("m") * F.log10((F.col("n") + 1) / F.lit(bottom))).alias("base"),
+        F.sum(part(3) + F.col("m") * F.col("lp")).alias("total"), F.count("own").alias("same"))
+    one = lambda c: F.col(c) / F.col("same")  # noqa: E731   repeated rows (same id, same text) add up
+    return (tagged.join(sums, F.col("doc_id").eqNullSafe(F.col("t_id")) & F.col("dk").eqNullSafe(F.col("t_dk")))
+            .select(*keep, one("n0").cast("long").alias("n_tokens"), one("known").cast("long").alias("n_known"), F.lit(model.n_tokens).cast("long").alias("train_tokens"),
+                    one("base").alias("base_score"), one("total").alias("score")))

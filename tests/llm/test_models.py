@@ -176,6 +176,31 @@ def test_reseating_keeps_customers_and_finds_the_posterior():
     assert all(sum(lm.first_tables(c, m)) == c and min(lm.first_tables(c, m)) > 0 for c in (1, 2, 3, 50, 10**9) for m in (0.01, 1.0, 80.0))
 
 
+def test_words_that_are_no_symbols_have_contexts(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SYMBOLS", 2)
+    monkeypatch.setattr(lm, "HEAD", 3)
+    texts = ["the cat sat on the mat"] * 6 + ["zeta omega the"] * 30 + ["kappa sigma the"] * 30
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    model, rare = lm.train(df)
+    ask = ["zeta omega", "zeta sigma", "zeta new", "new zeta", "omega", "the the"]
+    asked = spark.createDataFrame([(i, t) for i, t in enumerate(ask)], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in lm.score(asked, model, rare, ["doc_id"]).collect()}
+    assert got[0] > got[1] + 0.7
+    pairs = {(bytes(r["u"]), bytes(r["w"])): 10 ** r["lp"] for r in model.pairs.collect()}
+    back = {bytes(r["u"]): (r["g0"], r["g1"]) for r in model.contexts.collect()}
+    word = {bytes(r["word"]): (r["p0"], r["p1"]) for r in [*rare.collect(), *model.frequent.collect()]}
+    assert {b"zeta", b"omega", b"mat", b""} <= set(back) and all(sum(p[j] for p in word.values()) + model.unseen[j] == pytest.approx(1) for j in (0, 1))
+
+    def p(u, w):
+        g, q = back.get(u, (1, 1)), word.get(w, model.unseen)
+        return pairs.get((u, w)) or (g[0] * q[0] + g[1] * q[1]) / 2
+    for u in [b"zeta", b"the", b"never", b""]:
+        assert sum(p(u, w) for w in word) + p(u, b"never") == pytest.approx(1)
+    for i, t in enumerate(ask):
+        w = t.encode().split()
+        assert got[i] == pytest.approx(sum(math.log10(p(a, b)) for a, b in zip([b"", *w], [*w, b""])))
+
+
 def test_tables_are_drawn_from_the_posterior_at_any_count():
     u = (np.arange(4000) + 0.5) / 4000
     t = np.arange(1, 2001)
