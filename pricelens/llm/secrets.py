@@ -1,8 +1,10 @@
 """Secret scan: candidates by shape, false positives removed by a random forest.
 
-A candidate is a whitespace token of eight characters or more that holds a digit
-or stands in an assignment (``name = value``, ``name: value``, ``name=value``), without
-its quotes and end punctuation. The forest judges each one by
+Whitespace tokens are split at quotes, brackets, separators and ``= : & ; , ? |``, so
+that a key in compact JSON, a query string or a list stands alone. A candidate is a
+piece of eight characters or more that holds a digit or stands in an assignment
+(``name = value``, ``name: value``, ``name=value``), without its end punctuation; ``key`` is
+the piece before it in its token. The forest judges each one by
 
 * length, shares of digits, capitals, hex digits and symbols;
 * character transitions: changes between letters, digits and cases, and the mean
@@ -16,9 +18,12 @@ its quotes and end punctuation. The forest judges each one by
 The forest is trained from labelled findings (columns of ``candidates`` plus
 ``label``), at most ``SAMPLE`` of them (a documented parameter). The given tables
 hold no labelled findings, so the query labels candidates by strict formats
-(``known_format``): cloud key ids, and hex values under a credential name, are
-secrets; card numbers, addresses, telephone numbers, versions and other
-candidates are not. The features don't include the rule's outcome.
+(``known_format``): key ids and tokens with a vendor's prefix, JSON web tokens, the
+lines of private-key blocks, hex, base64 and mixed values under a credential name are
+secrets; mail addresses, telephone and card numbers, network addresses, dates, versions,
+paths, numbers and names made of words are not. A candidate in neither has no
+label and isn't trained on; the forest alone judges it. The features don't include
+the rule's outcome.
 
 Everything is DataFrame and SQL work. The dictionary is one count over the words
 of all documents; the pair table has at most 29 x 29 entries and travels as a
@@ -48,6 +53,7 @@ CUT = 0.5
 NAMES = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|credential|auth)"
 ASSIGNED = NAMES + r"[\"']?\s*(=|:)"
 _EDGE = "\"'`()[]{}<>,;.!?*#$%&|"
+PIECE = r"[\"'`=:&;,?|{}\[\]()<>]+"
 _ALPHABET = "abcdefghijklmnopqrstuvwxyz0*#"
 FEATURES = ["length", "digits", "uppers", "hexes", "symbols", "kind_changes", "case_changes", "pair_logp", "coverage",
             "slashes", "ats", "dots", "file_end", "pathlike_source", "named", "assigned", "quoted", "words_before", "words_after"]
@@ -58,7 +64,7 @@ def _share(value: Column, pattern: str) -> Column:
 
 
 def candidates(docs: DataFrame, carry: tuple[str, ...] = ("doc_id", "source")) -> DataFrame:
-    """``carry`` plus dk (text key), i (word number), value, prev2, prev, next, raw (the whole token)."""
+    """``carry`` plus dk (text key), i (word number), value, prev2, prev, next, raw (the whole token), piece and key (its place in the token, and the piece before)."""
     text = F.btrim("text", F.lit(SPACE_CHARS))
     wanted = docs.filter(F.col("text").rlike(r"[0-9]|" + ASSIGNED))
     words = F.split(text, SPACE)
@@ -66,15 +72,22 @@ def candidates(docs: DataFrame, carry: tuple[str, ...] = ("doc_id", "source")) -
     def pick(w):
         def row(i):
             raw, prev = F.get(w, i), F.coalesce(F.get(w, i - 1), F.lit(""))
-            named = raw.rlike(ASSIGNED) | (prev.rlike(r"^(=|:)$") & F.coalesce(F.get(w, i - 2), F.lit("")).rlike(NAMES)) | prev.rlike(ASSIGNED + "$")
-            return F.when((F.length(raw) >= MIN_LENGTH) & (raw.rlike("[0-9]") | named),
-                          F.struct(i.alias("i"), raw.alias("raw"), F.coalesce(F.get(w, i - 2), F.lit("")).alias("prev2"), prev.alias("prev"),
-                                   F.coalesce(F.get(w, i + 1), F.lit("")).alias("next")))
-        return F.filter(F.transform(F.sequence(F.lit(0), F.size(w) - 1), row), lambda s: s.isNotNull())
+            prev2 = F.coalesce(F.get(w, i - 2), F.lit(""))
+            outer = (prev.rlike(r"^(=|:)$") & prev2.rlike(NAMES)) | prev.rlike(ASSIGNED + "$")
 
-    found = wanted.select(*carry, text_key(F.col("text")).alias("dk"), F.explode(let(words, pick)).alias("c")).select(*carry, "dk", "c.*")
-    value = F.btrim(F.regexp_replace("raw", r"^[\"']?[A-Za-z_-]+[\"']?[=:](?=.{6})", ""), F.lit(_EDGE))
-    return found.withColumn("value", value).filter(F.length("value") >= MIN_LENGTH)
+            def pieces(parts):
+                def piece(k):
+                    value, key = F.btrim(F.get(parts, k), F.lit(_EDGE)), F.coalesce(F.get(parts, k - 1), F.lit(""))
+                    named = F.when(key == "", outer).otherwise(key.rlike(NAMES) & raw.rlike("[=:]"))
+                    return F.when((F.length(value) >= MIN_LENGTH) & (value.rlike("[0-9]") | named),
+                                  F.struct(i.alias("i"), k.alias("piece"), raw.alias("raw"), prev2.alias("prev2"), prev.alias("prev"),
+                                           F.coalesce(F.get(w, i + 1), F.lit("")).alias("next"), key.alias("key"), value.alias("value")))
+                return F.filter(F.transform(F.sequence(F.lit(0), F.size(parts) - 1), piece), lambda s: s.isNotNull())
+
+            return let(F.split(raw, PIECE), pieces)
+        return F.flatten(F.transform(F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: (F.length(F.get(w, i)) >= MIN_LENGTH)), row))
+
+    return (wanted.select(*carry, text_key(F.col("text")).alias("dk"), F.explode(let(words, pick)).alias("c")).select(*carry, "dk", "c.*"))
 
 
 def dictionary(docs: DataFrame, min_count: int = MIN_WORD) -> DataFrame:
@@ -118,7 +131,7 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
     scored = distinct.withColumn("pair_logp", F.when(F.length("value") > 1, let(_symbols(F.col("value")), logp)).otherwise(0.0))
     scored = written(scored.join(covered, "value", "left")
                      .select(F.col("value").alias("v"), "pair_logp", (F.coalesce("in_words", F.lit(0)) / F.length("value")).alias("coverage")), "secrets-values")
-    v, raw, prev, prev2 = (F.col(c) for c in ("value", "raw", "prev", "prev2"))
+    v, raw, prev, prev2, key = (F.col(c) for c in ("value", "raw", "prev", "prev2", "key"))
     num = lambda c: F.coalesce(c.cast("double"), F.lit(0.0))
     plain = r"^\p{L}{2,}[.,;:!?]?$"
     return (found.join(scored, F.col("value") == F.col("v")).drop("v")
@@ -129,22 +142,32 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
             .withColumn("slashes", num(F.regexp_count(v, F.lit(r"[/\\]")))).withColumn("ats", num(F.regexp_count(v, F.lit("@"))))
             .withColumn("dots", num(F.regexp_count(v, F.lit("[.]")))).withColumn("file_end", num(v.rlike(r"[.][A-Za-z]{2,4}$")))
             .withColumn("pathlike_source", num(F.coalesce(F.col("source").cast("string"), F.lit("")).rlike(r"[/.]")))
-            .withColumn("named", num(raw.rlike(NAMES) | prev.rlike(NAMES) | prev2.rlike(NAMES)))
-            .withColumn("assigned", num(raw.rlike("[=:].{6}") | prev.rlike("(=|:)$"))).withColumn("quoted", num(raw.rlike("[\"'`]")))
+            .withColumn("named", num(F.when(key == "", prev.rlike(NAMES) | prev2.rlike(NAMES)).otherwise(key.rlike(NAMES))))
+            .withColumn("assigned", num(F.when(key == "", prev.rlike("(=|:)$")).otherwise(raw.rlike("[=:].{6}")))).withColumn("quoted", num(raw.rlike("[\"'`]")))
             .withColumn("words_before", num(prev.rlike(plain)) + num(prev2.rlike(plain))).withColumn("words_after", num(F.col("next").rlike(plain))))
 
 
+VENDOR = (r"^(((?i)(AKIA|ASIA)[A-Z0-9]{16})|gh[pousr]_[A-Za-z0-9]{20,}|github_pat_[A-Za-z0-9_]{20,}|glpat-[A-Za-z0-9_-]{16,}|xox[abeoprs]-[A-Za-z0-9-]{10,}"
+          r"|[srp]k_(live|test)_[A-Za-z0-9]{16,}|sk-[A-Za-z0-9_-]{20,}|AIza[A-Za-z0-9_-]{35}|npm_[A-Za-z0-9]{30,}|eyJ[A-Za-z0-9_-]{8,}[.]eyJ[A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]*)$")
+HARMLESS = (r"^([A-Za-z0-9._%+-]+@[A-Za-z0-9-]+([.][A-Za-z0-9-]+)+|[vV]?[0-9]+([.][0-9]+)+([-+][a-z]+[.]?[0-9]*)?|[+]?[0-9][0-9 ./_+-]*"
+            r"|[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9.Z+-]*|([.~]|[A-Za-z])?[/\\\\].*[.][A-Za-z]{1,4}|//[^/@]+(/[A-Za-z0-9._~-]{0,24})*|([A-Za-z0-9._-]+/)+[A-Za-z0-9_-]+[.][A-Za-z]{1,4})$")
+
+
 def known_format(found: DataFrame) -> Column:
-    """1 for candidates in a strict secret format, else 0 (labels where no findings were labelled by hand)."""
-    key_id = F.col("value").rlike(r"^(?i)(AKIA|ASIA)[A-Z0-9]{16}$")
-    hexed = F.col("value").rlike(r"^(?i)[0-9a-f]{16,64}$") & (F.col("named") == 1) & (F.col("assigned") == 1)
-    return (key_id | hexed).cast("double")
+    """1 for candidates in a strict secret format, 0 in a harmless one, null in neither (labels where no findings were labelled by hand)."""
+    v = F.col("value")
+    held = (F.col("named") == 1) & (F.col("assigned") == 1)
+    mixed = v.rlike("[0-9]") & v.rlike("[A-Za-z]")
+    block = F.col("prev").rlike("KEY-----$") & v.rlike("^[A-Za-z0-9+/]{40,}$")
+    secret = v.rlike(VENDOR) | block | (held & (v.rlike(r"^(?i)[0-9a-f]{16,128}$") | (mixed & ~v.rlike(HARMLESS) & (F.col("coverage") < 0.7))))
+    harmless = v.rlike(HARMLESS) | (~held & (F.col("coverage") > 0.8))
+    return F.when(secret, 1.0).when(harmless, 0.0)
 
 
 def train(labelled: DataFrame, sample: int = SAMPLE):
-    """Forest from labelled findings (FEATURES and label), or the single class there is (0.0 without rows)."""
+    """Forest from labelled findings (FEATURES and label; rows without a label are left out), or the single class there is (0.0 without rows)."""
     key = F.xxhash64("doc_id", "i", "value")
-    rows = written(labelled.select(*FEATURES, "label", key.alias("k")).orderBy("k", *FEATURES).limit(sample), "secrets-sample")
+    rows = written(labelled.filter(F.col("label").isNotNull()).select(*FEATURES, "label", key.alias("k")).orderBy("k", *FEATURES).limit(sample), "secrets-sample")
     classes = [r["label"] for r in rows.select("label").distinct().collect()]
     if len(classes) < 2:
         return classes[0] if classes else 0.0
