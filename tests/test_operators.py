@@ -197,6 +197,21 @@ def test_bootstrap_brackets_point_and_ignores_partitioning(spark):
     assert p["ci_low"] < p["rmse"] < p["ci_high"] and p["n_obs"] == 3000
 
 
+def test_grouped_bootstrap_is_the_bootstrap_of_each_group(spark):
+    a, b = _errors(spark, 50, 900, 3), _errors(spark, 90, 700, 4)
+    both = a.withColumn("model", F.lit("a")).unionByName(b.withColumn("model", F.lit("b"))).withColumn("iseed", F.lit(7)).repartition(5)
+    got = {r["model"]: r for r in bs.bootstrap_ci_bucketed(both, n_boot=200, by=["model", "iseed"]).collect()}
+    for name, df in (("a", a), ("b", b)):
+        one = bs.bootstrap_ci_bucketed(df, n_boot=200).first()
+        assert all(got[name][c] == pytest.approx(one[c], rel=1e-12) for c in ("rmse", "ci_low", "ci_high", "n_obs")) and got[name]["iseed"] == 7
+
+
+def test_rule_per_inner_seed_draws_2000_replicates(spark):
+    from pricelens.plans import q_blend
+    r = q_blend.q_bs2b(spark, "/root/testdata/sf0.001").collect()
+    assert len(r) == 9 and all(x["n_boot"] == 2000 for x in r)
+
+
 def test_overfitting_rule(spark):
     tr, va = _errors(spark, 5, 4000, 1), _errors(spark, 200, 2000, 2)
     r = bs.overfitting_rule(bs.bootstrap_ci_portable(tr, n_boot=30), bs.bootstrap_ci_portable(va, n_boot=30, seed=12346)).first()
