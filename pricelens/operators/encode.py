@@ -227,6 +227,34 @@ def ordered_target_stats(train: DataFrame, level: str, target: str, key: str = "
     return j.select(key, level, target, ((s + F.lit(a) * prior) / (n + F.lit(a))).alias(out))
 
 
+def add_ordered_target_stats(train: DataFrame, levels: list[str], target: str, key: str = "ID", a: float = 1.0,
+                             seed: int = 42, suffix: str = "__ts") -> DataFrame:
+    """EN17 for many columns: ``train`` plus ``<level><suffix>`` of each, the values of ``ordered_target_stats``, without a join by row."""
+    n, prior = train.agg(F.count(F.lit(1)), F.avg(target)).first()
+    bits = min(32, max(0, math.ceil(math.log2(max(1, n) / CHUNK_ROWS))))
+    d = train.withColumn("_h", hash_int(seed, F.col(key))).withColumn("_c", F.shiftright("_h", 32 - bits) if bits else F.lit(0).cast("long"))
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    for c in levels:
+        wc, wr = before(Window.partitionBy(c).orderBy("_c")), before(Window.partitionBy(c, "_c").orderBy("_h", key))
+        chunks = train.select(c, target, hash_int(seed, F.col(key)).alias("_h"))
+        chunks = chunks.withColumn("_c", F.shiftright("_h", 32 - bits) if bits else F.lit(0).cast("long")).groupBy(c, "_c").agg(
+            F.sum(target).alias("_cs"), F.count(F.lit(1)).alias("_cn"))
+        chunks = chunks.select(c, "_c", F.coalesce(F.sum("_cs").over(wc), F.lit(0.0)).alias("_ps"), F.coalesce(F.sum("_cn").over(wc), F.lit(0)).alias("_pn"))
+        inner = d.withColumn("_rs", F.coalesce(F.sum(target).over(wr), F.lit(0.0))).withColumn("_rn", F.count(F.lit(1)).over(wr))
+        value = (F.col("_rs") + F.col("_ps") + F.lit(a * (prior or 0.0))) / (F.col("_rn") + F.col("_pn") + F.lit(a))
+        d = inner.join(chunks, [c, "_c"]).withColumn(c + suffix, value).drop("_rs", "_rn", "_ps", "_pn")
+    return d.drop("_h", "_c")
+
+
+def add_target_stats(df: DataFrame, train: DataFrame, levels: list[str], target: str, a: float = 1.0, suffix: str = "__ts") -> DataFrame:
+    """EN17 at scoring time for many columns: ``df`` plus ``<level><suffix>`` from the tables of ``train``; the prior for unseen levels."""
+    prior = train.agg(F.avg(target)).first()[0]
+    for c in levels:
+        df = df.join(target_stats_table(train, c, target, a).withColumnRenamed("te", c + suffix), c, "left")
+        df = df.withColumn(c + suffix, F.coalesce(c + suffix, F.lit(prior)))
+    return df
+
+
 def target_stats_table(train: DataFrame, level: str, target: str, a: float = 1.0) -> DataFrame:
     """EN17 scoring-time statistic: (n mean + a prior)/(n + a) per level, prior for unseen."""
     prior = train.agg(F.avg(target)).scalar()

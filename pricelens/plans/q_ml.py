@@ -98,29 +98,30 @@ _holdout_query("fe15_log_target_ridge_holdout", "ridge", "ridge|levels|log", pre
                alpha=10.0)
 
 
-@query("md13_cat_style_holdout")
-def q_md13(spark, sf_dir):
-    """MD13 re-aimed: missing sentinel (EN2) + ordered target statistics (EN17) per text column, then GBT."""
+def cat_style_frames(d):
+    """Encoded dev rows (ordered statistics), encoded rows to score (statistics of all dev rows), names of the features: every
+    engineered text column by its statistics and every engineered number by its value, missing ones below the smallest."""
     from ..operators import encode as en
-    from ..operators.features import engineer
-    d = dev_holdout(spark, sf_dir)
     eng = engineer(d)
-    text = ["device_type", "brand", "os", "gpu_model", "model_line", "cpu_family", "storage_type"]
+    names = [(c, kind) for c, kind in eng.dtypes if c not in ("ID", "price", *BOOKKEEPING)]
+    text, numbers = [c for c, kind in names if kind == "string"], [c for c, kind in names if kind != "string"]
     eng = en.missing_sentinel(eng, text)
-    dev = eng.filter(F.col("split") == "dev")
-    stats_cols = []
-    train_enc, score_enc = dev.select("ID", "price"), eng.select("ID", "price", "split")
-    for c in text:
-        ots = en.ordered_target_stats(dev, c, "price", a=1.0, out=f"{c}__ts").select("ID", f"{c}__ts")
-        tab = en.target_stats_table(dev, c, "price", a=1.0).withColumnRenamed("te", f"{c}__ts")
-        prior = dev.agg(F.avg("price")).scalar()
-        train_enc = train_enc.join(ots, "ID")
-        score_enc = score_enc.join(eng.select("ID", c), "ID").join(tab, c, "left") \
-            .withColumn(f"{c}__ts", F.coalesce(F.col(f"{c}__ts"), prior)).drop(c)
-        stats_cols.append(f"{c}__ts")
+    low = eng.filter(F.col("split") == "dev").agg(*[F.min(F.col(c).cast("double")).alias(c) for c in numbers]).first()
+    values = [F.coalesce(F.col(c).cast("double"), F.lit((low[c] if low[c] is not None else 0.0) - 1.0)).alias(c) for c in numbers]
+    eng = written(eng.select("ID", "price", "split", *text, *values), "cat-features")
+    dev, out = eng.filter(F.col("split") == "dev"), [*numbers, *[f"{c}__ts" for c in text]]
+    train = en.add_ordered_target_stats(dev, text, "price").select("ID", "price", *out)
+    return train, en.add_target_stats(eng, dev, text, "price").select("ID", "price", "split", *out), out
+
+
+@query("md13_cat_style_holdout")
+def q_md13(spark, sf_dir):
+    """MD13 re-aimed: missing sentinel (EN2) + ordered target statistics (EN17) per text column and every number, then GBT."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
-    va = VectorAssembler(inputCols=stats_cols, outputCol="features")
+    train_enc, score_enc, names = cat_style_frames(dev_holdout(spark, sf_dir))
+    va = VectorAssembler(inputCols=names, outputCol="features")
+    train_enc = written(train_enc, "cat-train")
     model = GBTRegressor(maxIter=20, maxDepth=6, stepSize=0.1, labelCol="price", seed=42).fit(va.transform(train_enc))
     p = model.transform(va.transform(score_enc)).select("split", F.col("price").alias("y"), F.col("prediction").alias("pred"))
     return rounded(cv.metrics(p, by=["split"]).select(F.lit("cat_style").alias("model"), "*"))
