@@ -6,7 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, language_model, mixing, quality, secrets, sharding, simhash, topk, toxicity
+from . import (decontamination, language, language_model, mixing, packing, prefix_trie, quality, secrets, sharding, simhash, topk, toxicity,
+               whitening)
 from .common import id_crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +134,52 @@ def op7(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("held_out", id_crc_mod(F.col("doc_id"), 7) == 2)
     model, rare = language_model.train(docs.filter("NOT held_out"))
     return language_model.score(docs, model, rare, ["doc_id", "held_out"])
+
+
+_CRC_TABLE = "list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END))"
+
+
+@query("op11_conversation_prefix_trie", f"""
+WITH tab AS (SELECT {_CRC_TABLE} AS t),
+own AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos,
+               md5(md5(coalesce(role, '')) || coalesce(text, '')) AS h, coalesce(len({_WORDS}), 0)::BIGINT AS words
+        FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT c, c - c % 20 AS base, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''),
+               lambda x: ascii(x)::BIGINT)), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) % 4 AS h FROM (SELECT DISTINCT c FROM own), tab),
+turns AS (SELECT i.c, o.pos, 0 AS part, o.h, o.words FROM ids i JOIN own o ON o.c = i.base AND o.pos < i.h
+          UNION ALL SELECT i.c, o.pos, 1, o.h, o.words FROM ids i JOIN own o ON o.c = i.c AND o.pos >= i.h),
+path AS (SELECT c, row_number() OVER w AS d, string_agg(h, '') OVER w AS key, words FROM turns
+         WINDOW w AS (PARTITION BY c ORDER BY part, pos ROWS UNBOUNDED PRECEDING)
+         UNION ALL SELECT c, 0, '', 0 FROM ids),
+node AS (SELECT key, d, min(c) AS conv_id, count(*) AS n_convs, any_value(words) AS words FROM path GROUP BY key, d),
+up AS (SELECT n.*, p.key AS pkey, p.conv_id AS parent_conv_id FROM node n LEFT JOIN node p ON p.key = left(n.key, length(n.key) - 32) AND n.d > 0),
+kids AS (SELECT pkey AS key, count(*) AS n_children FROM up WHERE d > 0 GROUP BY pkey),
+full_ AS (SELECT u.*, coalesce(k.n_children, 0) AS n_children FROM up u LEFT JOIN kids k USING (key)),
+sub AS (SELECT a.key, sum((f.n_convs - 1) * f.words)::BIGINT AS saved_tokens, count(*) FILTER (f.n_children = 0) AS n_leaves
+        FROM full_ f JOIN path a ON a.c = f.conv_id AND a.d <= f.d GROUP BY a.key),
+last AS (SELECT c, arg_max(key, d) AS key FROM path GROUP BY c),
+ends AS (SELECT key, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS ends_sha256 FROM last GROUP BY key)
+SELECT conv_id, d::BIGINT AS depth, CASE WHEN d > 0 THEN parent_conv_id END AS parent_conv_id, n_convs::BIGINT AS n_convs, n_children::BIGINT AS n_children,
+       n_leaves::BIGINT AS n_leaves, saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM full_ JOIN sub USING (key) LEFT JOIN ends USING (key)
+""")
+def op11(spark, sf_dir):
+    """Nodes of the trie of conversations that open as the first of their twenty does."""
+    own = prefix_trie.turns(table(spark, sf_dir, "conversations"))
+    conv = F.col("conv_id")
+    rows, conversations = prefix_trie.with_shared_openings(own, conv - conv % 20, F.crc32(conv.cast("string").cast("binary")) % 4, 3)
+    return prefix_trie.trie(rows, conversations)
+
+
+@query("op12_embedding_whitening")
+def op12(spark, sf_dir):
+    """Every vector on the four leading components of the distinct ones, with unit variance."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_sequence_packing")
+def op13(spark, sf_dir):
+    """Pieces of all documents in sequences of at most 1024 ids."""
+    import public_tokenizers
+    pieces = packing.pack(table(spark, sf_dir, "documents"), packing.tokenizer_json(public_tokenizers.path("byte_bpe_50k.json")))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
