@@ -3,9 +3,9 @@
 Every representation is a linear map of a few raw columns per feature: a 0/1
 column for each level (and one for "missing"), the value with missing as 0, and
 a missing flag. ``fold_grams`` computes, per fold, the count, sums and pairwise
-cross products of those raw columns and of the target in one scan; partial
-tables are merged on the executors (by block of rows, salted, then by block), so
-the driver receives folds x width^2 numbers whatever the number of rows or tasks.
+cross products of those raw columns and of the target in one scan (levels meet as
+counts of integer code pairs, never as dense 0/1 rows); partial tables are merged on
+the executors block by block in a tree whose depth follows the number of tasks, so the driver receives folds x width^2 numbers whatever the number of rows or tasks.
 
 Training statistics of fold f are total minus f. Imputation by the training
 median or mode, missing indicators, centring, scaling and level routing become
@@ -27,10 +27,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.selection import grouped_quantiles
+from ..session import written
 from . import encode as en
 
 BLOCK = 64
-SALTS = 32
+FAN_IN = 32         # partial blocks that are added in one place
+MAX_WIDTH = 8192    # raw columns: 5 folds of them are 2.7 GB on the driver
 CHUNK = 1024
 ROWS_PER_TASK = 20_000
 
@@ -53,20 +55,24 @@ class Design:
             self.at[(c, "__null")] = len(self.at)
         self.width = len(self.at)
 
-    def matrix(self, pdf: pd.DataFrame) -> np.ndarray:
-        z = np.zeros((len(pdf), self.width))
-        rows = np.arange(len(pdf))
+    def codes(self, pdf: pd.DataFrame) -> list[np.ndarray]:
+        """Per level column the raw column that is 1 for each row."""
+        out = []
         for c, labels in self.levels.items():
-            where = {v: self.at[(c, v)] for v in labels}
-            v = pdf[c + "__l"]
-            idx = np.array([where.get(None if x is None or x != x else x, -1) for x in v])
-            z[rows[idx >= 0], idx[idx >= 0]] = 1.0
-        for c in self.numbers:
+            named = [v for v in labels if v is not None]
+            code = pd.Categorical(pdf[c + "__l"], categories=named).codes.astype(np.int64)      # -1: missing
+            at = np.array([*[self.at[(c, v)] for v in named], self.at.get((c, None), -1)])
+            out.append(at[code])
+        return out
+
+    def values(self, pdf: pd.DataFrame) -> np.ndarray:
+        """Values (missing as 0) and missing flags of the numeric columns, in the order of the raw columns."""
+        out = np.empty((len(pdf), 2 * len(self.numbers)))
+        for i, c in enumerate(self.numbers):
             x = pdf[c + "__n"].to_numpy(dtype=float)
             miss = np.isnan(x)
-            z[:, self.at[(c, "__x")]] = np.where(miss, 0.0, x)
-            z[:, self.at[(c, "__null")]] = miss
-        return z
+            out[:, 2 * i], out[:, 2 * i + 1] = np.where(miss, 0.0, x), miss
+        return out
 
 
 def prepare(df: DataFrame, cols: list[str], fold: str = "fold", target: str = "price", key_limit: int = 10 * en.MAX_LEVELS):
@@ -74,15 +80,22 @@ def prepare(df: DataFrame, cols: list[str], fold: str = "fold", target: str = "p
     types = {f.name: f.dataType for f in df.schema.fields}
     text = [c for c in cols if isinstance(types[c], T.StringType)]
     nums = [c for c in cols if c not in text]
-    many = df.agg(*[F.approx_count_distinct(c).alias(c) for c in nums]).first().asDict() if nums else {}
+    narrow = written(df.select(F.col(fold).cast("int").alias("fold"), F.col(target).cast("double").alias("y"), *[F.col(c).alias(c + "__l") for c in text],
+                               *[F.col(c).cast("double").alias(c + "__n") for c in nums]), "scan-rows")
+    many = narrow.agg(*[F.approx_count_distinct(c + "__n").alias(c) for c in nums]).first().asDict() if nums else {}
     small = [c for c in nums if many[c] <= key_limit]     # a column far above the level limit is wide in every fold
-    label = {c: F.col(c) for c in text} | {c: F.col(c).cast("double").cast("string") for c in small}
-    rows = df.select(F.col(fold).cast("int").alias("fold"), F.col(target).cast("double").alias("y"), *[label[c].alias(c + "__l") for c in label],
-                     *[F.col(c).cast("double").alias(c + "__n") for c in nums])
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c + "__l").alias("v")) for c in label])).alias("p")
+    label = [*text, *small]
+    rows = narrow.withColumns({c + "__l": F.col(c + "__n").cast("string") for c in small})
+    def levels(batches):       # a batch's distinct labels: few rows reach the shuffle
+        for pdf in batches:
+            for c in label:
+                own = pdf[["fold", c + "__l"]].drop_duplicates()
+                yield pd.DataFrame({"fold": own["fold"], "c": c, "v": own[c + "__l"]})
+
     seen: dict[str, dict] = {c: {} for c in label}
+    found = rows.select("fold", *[c + "__l" for c in label]).mapInPandas(levels, "fold int, c string, v string").distinct() if label else None
     # folds x the width of the design
-    for r in rows.select("fold", pairs).select("fold", "p.c", "p.v").distinct().collect() if label else []:
+    for r in found.collect() if label else []:
         seen[r["c"]].setdefault(r["v"], set()).add(r["fold"])
     folds = set().union(*(f for v in seen.values() for f in v.values()), set())
     for c in small:     # a number that has too many levels in the training rows of every fold needs no level columns
@@ -94,40 +107,72 @@ def prepare(df: DataFrame, cols: list[str], fold: str = "fold", target: str = "p
 
 def _grams(design: Design):
     p = design.width + 2       # raw columns, one, target
+    first = design.width - 2 * len(design.numbers)      # level columns come first
+    ends = np.cumsum([0, *[len(v) for v in design.levels.values()]])
+
+    def add(a: np.ndarray, codes: list[np.ndarray], dense: np.ndarray) -> None:
+        """Add rows to cross products ``a``: levels meet levels as counts of code pairs, values as sums by code."""
+        a[first:, first:] += dense.T @ dense
+        for l, own in enumerate(codes):
+            lo, hi = ends[l], ends[l + 1]
+            known = own >= 0
+            mine = own if known.all() else own[known]
+            for d in range(dense.shape[1]):
+                sums = np.bincount(mine - lo, dense[known, d] if len(mine) < len(own) else dense[:, d], hi - lo)
+                a[lo:hi, first + d] += sums
+                a[first + d, lo:hi] += sums
+            for m in range(l + 1):
+                other, width = codes[m], ends[m + 1] - ends[m]
+                both = known & (other >= 0)
+                pair = (own - lo) * width + other - ends[m]
+                counts = np.bincount(pair if both.all() else pair[both], minlength=(hi - lo) * width).reshape(hi - lo, width)
+                a[lo:hi, ends[m]:ends[m + 1]] += counts
+                if m < l:
+                    a[ends[m]:ends[m + 1], lo:hi] += counts.T
 
     def fn(batches):
         acc: dict[int, np.ndarray] = {}
         for pdf in batches:
-            for lo in range(0, len(pdf), CHUNK):
-                part = pdf.iloc[lo:lo + CHUNK]
-                z = np.hstack([design.matrix(part), np.ones((len(part), 1)), part[["y"]].to_numpy(dtype=float)])
-                for f in np.unique(part["fold"]):
-                    own = z[(part["fold"] == f).to_numpy()]
-                    acc.setdefault(int(f), np.zeros((p, p)))
-                    acc[int(f)] += own.T @ own
-        salt = TaskContext.get().partitionId() % SALTS
+            if not len(pdf):
+                continue
+            codes, fold = design.codes(pdf), pdf["fold"].to_numpy()
+            dense = np.hstack([design.values(pdf), np.ones((len(pdf), 1)), pdf[["y"]].to_numpy(dtype=float)])
+            for f in np.unique(fold):
+                own = fold == f
+                add(acc.setdefault(int(f), np.zeros((p, p))), [c[own] for c in codes], dense[own])
+        task = TaskContext.get().partitionId()
         for f, a in acc.items():
             for lo in range(0, p, BLOCK):
-                yield pd.DataFrame({"fold": [f], "blk": [lo // BLOCK], "salt": [salt], "v": [a[lo:lo + BLOCK].tobytes()]})
+                yield pd.DataFrame({"fold": [f], "blk": [lo // BLOCK], "part": [task], "v": [a[lo:lo + BLOCK].tobytes()]})
     return fn
 
 
 def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
     total = sum(np.frombuffer(v) for v in pdf["v"])
-    return pd.DataFrame({"fold": pdf["fold"].iloc[:1], "blk": pdf["blk"].iloc[:1], "salt": [0], "v": [total.tobytes()]})
+    return pd.DataFrame({"fold": pdf["fold"].iloc[:1], "blk": pdf["blk"].iloc[:1], "part": pdf["part"].iloc[:1], "v": [total.tobytes()]})
+
+
+def merged_blocks(part: DataFrame, tasks: int, merge, schema: str) -> DataFrame:
+    """Partial blocks (fold, blk, part, ..) merged by ``merge``, ``FAN_IN`` of a block in one place, until one is left of each."""
+    while tasks > 1:
+        tasks = -(-tasks // FAN_IN)
+        part = part.withColumn("part", F.pmod("part", F.lit(tasks)).cast("int")).groupBy("fold", "blk", "part").applyInPandas(merge, schema)
+    return part
 
 
 def fold_grams(rows: DataFrame, design: Design, k: int) -> dict[int, np.ndarray]:
     """{fold: cross products of (raw columns, 1, target)} from one pass."""
-    schema = "fold int, blk int, salt int, v binary"
-    # a task's result has width^2 numbers per fold: give it enough rows to be worth that (no effect on large inputs)
-    part = rows.coalesce(max(1, -(-rows.count() // ROWS_PER_TASK))).mapInPandas(_grams(design), schema)
-    part = part.groupBy("fold", "blk", "salt").applyInPandas(_merge, schema).groupBy("fold", "blk").applyInPandas(_merge, schema)
+    schema = "fold int, blk int, part int, v binary"
     p = design.width + 2
+    if p > MAX_WIDTH:
+        raise ValueError(f"{p} raw columns: cross products of at most {MAX_WIDTH} are held per fold")
+    # a task's result has width^2 numbers per fold: give it enough rows to be worth that (no effect on large inputs)
+    rows = rows.coalesce(max(1, -(-rows.count() // ROWS_PER_TASK)))
+    part = merged_blocks(rows.mapInPandas(_grams(design), schema), rows.rdd.getNumPartitions(), _merge, schema)
     out: dict[int, np.ndarray] = {f: np.zeros((p, p)) for f in range(k)}
     for r in part.collect():
         v = np.frombuffer(bytes(r["v"])).reshape(-1, p)
-        out[r["fold"]][r["blk"] * BLOCK:r["blk"] * BLOCK + len(v)] = v
+        out[r["fold"]][r["blk"] * BLOCK:r["blk"] * BLOCK + len(v)] += v
     return out
 
 
@@ -231,13 +276,18 @@ def centred_products(train: np.ndarray) -> np.ndarray:
 
 def _scores(design: Design, keys: list[tuple], w: np.ndarray, b: np.ndarray):
     fid = np.array([k[2] for k in keys])
+    first = design.width - 2 * len(design.numbers)
+    padded = np.vstack([w, np.zeros((1, w.shape[1]))])
 
     def fn(batches):
         acc = np.zeros((len(keys), 2, 3))
         for pdf in batches:
             for lo in range(0, len(pdf), CHUNK):
                 part = pdf.iloc[lo:lo + CHUNK]
-                e = part["y"].to_numpy(dtype=float)[:, None] - (design.matrix(part) @ w + b)
+                fitted = design.values(part) @ w[first:] + b
+                for c in design.codes(part):
+                    fitted += padded[c]             # an unknown level takes the row of zeros at the end
+                e = part["y"].to_numpy(dtype=float)[:, None] - fitted
                 val = part["fold"].to_numpy()[:, None] == fid[None, :]
                 for role, mask in ((0, ~val), (1, val)):
                     acc[:, role] += np.stack([mask.sum(axis=0), (e * e * mask).sum(axis=0), (np.abs(e) * mask).sum(axis=0)], axis=1)
