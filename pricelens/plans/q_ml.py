@@ -93,11 +93,23 @@ _holdout_query("md9_et_holdout", "et", n_estimators=20, min_samples_leaf=5, max_
 _holdout_query("md10_gbt_holdout", "hgb", n_estimators=20, learning_rate=0.1)
 _holdout_query("md11_lgbm_preset_holdout", "lgbm", n_estimators=20, learning_rate=0.1)
 _holdout_query("md12_xgb_preset_holdout", "xgb", n_estimators=15, learning_rate=0.1)
-_holdout_query("md16_stumps_holdout", "stumps", n_estimators=40, learning_rate=0.2)
+_holdout_query("md16_stumps_holdout", "stumps", n_estimators=2000, learning_rate=0.06)
 _holdout_query("fe15_log_target_ridge_holdout", "ridge", "ridge|levels|log", preprocessor="levels", target_transform="log",
                alpha=10.0)
 
 
+@query("md16_stumps_5fold")
+def q_md16_cv(spark, sf_dir):
+    """Boosted stumps, five folds, 250 to 2,000 rounds, all from one scan of the rows."""
+    from ..operators.additive_stumps import stumps_cv
+    d = assign_folds(device_frame(spark, sf_dir), "ID", 5, 42)
+    fe = FeatureEngineer.of().fit(d)
+    eng = fe.transform(d)
+    rep = Representation(kind="ordinal", featureColsJson=json.dumps(fe.feature_names())).fit(eng)      # codes: no target in them
+    cv_ = stumps_cv(rep.transform(eng).select("fold", "price", "features"), (250, 500, 1000, 2000), 0.06)
+    return rounded(cv_.groupBy("rounds", "role").agg(F.avg("rmse").alias("rmse"), F.stddev_samp("rmse").alias("rmse_std"), F.sum("n").alias("n")))
+
+
 def cat_style_frames(d):
     """Encoded dev rows (ordered statistics), encoded rows to score (statistics of all dev rows), names of the features: every
     engineered text column by its statistics and every engineered number by its value, missing ones below the smallest."""
@@ -289,7 +301,7 @@ EXPLAINED = 2000    # fixed value: the default sample of explained rows
 @query("sh4_stump_tree_attribution")
 def q_sh4(spark, sf_dir):
     """Attribution of boosted stumps from one step table per feature, for every row of the holdout."""
-    return _explained(spark, sf_dir, lambda: build_model("stumps", n_estimators=40, learning_rate=0.2), every=True)
+    return _explained(spark, sf_dir, lambda: build_model("stumps", n_estimators=2000, learning_rate=0.06), every=True)
 
 
 @query("sh4_tree_path_attribution")
