@@ -1,4 +1,4 @@
-"""Ridge cross-validation from one pass over the rows (MD4 at scale, MD20, CV1, CV7, CV8).
+"""Ridge, lasso and elastic net cross-validation from one pass over the rows (MD4-MD6 at scale, MD20, CV1, CV7, CV8).
 
 Every representation is a linear map of a few raw columns per feature: a 0/1
 column for each level (and one for "missing"), the value with missing as 0, and
@@ -11,7 +11,7 @@ Training statistics of fold f are total minus f. Imputation by the training
 median or mode, missing indicators, centring, scaling and level routing become
 a sparse matrix A per fold and representation (two entries a column); ridge on
 the represented columns is (A'CA + alpha I) w = A'c with the centred training
-Gram C. All folds, penalties,
+Gram C; lasso and elastic net run coordinate descent on the same A'CA and A'c. All folds, penalties,
 feature sets and interaction pairs are solved from the same scan, and one
 second scan scores them all.
 """
@@ -244,25 +244,78 @@ def representation(design: Design, train: np.ndarray, medians: dict[str, float],
     return cells[:, :2].astype(int), cells[:, 2:]
 
 
+def represented_products(centred: np.ndarray, rep: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Centred cross products of the represented columns, and theirs with the target."""
+    (i, j), (u, v) = rep[0].T, rep[1].T
+    half = centred[:, i] * u + centred[:, j] * v
+    return half[i] * u[:, None] + half[j] * v[:, None], half[-1]
+
+
+def on_raw_columns(w: np.ndarray, train: np.ndarray, rep: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, float]:
+    """(weights on the raw columns, intercept) of weights on the represented ones."""
+    one, y = len(train) - 2, len(train) - 1
+    (i, j), (u, v) = rep[0].T, rep[1].T
+    z = np.zeros(one)
+    np.add.at(z, i, w * u)
+    np.add.at(z, j, w * v)
+    return z, float(train[one, y] / train[one, one] - train[:one, one] / train[one, one] @ z)
+
+
+def coordinate_descent(x: np.ndarray, c: np.ndarray, n: float, l1: float, l2: float, w: np.ndarray, tolerance: float = 1e-12,
+                       most: int = 100_000) -> np.ndarray:
+    """min 1/(2n) ||y - Xw||^2 + l1 |w|_1 + l2/2 ||w||^2 from x = X'X and c = X'y, by covariance updates from ``w``.
+
+    Sweeps run over the columns in use until these settle, then over all of them; it ends when a sweep over all moves no
+    column by more than ``tolerance`` of the target's largest correlation.
+    """
+    w, diag = w.copy(), np.diag(x)
+    rest = c - x @ w                    # X'(y - Xw)
+    limit = tolerance * max(float(np.abs(c).max(initial=0)), np.finfo(float).tiny)
+    live = np.flatnonzero(diag > 0)
+
+    def sweep(columns) -> float:
+        moved = 0.0
+        for j in columns:
+            old = w[j]
+            r = rest[j] + diag[j] * old
+            new = np.sign(r) * max(abs(r) - n * l1, 0.0) / (diag[j] + n * l2)
+            if new != old:
+                rest[:] -= x[:, j] * (new - old)
+                w[j] = new
+                moved = max(moved, abs(new - old) * diag[j])
+        return moved
+
+    for _ in range(most):
+        if sweep(live) <= limit:
+            return w
+        for _ in range(most):
+            if sweep(np.flatnonzero(w)) <= limit:
+                break
+    raise RuntimeError(f"coordinate descent did not settle in {most} sweeps")
+
+
+def elastic_net_path(train: np.ndarray, centred: np.ndarray, rep: tuple[np.ndarray, np.ndarray], alphas: list[float],
+                     l1_ratio: float) -> list[tuple[np.ndarray, float]]:
+    """MD5 / MD6: (weights on the raw columns, intercept) per alpha, each started from the next larger alpha's weights."""
+    x, c = represented_products(centred, rep)
+    n, w, out = train[-2, -2], np.zeros(len(x)), {}
+    for alpha in sorted(set(alphas), reverse=True):
+        w = coordinate_descent(x, c, n, alpha * l1_ratio, alpha * (1 - l1_ratio), w)
+        out[alpha] = on_raw_columns(w, train, rep)
+    return [out[a] for a in alphas]
+
+
 def ridge_solve(train: np.ndarray, centred: np.ndarray, rep: tuple[np.ndarray, np.ndarray], alphas: list[float]) -> list[tuple[np.ndarray, float]]:
     """(weights on the raw columns, intercept) per alpha: min ||y - b - Xw||^2 + alpha ||w||^2, b free.
 
     ``centred``: centred training cross products of the raw columns and (last) the target.
     """
-    one, y = len(train) - 2, len(train) - 1
-    (i, j), (u, v) = rep[0].T, rep[1].T
-    half = centred[:, i] * u + centred[:, j] * v
-    x = half[i] * u[:, None] + half[j] * v[:, None]
-    c = half[one]
-    mz, my = train[:one, one] / train[one, one], train[one, y] / train[one, one]
+    x, c = represented_products(centred, rep)
     out = []
     for alpha in alphas:
         m = x + alpha * np.eye(len(x))
         w = np.linalg.lstsq(m, c, rcond=None)[0] if alpha == 0 else np.linalg.solve(m, c)
-        z = np.zeros(one)
-        np.add.at(z, i, w * u)
-        np.add.at(z, j, w * v)
-        out.append((z, float(my - mz @ z)))
+        out.append(on_raw_columns(w, train, rep))
     return out
 
 
@@ -298,8 +351,11 @@ def _scores(design: Design, keys: list[tuple], w: np.ndarray, b: np.ndarray):
 
 
 def ridge_scan(df: DataFrame, variants: dict[str, tuple[list[str], str]], alphas: list[float], k: int = 5, fold: str = "fold",
-               target: str = "price") -> DataFrame:
-    """(variant, alpha, fold, role, n, rmse, mae) of ridge for every variant (features, representation), alpha and fold."""
+               target: str = "price", l1_ratio: float | None = None) -> DataFrame:
+    """(variant, alpha, fold, role, n, rmse, mae) of ridge for every variant (features, representation), alpha and fold.
+
+    With ``l1_ratio`` the path of the elastic net instead (1: lasso), alpha on the scale of the mean squared error.
+    """
     cols = list(dict.fromkeys(c for feats, _ in variants.values() for c in feats))
     design, rows = prepare(df, cols, fold, target)
     grams = fold_grams(rows, design, k)
@@ -312,7 +368,8 @@ def ridge_scan(df: DataFrame, variants: dict[str, tuple[list[str], str]], alphas
         centred = centred_products(train)
         for name, (feats, kind) in variants.items():
             rep = representation(design, train, med, feats, kind)
-            for alpha, (v, b0) in zip(alphas, ridge_solve(train, centred, rep, alphas)):
+            fits = ridge_solve(train, centred, rep, alphas) if l1_ratio is None else elastic_net_path(train, centred, rep, alphas, l1_ratio)
+            for alpha, (v, b0) in zip(alphas, fits):
                 keys.append((name, alpha, f))
                 w.append(v)
                 b.append(b0)

@@ -83,6 +83,32 @@ def q_md3_one(spark, sf_dir):
     return rounded(cv.metrics(p, by=["split"]))
 
 
+def _one_feature_penalised_sql(alpha, l1_ratio):
+    """The closed form for one standardised column: the soft-thresholded covariance, shrunk by the squared penalty."""
+    from ..functions.portable import unit_sql
+    from .registry import sql_round
+    from .sqlgen import with_ctes
+    split = f"CASE WHEN {unit_sql(42, 'ID')} < 0.2::DOUBLE THEN 'holdout' ELSE 'dev' END"
+    l1, l2 = alpha * l1_ratio, alpha * (1 - l1_ratio)
+    fitted = "(my + w * (ram_gb - mx) / sx)"
+    return sql_round(with_ctes(
+        f"SELECT split, count(*) AS n, sqrt(avg((price - {fitted}) ^ 2)) AS rmse, avg(abs(price - {fitted})) AS mae FROM hs CROSS JOIN fit GROUP BY split",
+        f"hs AS (SELECT ID, price, ram_gb, {split} AS split FROM device)",
+        "st AS (SELECT avg(price) AS my, avg(ram_gb) AS mx, stddev_pop(ram_gb) AS sx, covar_pop(ram_gb, price) / stddev_pop(ram_gb) AS c FROM hs WHERE split = 'dev')",
+        f"fit AS (SELECT *, sign(c) * greatest(abs(c) - {l1}::DOUBLE, 0) / (1 + {l2}::DOUBLE) AS w FROM st)"), ["rmse", "mae"])
+
+
+def _one_feature_penalised(qname, family, alpha, **kw):
+    @query(qname, _one_feature_penalised_sql(alpha, kw.get("l1_ratio", 1.0)))
+    def run(spark, sf_dir):
+        d = dev_holdout(spark, sf_dir).select("ID", "ram_gb", "price", "split")
+        model = build_model(family, preprocessor="onehot", alpha=alpha, tol=1e-14, **kw).fit(d.filter(F.col("split") == "dev"))
+        p = predictions(model, d).select("split", F.col("price").alias("y"), F.col("prediction").alias("pred"))
+        return rounded(cv.metrics(p, by=["split"]))
+
+
+_one_feature_penalised("md5_lasso_one_feature", "lasso", 40.0)
+_one_feature_penalised("md6_elasticnet_one_feature", "elasticnet", 2.0, l1_ratio=0.5)
 _holdout_query("md4_ridge_onehot_holdout", "ridge", alpha=10.0)
 _holdout_query("md4_ridge_levels_plus_holdout", "ridge", "ridge|levels_plus", preprocessor="levels_plus", alpha=100.0)
 _holdout_query("md5_lasso_holdout", "lasso", alpha=1.0, max_iter=3000, tol=1e-3)
@@ -170,10 +196,10 @@ ALPHAS = [1.0, 10.0, 100.0, 300.0, 1000.0, 3000.0]
 REPRESENTATIONS = ("onehot", "levels", "levels_plus")
 
 
-def _ridge_summary(spark, sf_dir, kinds, alphas):
+def _ridge_summary(spark, sf_dir, kinds, alphas, l1_ratio=None):
     d = device_frame(spark, sf_dir)
     feats = features_of(d, FeatureConfig())
-    return ln.scan_summary(ln.ridge_scan(scan_frame(d), {kind: (feats, kind) for kind in kinds}, alphas))
+    return ln.scan_summary(ln.ridge_scan(scan_frame(d), {kind: (feats, kind) for kind in kinds}, alphas, l1_ratio=l1_ratio))
 
 
 @query("md20_ridge_alpha_scan")
@@ -182,6 +208,21 @@ def q_md20(spark, sf_dir):
     return rounded(_ridge_summary(spark, sf_dir, REPRESENTATIONS, ALPHAS).withColumnRenamed("variant", "preprocessing"))
 
 
+PATH = [0.03, 0.1, 0.3, 1.0, 3.0, 10.0]
+
+
+@query("md5_lasso_path_5fold")
+def q_md5_path(spark, sf_dir):
+    """lasso | onehot over six penalties, five folds, coordinate descent on the folds' cross products."""
+    return rounded(_ridge_summary(spark, sf_dir, ["onehot"], PATH, 1.0).drop("variant"))
+
+
+@query("md6_elasticnet_path_5fold")
+def q_md6_path(spark, sf_dir):
+    """Elastic net | onehot with half of the penalty on absolute weights, as md5_lasso_path_5fold."""
+    return rounded(_ridge_summary(spark, sf_dir, ["onehot"], PATH, 0.5).drop("variant"))
+
+
 @query("cv1_ridge_onehot_5fold")
 def q_cv1_onehot(spark, sf_dir):
     """ridge | onehot, alpha 10, 5 folds (CV1 summary)."""
