@@ -80,6 +80,12 @@ def load_model(path: str):
     return PipelineModel.load(path)
 
 
+def artefact_bytes(spark: SparkSession, path: str) -> int:
+    """IO6: size of everything written under ``path``, in the store that holds it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return int(place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength())
+
+
 def train_job(spark: SparkSession, sf_dir: str, cfg: dict, n_boot: int = 2000, boot_seed: int = 12345,
               out_dir: str | None = None, columns: list[str] | None = None) -> DataFrame:
     """MD22: returns the one-row run metadata (IO6) as a DataFrame; writes model + metadata.
@@ -103,6 +109,7 @@ def train_job(spark: SparkSession, sf_dir: str, cfg: dict, n_boot: int = 2000, b
         "config": cfg, "split_seed": 42, "n_dev": m["dev"]["n"], "n_holdout": m["holdout"]["n"],
         "train_rmse": round(m["dev"]["rmse"], 4), "train_mae": round(m["dev"]["mae"], 4),
         "holdout_rmse": round(m["holdout"]["rmse"], 4), "holdout_mae": round(m["holdout"]["mae"], 4),
+        "artefact_bytes": artefact_bytes(spark, f"{out}/artefact"),
         "overfitting_rule": {k: (round(v, 4) if isinstance(v, float) else v) for k, v in rule.asDict().items()},
     }
     spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "metadata string").coalesce(1) \
