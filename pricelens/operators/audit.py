@@ -12,6 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ranks import distinct_ranks
 from ..functions.selection import exact_quantiles, quantiles_by
 from ..session import written
 from ..functions.stats import adjusted_skew
@@ -51,67 +52,43 @@ def key_audit(df: DataFrame, key: str = "ID") -> DataFrame:
                   F.max(key).alias("key_max"), F.sum(miss).alias("missing_cells"))
 
 
-def average_ranks(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(col_name, value, rank): average rank of each distinct value per column (ties averaged)."""
-    lv = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(c).cast("double").alias("v"))
-                                       for c in cols])).alias("_p")).select("_p.*").filter(F.col("v").isNotNull())
-    counts = lv.groupBy("col_name", "v").agg(F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy("col_name").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("c").over(w), F.lit(0))
-    return counts.select("col_name", "v", (before + (F.col("c") + 1) / 2.0).alias("rank"))
-
-
-RANK_CHUNKS = 256
-
-
-def _rank_table(lv: DataFrame, value: str, out: str) -> DataFrame:
-    """(col_name, value, average rank) from per-value counts, without one window over a whole column.
-
-    Values are cut into <= RANK_CHUNKS contiguous chunks per column at
-    approximate-quantile boundaries (any boundaries keep the ranks exact);
-    chunk totals get an exclusive prefix (a window over <= RANK_CHUNKS rows
-    per column) and the running count runs inside (column, chunk) only, so a
-    continuous column is spread over many tasks.
-    """
-    counts = lv.groupBy("col_name", value).agg(F.count(F.lit(1)).alias("c"))
-    probs = [i / RANK_CHUNKS for i in range(1, RANK_CHUNKS)]
-    bounds = {r["col_name"]: sorted(set(r["b"] or [])) for r in
-              counts.groupBy("col_name").agg(F.percentile_approx(value, probs, 10000).alias("b")).collect()}
-    chunk = F.lit(0)
-    for c, bs in bounds.items():
-        arr = F.array(*[F.lit(float(b)) for b in bs]) if bs else F.array().cast("array<double>")
-        chunk = F.when(F.col("col_name") == c, F.size(F.filter(arr, lambda b: b < F.col(value)))).otherwise(chunk)
-    counts = counts.withColumn("_ch", chunk)
-    tot = counts.groupBy("col_name", "_ch").agg(F.sum("c").alias("_t"))
-    wc = Window.partitionBy("col_name").orderBy("_ch").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.select("col_name", "_ch", F.coalesce(F.sum("_t").over(wc), F.lit(0)).alias("_pre"))
-    wv = Window.partitionBy("col_name", "_ch").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    inner = counts.select("col_name", "_ch", value, "c", F.coalesce(F.sum("c").over(wv), F.lit(0)).alias("_in"))
-    j = inner.join(tot, ["col_name", "_ch"])
-    return j.select("col_name", value, (F.col("_pre") + F.col("_in") + (F.col("c") + 1) / 2.0).alias(out))
+def _centred(counts: DataFrame, value: str, out: str) -> DataFrame:
+    """``counts`` plus ``out``: the value's average rank less the mean rank of its column, which is (n + 1) / 2."""
+    total = counts.groupBy("col_name").agg(F.sum("c").alias("_n"))
+    ranked = distinct_ranks(counts, value).drop("place")
+    rank = F.col("below") + (F.col("c") + 1) / 2.0 - (F.col("_n") + 1) / 2.0
+    return ranked.join(F.broadcast(total), "col_name").withColumn(out, rank).drop("below", "_n")     # one row per column
 
 
 def spearman_with_target(df: DataFrame, cols: list[str], target: str = "price") -> DataFrame:
     """AU4: Spearman rho(x, target) per numeric column (pairwise-complete rows, average ranks on ties).
 
-    Ranks are computed on per-value count tables (windows over distinct values, not rows) of one narrow
-    written frame; the target is ranked once for all columns without missing values, and again only for
-    those that have some. Joins on ranks go by value, hot values are split at run time.
+    Each row gets its target's rank once; after that a column needs only, for each of its values, the number of its
+    rows and the sum of their target ranks, so x values are grouped, never joined. Only columns with missing values
+    rank the target again among their own rows.
     """
     narrow = written(df.select(F.col(target).cast("double").alias("_y"), *[F.col(c).cast("double").alias(c) for c in cols])
                      .filter(F.col("_y").isNotNull()), "au4")
     holes = narrow.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
-    lv = narrow.select("_y", F.explode(F.array(*[F.struct(F.lit(c).alias("col_name"), F.lit(bool(holes[c])).alias("own"),
-                                                          F.col(c).alias("v")) for c in cols])).alias("_p"))
-    lv = lv.select("_y", "_p.*").filter(F.col("v").isNotNull())
-    target_rows = narrow.select(F.lit("").alias("col_name"), "_y")
-    if any(holes[c] for c in cols):
-        target_rows = target_rows.union(lv.filter("own").select("col_name", "_y"))
-    ry = written(_rank_table(target_rows, "_y", "ry"), "au4-y").withColumnRenamed("col_name", "yc")
-    j = (lv.join(_rank_table(lv, "v", "rx"), ["col_name", "v"]).withColumn("yc", F.when(F.col("own"), F.col("col_name")).otherwise(""))
-         .join(ry, ["yc", "_y"]))
-    out = j.groupBy("col_name").agg(F.corr("rx", "ry").alias("rho"))
-    return out.withColumn("abs_rho", F.abs("rho"))
+    full, own = [c for c in cols if not holes[c]], [c for c in cols if holes[c]]
+    cells = lambda names: F.explode(F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(c).alias("v")) for c in names])).alias("p")
+    each = None
+    if full:
+        y = narrow.groupBy("_y").agg(F.count(F.lit(1)).alias("c")).withColumn("col_name", F.lit(""))
+        ry = written(_centred(y, "_y", "ry"), "au4-y").select("_y", "ry")
+        each = narrow.join(ry, "_y").select("ry", cells(full)).select("ry", "p.*")
+    if own:
+        some = narrow.select("_y", cells(own)).select("_y", "p.*").filter(F.col("v").isNotNull())
+        y = some.groupBy("col_name", "_y").agg(F.count(F.lit(1)).alias("c"))
+        ry = written(_centred(y, "_y", "ry"), "au4-own-y").select("col_name", "_y", "ry")
+        some = some.join(ry, ["col_name", "_y"]).select("ry", "col_name", "v")
+        each = some if each is None else each.unionByName(some)
+    x = each.groupBy("col_name", "v").agg(F.count(F.lit(1)).alias("c"), F.sum("ry").alias("s"), F.sum(F.col("ry") * F.col("ry")).alias("q"))
+    x = _centred(x, "v", "rx")
+    xy, xx, yy = F.sum(F.col("rx") * F.col("s")), F.sum(F.col("c") * F.col("rx") * F.col("rx")), F.sum("q")
+    out = x.groupBy("col_name").agg(xy.alias("xy"), xx.alias("xx"), yy.alias("yy"))
+    rho = F.when((F.col("xx") > 0) & (F.col("yy") > 0), F.col("xy") / F.sqrt(F.col("xx")) / F.sqrt(F.col("yy")))
+    return out.select("col_name", rho.alias("rho")).withColumn("abs_rho", F.abs("rho"))
 
 
 def describe(df: DataFrame, col: str, percentiles=(0.01, 0.25, 0.5, 0.75, 0.95, 0.99)) -> DataFrame:
@@ -181,5 +158,5 @@ def split_sanity(df: DataFrame, split: str = "split", target: str = "price") ->
 
 
 __all__ = ["column_profile", "duplicate_counts", "key_audit", "spearman_with_target", "describe", "histogram",
-           "variance_ratio", "conditional_variance_ratio", "crosstab", "box_stats", "split_sanity", "average_ranks",
+           "variance_ratio", "conditional_variance_ratio", "crosstab", "box_stats", "split_sanity",
            "math"]

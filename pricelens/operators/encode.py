@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ranks import distinct_ranks
 from ..functions.portable import hash_int
 
 # Labels and the level limit must equal those of the encodings reproduced here.
@@ -35,14 +36,12 @@ def long_values(df: DataFrame, cols: list[str], key: str | None = None) -> DataF
 # EN1 / EN7: sorted vocabulary -> index
 # ----------------------------------------------------------------------------
 def vocabulary(train: DataFrame, cols: list[str]) -> DataFrame:
-    """(column, value, idx): distinct non-null values per column, idx = rank in sorted order (0-based).
+    """(column, value, idx): distinct non-null values per column, idx = place in sorted order (0-based).
 
-    The window runs over the *distinct* table partitioned by column, so its
-    size is the vocabulary, not the data.
+    Distinct values are dealt over tasks by range, so a vocabulary of any size is ranked without one task for it.
     """
-    d = long_values(train, cols).filter(F.col("value").isNotNull()).distinct()
-    w = Window.partitionBy("col_name").orderBy("value")
-    return d.withColumn("idx", (F.row_number().over(w) - 1).cast("int"))
+    counts = long_values(train, cols).filter(F.col("value").isNotNull()).groupBy("col_name", "value").agg(F.count(F.lit(1)).alias("c"))
+    return distinct_ranks(counts).select("col_name", "value", F.col("place").cast("int").alias("idx"))
 
 
 def apply_ordinal(df: DataFrame, vocab: DataFrame, cols: list[str], unknown: int = -1, suffix: str = "") -> DataFrame:
