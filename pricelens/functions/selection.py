@@ -1,5 +1,6 @@
 """Exact order statistics without a global sort, a global window or a buffer of distinct values.
 
+0. The wanted columns are written once, so that no pass repeats the work behind them.
 1. One aggregation per call gives, for every column, the count, the range and an
    approximate bracket of each wanted quantile (``percentile_approx``, whose rank
    error is bounded by n / ACCURACY).
@@ -24,6 +25,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 BUCKETS = 4096
 ACCURACY = 10_000
 WIDE = 4096.0
@@ -69,7 +72,7 @@ def _refine(long: DataFrame, open_: dict) -> dict:
 
 def _ranks(df: DataFrame, cols: dict[str, Column], wanted) -> tuple[dict, dict]:
     """Values at 1-based ranks. ``wanted(n)`` gives the ranks for a column of n values; returns ({(col, rank): value}, {col: n})."""
-    src = df.select(*[F.when(~F.isnan(c.cast("double")), c.cast("double")).alias(f"_{i}") for i, c in enumerate(cols.values())])
+    src = written(df.select(*[F.when(~F.isnan(c.cast("double")), c.cast("double")).alias(f"_{i}") for i, c in enumerate(cols.values())]), "selection")
     first = src.agg(*[a for i in range(len(cols)) for a in (F.count(f"_{i}").alias(f"n{i}"), F.min(f"_{i}").alias(f"lo{i}"),
                                                             F.max(f"_{i}").alias(f"hi{i}"))]).first()
     names, size, open_ = list(cols), {}, {}
@@ -150,6 +153,7 @@ def quantiles_by(df: DataFrame, by: list[str], target: str, probs: list[float],
     """One row per group of ``by``: q0, q1, ... The groups' keys reach the driver (models, folds, levels of a
     column); groups are taken ``block`` at a time, each as a column of its own in shared passes."""
     spark, types = df.sparkSession, [df.schema[c] for c in by]
+    df = written(df.select(*by, F.col(target).cast("double").alias(target)), "selection-groups")
     groups = sorted(df.select(*by).distinct().collect(), key=repr)
     rows = []
     for at in range(0, len(groups), block):

@@ -158,5 +158,4 @@ def split_sanity(df: DataFrame, split: str = "split", target: str = "price") ->
 
 
 __all__ = ["column_profile", "duplicate_counts", "key_audit", "spearman_with_target", "describe", "histogram",
-           "variance_ratio", "conditional_variance_ratio", "crosstab", "box_stats", "split_sanity",
-           "math"]
+           "variance_ratio", "conditional_variance_ratio", "crosstab", "box_stats", "split_sanity"]
