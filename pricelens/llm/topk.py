@@ -20,12 +20,15 @@ query and task, which are merged per query.
 Defined cases: a vector that is null or holds a null or a non-finite component
 takes no part; shorter vectors count as padded with zeros; rows that share the
 query's id are its own; a repeated query row is asked once; fewer than k
-candidates give fewer rows; sums are exact at any magnitude (beyond 2^53 in
-Python integers), a score outside 64 bits stands at the limit.
+candidates give fewer rows; sums are exact at any magnitude (beyond 2^52 in
+Python integers), a score outside 64 bits stands at the limit, and so does a component
+whose multiple is beyond a double. Distances are in units of a power of two near the
+largest length, so they can't overflow.
 """
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..session import scratch_path
 from .common import written
 
 SCALE = 256
@@ -41,27 +45,29 @@ BLOCK = 2048
 RUN = 512
 CHUNK = 8192
 EXACT = float(1 << 52)
+LARGEST = float(np.finfo(np.float64).max)
 
 
 def _rows(col) -> list:
     """Integer-valued float64 vectors; None for those that take no part."""
     out = []
     for v in col.to_pylist():
-        x = None if v is None or any(c is None for c in v) else np.floor(SCALE * np.array(v, np.float64))
-        out.append(x if x is not None and np.isfinite(x).all() else None)
+        x = None if v is None or any(c is None for c in v) else np.array(v, np.float64)
+        with np.errstate(over="ignore"):        # a finite component whose multiple is beyond a double stands at its limit
+            out.append(np.clip(np.floor(SCALE * x), -LARGEST, LARGEST) if x is not None and np.isfinite(x).all() else None)
     return out
 
 
 def quantised(vectors: DataFrame) -> DataFrame:
-    """vec_id, v (whole numbers), n2 (squared length) of the vectors that take part."""
+    """vec_id, v (whole numbers), big (largest absolute component) of the vectors that take part."""
     def run(batches):
         for b in batches:
             rows = [(i, v) for i, v in zip(b.column(0).to_pylist(), _rows(b.column(1))) if i is not None and v is not None]
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()),
                                               pa.array([v for _, v in rows], pa.list_(pa.float64())),
-                                              pa.array([float(v @ v) for _, v in rows], pa.float64())], names=["vec_id", "v", "n2"])
+                                              pa.array([float(np.abs(v).max(initial=0)) for _, v in rows], pa.float64())], names=["vec_id", "v", "big"])
 
-    return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(run, "vec_id long, v array<double>, n2 double")
+    return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(run, "vec_id long, v array<double>, big double")
 
 
 def matrix(col, dim: int) -> np.ndarray:
@@ -72,33 +78,37 @@ def matrix(col, dim: int) -> np.ndarray:
     return x
 
 
-def products(x: np.ndarray, q: np.ndarray, top: float) -> np.ndarray:
-    """Exact inner products as integers (float64 sums are exact while |x||q| < 2^52)."""
-    if top < EXACT:
-        return (x @ q).astype(np.int64)
-    lim = (1 << 63) - 1
-    qi = [int(c) for c in q]
-    return np.array([max(-lim - 1, min(lim, sum(int(a) * b for a, b in zip(r, qi)))) for r in x], np.int64)
+def products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Exact inner products as integers: a row's float64 sums are exact while they stay below 2^52, others are summed as integers."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        large = ~(np.abs(x).max(axis=1, initial=0) * np.abs(q).sum() < EXACT)
+        out = np.where(large, 0, x @ q).astype(np.int64)
+    if large.any():
+        lim = (1 << 63) - 1
+        qi = [int(c) for c in q]
+        out[large] = [max(-lim - 1, min(lim, sum(int(a) * b for a, b in zip(r, qi)))) for r in x[large]]
+    return out
 
 
 def lifted_distance(inner: np.ndarray, n2x: np.ndarray, n2p: np.ndarray, top: float) -> np.ndarray:
-    """Distances to pivots after lifting both sides to length sqrt(top)."""
+    """Distances to pivots after lifting both sides to length sqrt(top); all in units in which no length is above 1."""
     lift = np.sqrt(np.maximum(top - n2x, 0))[:, None] * np.sqrt(np.maximum(top - n2p, 0))[None, :]
     return np.sqrt(np.maximum(2 * top - 2 * (inner + lift), 0))
 
 
-def pivot_table(rows: DataFrame, pivots: np.ndarray, top: float) -> DataFrame:
-    """``rows`` plus ``pd``: lifted distances to the pivots."""
-    dim, n2p = pivots.shape[1], (pivots ** 2).sum(axis=1)
+def pivot_table(rows: DataFrame, pivots: np.ndarray, unit: float, top: float) -> DataFrame:
+    """``rows`` plus ``pd``: lifted distances to the pivots, in ``unit``s."""
+    p = pivots / unit
+    dim, n2p = p.shape[1], (p ** 2).sum(axis=1)
 
     def run(batches):
         for b in batches:
-            x = matrix(b.column(1), dim)
-            d = lifted_distance(x @ pivots.T, b.column(2).to_numpy(), n2p, top).astype(np.float32)
-            flat = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * len(pivots), pa.array(d.ravel()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), flat], names=["vec_id", "v", "n2", "pd"])
+            x = matrix(b.column(1), dim) / unit
+            d = lifted_distance(x @ p.T, (x ** 2).sum(axis=1), n2p, top).astype(np.float32)
+            flat = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * len(p), pa.array(d.ravel()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), flat], names=["vec_id", "v", "big", "pd"])
 
-    return rows.mapInArrow(run, "vec_id long, v array<double>, n2 double, pd array<float>")
+    return rows.mapInArrow(run, "vec_id long, v array<double>, big double, pd array<float>")
 
 
 def best(score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,14 +116,15 @@ def best(score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.nda
     return score[keep], ids[keep]
 
 
-def search_block(index: DataFrame, qid: np.ndarray, q: np.ndarray, pivots: np.ndarray, pivot_ids: np.ndarray, top: float, k: int) -> DataFrame:
+def search_block(index: DataFrame, qid: np.ndarray, q: np.ndarray, pivots: np.ndarray, pivot_ids: np.ndarray, unit: float, top: float,
+                 k: int) -> DataFrame:
     """At most k rows per query and task: q (row number in the block), vec_id, score."""
-    n2p, n2q = (pivots ** 2).sum(axis=1), (q ** 2).sum(axis=1)
+    n2q = ((q / unit) ** 2).sum(axis=1)
     # a query isn't lifted the way table rows are: its extra coordinate is 0
-    dq = np.sqrt(np.maximum(n2q[:, None] + top - 2 * (q @ pivots.T), 0)).astype(np.float32)
+    dq = np.sqrt(np.maximum(n2q[:, None] + top - 2 * ((q / unit) @ (pivots / unit).T), 0)).astype(np.float32)
     first = []
     for i in range(len(q)):
-        s = products(pivots[pivot_ids != qid[i]], q[i], top)
+        s = products(pivots[pivot_ids != qid[i]], q[i])
         first.append(int(np.sort(s)[-k]) if len(s) >= k else None)
 
     def run(batches):
@@ -135,10 +146,10 @@ def search_block(index: DataFrame, qid: np.ndarray, q: np.ndarray, pivots: np.nd
                             kth = first[i] if kth is None else max(kth, first[i])
                         run_ = order[at:at + RUN]
                         if kth is not None:
-                            run_ = run_[bound[run_] >= kth]
+                            run_ = run_[bound[run_] >= float(kth) / unit / unit]
                             if not len(run_):
                                 break
-                        s, own = best(np.concatenate([s, products(x[run_], q[i], top)]), np.concatenate([own, ids[run_]]), k)
+                        s, own = best(np.concatenate([s, products(x[run_], q[i])]), np.concatenate([own, ids[run_]]), k)
                     found[i] = s, own
         n = [len(s) for s, _ in found]
         yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(len(qid)), n)), pa.array(np.concatenate([o for _, o in found])),
@@ -150,24 +161,31 @@ def search_block(index: DataFrame, qid: np.ndarray, q: np.ndarray, pivots: np.nd
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, pivots: int = PIVOTS, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of every query row against all rows (``is_query`` over vec_id)."""
     rows = written(quantised(vectors), "topk-vectors")
-    top, dim = rows.agg(F.max("n2"), F.max(F.size("v"))).first()
-    top, dim = float(top or 0.0), max(1, int(dim or 0))
+    big, dim = rows.agg(F.max("big"), F.max(F.size("v"))).first()
+    dim = max(1, int(dim or 0))
+    # a power of two near the largest length, so that squares of lengths can't overflow
+    unit = math.ldexp(1.0, min(1023, max(0, math.frexp(big or 1.0)[1] + math.ceil(math.log2(dim) / 2))))
+    length2 = F.aggregate("v", F.lit(0.0), lambda a, x: a + (x / F.lit(unit)) * (x / F.lit(unit)))
+    top = float(rows.agg(F.max(length2)).first()[0] or 0.0)
     picked = rows.orderBy(F.xxhash64("vec_id", F.lit(3)), "vec_id", "v").limit(pivots).collect()
     pivot_ids, p = np.array([r["vec_id"] for r in picked], np.int64), matrix([r["v"] for r in picked], dim)
-    index = written(pivot_table(rows, p, top) if picked else rows.withColumn("pd", F.array().cast("array<float>")), "topk-index")
+    index = written(pivot_table(rows, p, unit, top) if picked else rows.withColumn("pd", F.array().cast("array<float>")), "topk-index")
     asked = rows.filter(is_query).select("vec_id", "v").distinct()
-    blocks = max(1, math.ceil(asked.count() / block)) if picked else 0
-    out = None
-    for i in range(blocks):
+    blocks, asked_any = max(1, math.ceil(asked.count() / block)) if picked else 0, False
+    found = scratch_path(vectors.sparkSession, f"topk-found-{uuid.uuid4().hex}")
+    schema = "query_id long, block int, q long, vec_id long, score long"
+    for i in range(blocks):     # the driver holds one block of queries at a time; its answers go to the shared folder
         mine = sorted(asked.filter(F.pmod(F.xxhash64("vec_id", F.lit(4)), F.lit(blocks)) == i).collect(), key=lambda r: (r["vec_id"], r["v"]))
         if not mine:
             continue
         qid, q = np.array([r["vec_id"] for r in mine], np.int64), matrix([r["v"] for r in mine], dim)
         names = F.array(*[F.lit(int(x)).cast("long") for x in qid])
-        got = (search_block(index, qid, q, p, pivot_ids, top, k).withColumn("block", F.lit(i))
-               .withColumn("query_id", F.get(names, F.col("q").cast("int"))))
-        out = got if out is None else out.union(got)
-    if out is None:
+        got = search_block(index, qid, q, p, pivot_ids, unit, top, k).select(
+            F.get(names, F.col("q").cast("int")).alias("query_id"), F.lit(i).alias("block"), "q", "vec_id", "score")
+        got.write.mode("append").parquet(found)
+        asked_any = True
+    if not asked_any:
         return rows.limit(0).select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0).cast("long").alias("score"))
+    out = vectors.sparkSession.read.schema(schema).parquet(found)
     rank = F.row_number().over(W.partitionBy("block", "q").orderBy(F.desc("score"), "vec_id"))
     return out.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

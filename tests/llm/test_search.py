@@ -124,6 +124,21 @@ def test_topk_large_numbers_few_rows_and_none(spark):
     assert tk.top_k(spark.createDataFrame([(50, [1.0])], VEC), F.col("vec_id") % 50 == 0).count() == 0
 
 
+@pytest.mark.parametrize("huge", [1e37, 1e300])
+def test_topk_loses_nothing_beside_a_huge_component(spark, huge):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(300)] + [(301, [huge, 0.0, 1.0, 0.0, 0.0, 0.0])]
+    got = {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in tk.top_k(spark.createDataFrame(rows, VEC), F.col("vec_id") % 50 == 0, 5).collect()}
+    clip = lambda s: max(-(1 << 63), min((1 << 63) - 1, s))
+    assert got == {(q, n, v, clip(s)) for q, n, v, s in brute_topk(rows, 50, 5)} and len(got) == 30
+
+
+def test_topk_components_beyond_a_double_when_scaled_take_part(spark):
+    rows = [(50, [1.0, 1.0]), (1, [1.5e308, 1.0]), (2, [3.0, 1.0]), (3, [-1.5e308, 1.0])]
+    got = {r["rank"]: (r["vec_id"], r["score"]) for r in tk.top_k(spark.createDataFrame(rows, VEC), F.col("vec_id") % 50 == 0, 5).collect()}
+    assert got == {1: (1, (1 << 63) - 1), 2: (2, 256 * 256 * 4), 3: (3, -(1 << 63))}
+
+
 def test_bounds_prune_without_loss():
     rng = np.random.default_rng(0)
     x = np.floor(256 * rng.normal(size=(400, 8)))
