@@ -47,7 +47,7 @@ CAPACITY = 1024
 GROUP = 4096
 MIN_PIECE = 16
 END_ID = 0
-TEXT_BYTES = 8 << 20    # texts encoded together (at least one)
+TEXT_BYTES = 2 << 20    # texts encoded together (at least one)
 TABLE = 1 << 20         # runs kept with their ids in a worker; beyond it the table starts anew
 _U32 = np.dtype("<u4")
 #: White space by any Unicode version, for RE2 and for Python.
