@@ -15,6 +15,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
 from .group_models import cv_score_view, fit_closed_form_cv
 from .split import assign_folds
 
@@ -67,6 +68,23 @@ def cv_predictions_closed(df: DataFrame, spec: dict, key: str = "ID", target: st
                          *(carry or []))
 
 
+def cv_predictions_members(df: DataFrame, specs: dict[str, dict], weights: dict[str, float], key: str = "ID", target: str = "price", k: int = 5,
+                           seed: int = 42, repeats: int = 1, roles=("train", "val")) -> DataFrame:
+    """Long prediction table (model, key, repeat, fold, role, y, pred) of several closed-form models and of their ``blend`` by
+    fixed weights. Rows are folded and scored once, member after member on the same row, so the blend joins nothing."""
+    levels = sorted({c for spec in specs.values() for c in [spec.get("level"), *spec.get("levels", [])] if c})
+    folded = assign_folds(df.select(key, target, *levels), key, k, seed, repeats)
+    rows = cv_score_view(folded, k, roles)
+    for name, spec in specs.items():
+        kept = list(rows.columns)
+        rows = fit_closed_form_cv(spec, folded, k, target).predict(rows, f"_p_{name}").select(*kept, f"_p_{name}")
+    blend = sum((F.lit(float(w)) * F.col(f"_p_{n}") for n, w in weights.items()), F.lit(0.0))
+    cells = [F.struct(F.lit(n).alias("model"), F.col(f"_p_{n}").alias("pred")) for n in specs]
+    each = F.explode(F.array(*cells, F.struct(F.lit("blend").alias("model"), blend.alias("pred")))).alias("_m")
+    return rows.select(key, "repeat", F.col("f").alias("fold"), "role", F.col(target).alias("y"), each).select(
+        "_m.model", key, "repeat", "fold", "role", "y", "_m.pred")
+
+
 def cv_predictions_estimator(df: DataFrame, make_estimator: Callable[[], object], key: str = "ID",
                              target: str = "price", k: int = 5, seed: int = 42, repeats: int = 1,
                              prediction_col: str = "prediction", threads: int = 4,
@@ -161,13 +179,25 @@ def paired_difference(cand: DataFrame, ref: DataFrame, label: str = "candidate")
             .select(F.lit(label).alias("candidate"), "*"))
 
 
+def fold_table(preds_by_seed: DataFrame) -> DataFrame:
+    """CV6: metrics per model, seed, repeat, fold and role; as small as that, written once for all summaries."""
+    return written(metrics(preds_by_seed, by=["model", "seed", "repeat", "fold", "role"]), "cv6")
+
+
+def seed_table(preds_by_seed: DataFrame, seeds: list[int]) -> DataFrame:
+    """CV6: one row per model, its mean validation RMSE under each seed as ``seed_<seed>``."""
+    v = fold_table(preds_by_seed).filter(F.col("role") == "val")
+    wide = v.groupBy("model").pivot("seed", seeds).agg(F.avg("rmse"))
+    return wide.select("model", *[F.col(str(s)).alias(f"seed_{s}") for s in seeds])
+
+
 def robustness_summary(preds_by_seed: DataFrame) -> DataFrame:
     """CV6: per model over seeds x folds (input: prediction tables with ``model`` and ``seed``).
 
     mean_rmse, sd_across_folds, sd_across_seed_means, worst/best seed mean,
     mean_train_rmse, mean_gap, mean_val_mae.
     """
-    fm = metrics(preds_by_seed, by=["model", "seed", "repeat", "fold", "role"])
+    fm = fold_table(preds_by_seed)
     v = fm.filter(F.col("role") == "val")
     t = fm.filter(F.col("role") == "train")
     per_seed = v.groupBy("model", "seed").agg(F.avg("rmse").alias("seed_mean"))

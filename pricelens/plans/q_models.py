@@ -105,16 +105,27 @@ def q_cv4(spark, sf_dir):
 SEEDS = (42, 7, 2024)
 
 
-def _robust_sql():
+#: The blend's weights.
+BLEND = {"ridge1": 0.3717, "mean": 0.6283}
+
+
+def _seed_ctes():
     ctes, unions = [], []
     for s in SEEDS:
         for name, spec in (("ridge1", RIDGE1), ("mean", MEAN)):
             p = f"{name}_{s}_"
             ctes.append(closed_form_preds_ctes(spec, seed=s, prefix=p))
-            unions.append(f"SELECT '{name}' AS model, {s} AS seed, * FROM {p}preds")
-    allp = " UNION ALL ".join(unions)
+            unions.append(f"SELECT '{name}' AS model, {s} AS seed, ID, repeat, fold, role, y, pred FROM {p}preds")
+    blend = " + ".join(f"{w}::DOUBLE * max(pred) FILTER (model = '{n}')" for n, w in BLEND.items())
+    members = " UNION ALL ".join(unions)
+    allp = ("SELECT * FROM members UNION ALL "
+            f"SELECT 'blend' AS model, seed, ID, repeat, fold, role, max(y) AS y, {blend} AS pred FROM members GROUP BY seed, ID, repeat, fold, role")
     fm = ("SELECT model, seed, repeat, fold, role, sqrt(avg((y - pred) * (y - pred))) AS rmse, avg(abs(y - pred)) AS mae "
           f"FROM ({allp}) GROUP BY ALL")
+    return [*ctes, f"members AS ({members})", f"fm AS ({fm})"]
+
+
+def _robust_sql():
     body = (
         f"SELECT a.model, mean_rmse, sd_across_folds, mean_val_mae, sd_across_seed_means, worst_seed, best_seed, "
         "mean_train_rmse, mean_rmse - mean_train_rmse AS mean_gap FROM "
@@ -122,23 +133,31 @@ def _robust_sql():
         "JOIN (SELECT model, stddev_samp(sm) sd_across_seed_means, max(sm) worst_seed, min(sm) best_seed FROM "
         "(SELECT model, seed, avg(rmse) sm FROM fm WHERE role = 'val' GROUP BY model, seed) GROUP BY model) b ON a.model = b.model "
         "JOIN (SELECT model, avg(rmse) mean_train_rmse FROM fm WHERE role = 'train' GROUP BY model) c ON a.model = c.model")
-    return sql_round(with_ctes(body, *ctes, f"fm AS ({fm})"),
+    return sql_round(with_ctes(body, *_seed_ctes()),
                      ["mean_rmse", "sd_across_folds", "mean_val_mae", "sd_across_seed_means", "worst_seed", "best_seed",
                       "mean_train_rmse", "mean_gap"])
 
 
+def _by_seed(spark, sf_dir):
+    dev, out = device_frame(spark, sf_dir), None
+    for s in SEEDS:
+        p = cv.cv_predictions_members(dev, {"ridge1": RIDGE1, "mean": MEAN}, BLEND, seed=s).withColumn("seed", F.lit(s))
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
 @query("cv6_robustness_summary", _robust_sql())
 def q_cv6(spark, sf_dir):
-    dev = device_frame(spark, sf_dir)
-    parts = []
-    for s in SEEDS:
-        for name, spec in (("ridge1", RIDGE1), ("mean", MEAN)):
-            p = cv.cv_predictions_closed(dev, spec, seed=s)
-            parts.append(p.select(F.lit(name).alias("model"), F.lit(s).alias("seed"), *p.columns))
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    return rounded(cv.robustness_summary(allp))
+    """Two members and their blend over three seeds and five folds."""
+    return rounded(cv.robustness_summary(_by_seed(spark, sf_dir)))
+
+
+@query("cv6_seed_table", sql_round(with_ctes(
+    "SELECT model, " + ", ".join(f"avg(rmse) FILTER (seed = {s}) AS seed_{s}" for s in SEEDS) + " FROM fm WHERE role = 'val' GROUP BY model",
+    *_seed_ctes()), [f"seed_{s}" for s in SEEDS]))
+def q_cv6_seeds(spark, sf_dir):
+    """Mean validation error of the members and their blend under each seed."""
+    return rounded(cv.seed_table(_by_seed(spark, sf_dir), list(SEEDS)))
 
 
 # ME1-ME3 on the holdout: model fitted on dev only, scored on both splits

@@ -145,15 +145,24 @@ def _leaderboard_sql():
                      f"'cv closed form' AS notes FROM ({rows})", *ctes)
 
 
-@query("io10_io11_leaderboard", _leaderboard_sql())
-def q_io10(spark, sf_dir):
+def _tracked(spark, sf_dir):
     dev = device_frame(spark, sf_dir)
     tracker = io.ExperimentTracker(spark, scratch_path(spark, f"io10/{uuid.uuid4().hex[:8]}/results"))
     for name, spec in _logged():
         summary, secs = cv.timed(lambda sp=spec, nm=name: written(cv.cv_summary(cv.cv_predictions_closed(dev, sp), nm), "summary"))
         tracker.append(summary, model=name, features={"levels": spec.get("levels", spec.get("level"))}, preprocessing="closed_form",
                        hyperparameters=spec, seed=42, validation_strategy="5-fold hash", fit_seconds=round(secs, 2), notes="cv closed form")
-    return tracker.leaderboard(15)
+    return tracker
+
+
+def logged_experiments(spark, sf_dir):
+    """The log of four cross-validated models."""
+    return _tracked(spark, sf_dir).load()
+
+
+@query("io10_io11_leaderboard", _leaderboard_sql())
+def q_io10(spark, sf_dir):
+    return _tracked(spark, sf_dir).leaderboard(15)
 
 
 def _streamed(spark, d, model):
