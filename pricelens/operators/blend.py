@@ -52,27 +52,49 @@ def gram(wide: DataFrame, members: list[str]) -> tuple[np.ndarray, np.ndarray, f
     return G, b, float(r["yy"]), int(r["n"])
 
 
-def nnls_gram(G: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact NNLS min ||y - Xw||^2, w >= 0, from the Gram matrix by active-set enumeration (k <= 12)."""
-    k = len(b)
-    if k > 12:
-        raise ValueError(f"{k} members: the enumeration of active sets is meant for at most 12")
-    best, best_obj = np.zeros(k), 0.0
-    for size in range(1, k + 1):
-        for subset in itertools.combinations(range(k), size):
-            idx = list(subset)
-            try:
-                ws = np.linalg.solve(G[np.ix_(idx, idx)], b[idx])
-            except np.linalg.LinAlgError:
-                ws = np.linalg.lstsq(G[np.ix_(idx, idx)], b[idx], rcond=None)[0]
-            if np.any(ws < 0):
-                continue
-            w = np.zeros(k)
-            w[idx] = ws
-            obj = float(w @ G @ w - 2 * w @ b)
-            if obj < best_obj - 1e-12:
-                best, best_obj = w, obj
-    return best
+def _solved(G: np.ndarray, b: np.ndarray, idx: list[int]) -> np.ndarray:
+    try:
+        return np.linalg.solve(G[np.ix_(idx, idx)], b[idx])
+    except np.linalg.LinAlgError:
+        return np.linalg.lstsq(G[np.ix_(idx, idx)], b[idx], rcond=None)[0]
+
+
+def nnls_gram(G: np.ndarray, b: np.ndarray, start: list[int] = ()) -> np.ndarray:
+    """Exact NNLS min ||y - Xw||^2, w >= 0, from the Gram matrix by growing and shrinking a set of members in use, for any
+    number of members. ``start``: a set to begin with, for instance that of a similar problem."""
+    k, w = len(b), np.zeros(len(b))
+    used = list(start)
+    while used and (ws := _solved(G, b, used)).min() <= 0:      # a feasible point to start from
+        used = [i for i, v in zip(used, ws) if v > 0]
+    if used:
+        w[used] = ws
+    limit = 1e-12 * float(np.abs(b).max(initial=0))
+    refused: set[int] = set()
+    for _ in range(100 * (k + 1)):
+        gain = b - G @ w
+        gain[[*used, *refused]] = -np.inf
+        j = int(gain.argmax()) if k else 0
+        if not k or gain[j] <= limit:
+            return w
+        trial, own = [*used, j], w.copy()
+        while trial:
+            ws = _solved(G, b, trial)
+            if ws.min() > 0:
+                break
+            # as far towards the solution as all weights stay at or above zero; those that reach it leave
+            now = own[trial]
+            share = min(o / (o - v) if o > v else 0.0 for o, v in zip(now, ws) if v <= 0)
+            own[trial] = now + share * (ws - now)
+            left = [i for i, v in zip(trial, ws) if own[i] <= 1e-15 * max(1.0, np.abs(own).max()) and v <= 0]
+            own[left] = 0.0
+            trial = [i for i in trial if i not in left]
+        if j not in trial:      # rounding: it would leave at once
+            refused.add(j)
+            continue
+        refused.clear()
+        used, w = trial, np.zeros(k)
+        w[used] = ws
+    raise RuntimeError("the sets in use did not settle")
 
 
 def normalise(w: np.ndarray) -> np.ndarray:
@@ -107,12 +129,14 @@ def subset_search(wide: DataFrame, members: list[str]) -> DataFrame:
     G, b, yy, n = gram(wide, members)
     singles = {m: float(np.sqrt(max(yy - 2 * b[i] + G[i, i], 0.0) / n)) for i, m in enumerate(members)}
     best_single = min(singles.values())
-    rows = []
+    rows, active = [], {}       # members in use per subset: the start for the subsets with one more
     for size in range(2, len(members) + 1):
         for subset in itertools.combinations(range(len(members)), size):
             idx = list(subset)
             Gs, bs = G[np.ix_(idx, idx)], b[idx]
-            for combiner, w in (("average", np.full(size, 1.0 / size)), ("nnls", normalise(nnls_gram(Gs, bs)))):
+            fitted = nnls_gram(Gs, bs, [idx.index(i) for i in active.get(subset[:-1], ())])
+            active[subset] = tuple(i for i, v in zip(idx, fitted) if v > 0)
+            for combiner, w in (("average", np.full(size, 1.0 / size)), ("nnls", normalise(fitted))):
                 sse = yy - 2 * w @ bs + w @ Gs @ w
                 r = float(np.sqrt(max(sse, 0.0) / n))
                 rows.append((combiner, "+".join(members[i] for i in idx), r, float(best_single - r)))

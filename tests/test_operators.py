@@ -173,6 +173,44 @@ def test_stacking_loo_matches_brute_force(spark):
     assert out[0]["loo_rmse"] == pytest.approx(float(np.sqrt(np.mean(np.square(errs)))), rel=1e-8)
 
 
+def _every_set(G, b):
+    """NNLS by trying every set of members."""
+    import itertools
+    best, value = np.zeros(len(b)), 0.0
+    for size in range(1, len(b) + 1):
+        for idx in map(list, itertools.combinations(range(len(b)), size)):
+            ws = np.linalg.solve(G[np.ix_(idx, idx)], b[idx])
+            w = np.zeros(len(b))
+            w[idx] = ws
+            if ws.min() >= 0 and w @ G @ w - 2 * w @ b < value - 1e-12:
+                best, value = w, w @ G @ w - 2 * w @ b
+    return best
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_nnls_equals_every_set_and_starts_anywhere(seed):
+    rng = np.random.default_rng(seed)
+    k = 2 + seed % 7
+    truth = rng.normal(size=300) * 10
+    X = truth[:, None] + rng.normal(size=(300, k)) * rng.uniform(0.1, 6, k)      # members close to each other
+    G, b = X.T @ X, X.T @ (truth + rng.normal(size=300) * (1 if seed % 3 else -40))
+    want = _every_set(G, b)
+    for start in ([], [0], list(range(k))):
+        np.testing.assert_allclose(bl.nnls_gram(G, b, start), want, atol=1e-9)
+
+
+def test_nnls_of_forty_members_is_optimal():
+    rng = np.random.default_rng(1)
+    X = rng.normal(size=(500, 40))
+    X[:, 7] = X[:, 3]
+    y = X[:, :6].sum(axis=1) - X[:, 10:14].sum(axis=1) + rng.normal(size=500)
+    G, b = X.T @ X, X.T @ y
+    w = bl.nnls_gram(G, b)
+    slope = b - G @ w
+    assert w.min() >= 0 and slope.max() < 1e-8 * np.abs(b).max() and np.abs(slope[w > 0]).max() < 1e-8 * np.abs(b).max()
+    assert bl.nnls_gram(np.zeros((0, 0)), np.zeros(0)).size == 0 and bl.nnls_gram(np.eye(2), np.array([-1.0, -2.0])).tolist() == [0.0, 0.0]
+
+
 def test_weighted_blend_is_linear(spark):
     wide = spark.createDataFrame([(float(i), float(i) * 2, float(i) + 1) for i in range(10)], "a double, b double, y double")
     r = bl.blended(wide, ["a", "b"], [0.25, 0.75]).select("pred").collect()
