@@ -201,6 +201,26 @@ _fe_query("fe_default_families", fe.FeatureConfig())
 _fe_query("fe_all_families", fe.ALL_ON)
 _fe_query("fe_structural_only", fe.FeatureConfig(model_decomp=False, cpu_decomp=False, resolution=False))
 
+def _varied(d):
+    """Stand-in input: processor names of four makes, with and without numbers, and memory sizes on either side of the limit."""
+    make, n = F.col("cpu_cores") % 4, F.col("cpu_threads").cast("int")
+    cpu = (F.when(make == 1, F.concat(F.lit("Apple M1 "), F.when(n % 3 == 0, "Max").otherwise("Pro"))).when(make == 2, F.lit("Apple M2"))
+           .when(make == 3, F.concat(F.lit("Core i7-"), (n * 137 + 10000).cast("string"))).otherwise(F.concat(F.lit("Ryzen 7 "), (n * 100 + 3000).cast("string"))))
+    return d.withColumns({"cpu_model": cpu, "ram_gb": F.col("ram_gb") * 4.0})
+
+
+_VARIED_SQL = ("varied AS (SELECT * REPLACE (CASE cpu_cores % 4 WHEN 1 THEN 'Apple M1 ' || (CASE WHEN cpu_threads % 3 = 0 THEN 'Max' ELSE 'Pro' END) "
+               "WHEN 2 THEN 'Apple M2' WHEN 3 THEN 'Core i7-' || CAST(CAST(cpu_threads AS INTEGER) * 137 + 10000 AS VARCHAR) "
+               "ELSE 'Ryzen 7 ' || CAST(CAST(cpu_threads AS INTEGER) * 100 + 3000 AS VARCHAR) END AS cpu_model, ram_gb * 4.0::DOUBLE AS ram_gb) FROM device)")
+_VARIED_SEL, _VARIED_DBLS = engineer_sql(fe.ALL_ON)
+
+
+@query("fe_every_rule", sql_round(with_ctes(_VARIED_SEL.replace("FROM device", "FROM varied"), _VARIED_SQL), _VARIED_DBLS))
+def q_fe_every(spark, sf_dir):
+    """All families on processor names and memory sizes for which every rule gives more than one value."""
+    return rounded(fe.engineer(_varied(device_frame(spark, sf_dir)), fe.ALL_ON))
+
+
 PAIRS = [("brand", "device_type"), ("device_type", "gpu_model"), ("os", "cpu_tier")]
 
 
