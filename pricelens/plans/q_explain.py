@@ -20,6 +20,7 @@ from .sqlgen import with_ctes
 LEVELS = ["gpu_model", "device_type"]
 LAM, SWEEPS = 5.0, 3
 ALPHA_B = 10.0
+# The blend's weights and the default number of explained rows.
 W_A, W_B = 0.6283, 0.3717
 N_SAMPLE = 2000
 
@@ -114,8 +115,7 @@ def q_sh1(spark, sf_dir):
     "USING (device_type))) AS shap FROM ctr c", *FIT), ["shap"]))
 def q_sh2(spark, sf_dir):
     sample, _, b = setup(spark, sf_dir)
-    enc = sh.encoded_attribution(b, sample, "device_type")
-    return rounded(sh.aggregate_by_feature(enc))
+    return rounded(sh.aggregate_sparse(*sh.sparse_attribution(b, sample, "device_type"), sample))
 
 
 # ---------------------------------------------------------------------------- SH3

@@ -301,6 +301,10 @@ def test_attribution_additivity_and_sum_preservation(spark, device_small):
     r = fit_one_factor_ridge(d, ["m"], "price", "device_type", 10.0)
     enc = sh.encoded_attribution(r, sample, "device_type")
     agg = sh.aggregate_by_feature(enc)
+    own, rest = sh.sparse_attribution(r, sample, "device_type")
+    assert own.count() <= 120 and rest.count() == r.effects["device_type"].select("device_type").distinct().count()
+    sparse = {x["ID"]: x["shap"] for x in sh.aggregate_sparse(own, rest, sample).collect()}
+    assert sparse == pytest.approx({x["ID"]: x["shap"] for x in agg.collect()}, abs=1e-9)
     l2, _ = sh.additive_attribution(r, sample)
     j = agg.join(l2.select("ID", "feature", F.col("shap").alias("s2")), ["ID", "feature"])
     assert j.count() == 120 and j.agg(F.max(F.abs(F.col("shap") - F.col("s2")))).first()[0] < 1e-9
