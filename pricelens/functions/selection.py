@@ -149,26 +149,51 @@ def grouped_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dic
     return out
 
 
-def quantiles_by(df: DataFrame, by: list[str], target: str, probs: list[float], block: int = 32) -> DataFrame:
-    """One row per group of ``by``: q0, q1, ... The groups' keys reach the driver (models, folds, levels of a
-    column); groups are taken ``block`` at a time, each as a column of its own in shared passes."""
-    spark, types = df.sparkSession, [df.schema[c] for c in by]
-    df = written(df.select(*by, F.col(target).cast("double").alias(target)), "selection-groups")
-    groups = sorted(df.select(*by).distinct().collect(), key=repr)
-    rows = []
-    for at in range(0, len(groups), block):
-        part = groups[at:at + block]
-        same = [[F.col(c).eqNullSafe(F.lit(g[c])) for c in by] for g in part]
-        cols = []
-        for i, conds in enumerate(same):
-            cond = conds[0]
-            for c in conds[1:]:
-                cond = cond & c
-            cols.append(F.when(cond, F.col(target).cast("double")).alias(f"g{i}"))
-        got = grouped_quantiles(df.select(*cols), [f"g{i}" for i in range(len(part))], probs)
-        rows += [(*[g[c] for c in by], *got[f"g{i}"]) for i, g in enumerate(part)]
-    from pyspark.sql import types as T
-    return spark.createDataFrame(rows, T.StructType(types + [T.StructField(f"q{j}", T.DoubleType()) for j in range(len(probs))]))
+def quantiles_by(df: DataFrame, by: list[str], target: str, probs: list[float]) -> DataFrame:
+    """One row per group of ``by``: q0, q1, ..., for any number of groups in the same passes; no key reaches the driver.
+
+    A bracket per group and probability comes from one aggregation (``percentile_approx`` in groups of more than
+    ``ACCURACY`` values, the whole range in smaller ones); a second pass counts the values below each bracket and keeps those
+    inside, about 8 n / ACCURACY of a large group, whose distinct values are then ranked.
+    """
+    x = F.col(target).cast("double")
+    rows = written(df.select(*by, F.when(~F.isnan(x), x).alias("_x")), "selection-groups")
+    edge = 4.0 / ACCURACY
+    grid = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-edge, edge)})
+    stats = rows.groupBy(*by).agg(F.count("_x").alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max"),
+                                  F.percentile_approx("_x", grid, ACCURACY).alias("_q"))
+    brackets = []
+    for j, p in enumerate(probs):
+        low, high = (F.col("_q")[grid.index(min(1.0, max(0.0, p + d)))] for d in (-edge, edge))
+        small = F.col("_n") <= ACCURACY
+        pos = F.lit(p) * (F.col("_n") - 1)
+        brackets.append(F.struct(F.lit(j).alias("j"), F.when(small | F.lit(p <= edge), F.col("_min")).otherwise(low).alias("lo"),
+                                 F.when(small | F.lit(p >= 1 - edge), F.col("_max")).otherwise(high).alias("hi"),
+                                 (F.floor(pos) + 1).alias("k1"), (F.ceil(pos) + 1).alias("k2"), (pos - F.floor(pos)).alias("part")))
+    keys = [F.col(c).alias(f"_g{i}") for i, c in enumerate(by)]
+    names = [f"_g{i}" for i in range(len(by))]
+    stats = written(stats.select(*keys, "_n", F.array(*brackets).alias("_b")), "selection-brackets")
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(by, names)]
+    cond = same[0]
+    for c in same[1:]:
+        cond = cond & c
+    # per value: whether it lies below a bracket (only counted) or inside (kept); values above go before the shuffle
+    each = rows.filter("_x IS NOT NULL").join(stats.select(*names, "_b"), cond).select(*names, "_x", F.explode("_b").alias("b")).filter(F.col("_x") <= F.col("b.hi"))
+    cell = F.when(F.col("_x") >= F.col("b.lo"), F.col("_x"))
+    counts = each.groupBy(*names, F.col("b.j").alias("j"), cell.alias("v")).agg(F.count(F.lit(1)).alias("c"), F.first("b").alias("b"))
+    upto = F.sum("c").over(Window.partitionBy(*names, "j").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counts.withColumn("upto", upto).filter(F.col("v").isNotNull())
+    hit = lambda k: (F.col("upto") >= F.col(f"b.{k}")) & (F.col("upto") - F.col("c") < F.col(f"b.{k}"))
+    found = ranked.groupBy(*names, "j").agg(F.max(F.when(hit("k1"), F.col("v"))).alias("a"), F.max(F.when(hit("k2"), F.col("v"))).alias("z"),
+                                            F.first("b.part").alias("part"))
+    value = F.when(F.col("a") == F.col("z"), F.col("a")).otherwise(F.col("a") + (F.col("z") - F.col("a")) * F.col("part"))
+    wide = found.groupBy(*names).agg(*[F.max(F.when(F.col("j") == j, value)).alias(f"q{j}") for j in range(len(probs))])
+    wide = wide.select(*[F.col(n).alias(f"_r{i}") for i, n in enumerate(names)], *[f"q{j}" for j in range(len(probs))])
+    back = [F.col(n).eqNullSafe(F.col(f"_r{i}")) for i, n in enumerate(names)]
+    cond = back[0]
+    for c in back[1:]:
+        cond = cond & c
+    return stats.join(wide, cond, "left").select(*[F.col(n).alias(c) for n, c in zip(names, by)], *[f"q{j}" for j in range(len(probs))])
 
 
 def exact_quantiles(df: DataFrame, col: Column | str, probs: list[float]) -> list[float | None]:

@@ -15,10 +15,6 @@ def adjusted_skew(c: Column) -> Column:
     return F.when(n > 2, F.skewness(c) * F.sqrt(n * (n - 1)) / (n - 2))
 
 
-def population_skew(c: Column) -> Column:
-    return F.skewness(c)
-
-
 def half_even(c: Column, dp: int = 0) -> Column:
     """Python ``round`` semantics (banker's rounding, T11)."""
     return F.bround(c, dp)

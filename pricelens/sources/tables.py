@@ -41,11 +41,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    for name in names:
-        read_table(spark, sf_dir, name).createOrReplaceTempView(name)
-
-
 def _case(col: str, mapping: dict[str, float]):
     expr = None
     for k, v in mapping.items():
@@ -169,7 +164,7 @@ def with_device(sql_body: str, extra_ctes: str = "") -> str:
 
 
 __all__ = [
-    "TABLES", "KEY", "TARGET", "TEXT_COLS", "NUMERIC_COLS", "DEVICE_COLS", "read_table", "register_tables",
+    "TABLES", "KEY", "TARGET", "TEXT_COLS", "NUMERIC_COLS", "DEVICE_COLS", "read_table",
     "line_fact", "planted_target", "device_frame", "device_frame_sql", "with_device", "planted_target_sql",
     "hash_int_sql",
 ]

@@ -80,3 +80,22 @@ def test_selection_matches_numpy(spark, seed):
     assert n == len(x) and [small[k] for k in ks] == [srt[k - 1] for k in ks]
     large, _ = kth_largest(df, F.col("x"), [1, 5])
     assert large[1] == srt[-1] and large[5] == srt[-5]
+
+
+@pytest.mark.parametrize("accuracy", [10_000, 100])
+def test_quantiles_of_many_groups_are_exact(spark, monkeypatch, accuracy):
+    from pricelens.functions import selection
+    monkeypatch.setattr(selection, "ACCURACY", accuracy)
+    rng = np.random.default_rng(7)
+    rows = [(f"g{i % 40}" if i % 7 else None, int(i % 2), float(v)) for i, v in enumerate(np.round(rng.normal(size=6000) * 1e3, 1))]
+    rows += [("hot", 0, float(v)) for v in rng.lognormal(size=3000)] + [("one", 0, 5.0), ("none", 1, None), ("nan", 1, float("nan")), ("same", 1, 2.0), ("same", 1, 2.0)]
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    df = spark.createDataFrame(rows, "a string, b int, v double").repartition(5)
+    got = {(r["a"], r["b"]): [r[f"q{j}"] for j in range(5)] for r in selection.quantiles_by(df, ["a", "b"], "v", probs).collect()}
+    own = {}
+    for a, b, v in rows:
+        own.setdefault((a, b), []).append(v)
+    assert set(got) == set(own)
+    for key, values in own.items():
+        values = [v for v in values if v is not None and v == v]
+        assert got[key] == (pytest.approx(np.quantile(values, probs), rel=1e-12) if values else [None] * 5)
