@@ -258,6 +258,44 @@ def test_bootstrap_brackets_point_and_ignores_partitioning(spark):
     assert p["ci_low"] < p["rmse"] < p["ci_high"] and p["n_obs"] == 3000
 
 
+def test_every_replicate_draws_n_rows_by_the_multinomial(spark):
+    n, reps = 3 * bs.LEAF + 77, 4000
+    w = np.hstack([bs.leaf_weights(j, n, reps, 5) for j in range(4)])
+    assert w.shape == (reps, n) and (w.sum(axis=1) == n).all()
+    p = 1 / n
+    assert abs(w.var() - n * p * (1 - p)) < 0.01 and abs(w.mean(axis=0) - 1).max() < 5 / np.sqrt(reps)
+    part = w[:, :bs.LEAF].sum(axis=1)                       # draws of a leaf: binomial(n, size / n)
+    q = bs.LEAF / n
+    assert abs(part.mean() - n * q) < 4 * np.sqrt(n * q * (1 - q) / reps) and abs(part.var() / (n * q * (1 - q)) - 1) < 0.1
+    corr = np.corrcoef(part, w[:, -77:].sum(axis=1))[0, 1]  # parts of a multinomial: -sqrt(q r / ((1 - q)(1 - r)))
+    r = 77 / n
+    assert abs(corr + np.sqrt(q * r / ((1 - q) * (1 - r)))) < 0.06
+
+
+def test_exact_bootstrap_against_numpy(spark):
+    df = _errors(spark, 120, 2000, 9)
+    e = np.array([(r["y"] - r["pred"]) ** 2 for r in df.collect()])
+    draws = np.sqrt(e[np.random.default_rng(1).integers(0, 2000, (4000, 2000))].mean(axis=1))
+    got = bs.bootstrap_ci_bucketed(df, n_boot=4000).first()
+    want = np.quantile(draws, [0.025, 0.975])
+    slack = 4 * np.sqrt(2) * np.sqrt(0.025 * 0.975 / 4000) / 0.0584 * draws.std()     # four standard errors of two such quantiles
+    assert abs(got["ci_low"] - want[0]) < slack and abs(got["ci_high"] - want[1]) < slack
+    w = np.hstack([bs.leaf_weights(j, 2000, 4000, 12345) for j in range(4)])
+    assert abs(np.sqrt(w @ e / 2000).std() / draws.std() - 1) < 0.05
+
+
+def test_ranks_of_rows_and_awkward_groups(spark):
+    rows = [(g, f"k{i // 3}", 1.0, float(i % 7)) for g, n in (("a", 900), (None, 500), ("c", 1)) for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, ID string, y double, pred double").repartition(7)
+    base = df.select("g", F.xxhash64("ID").alias("_k"), F.col("pred").alias("_e"))
+    out = bs.ranked(base, ["g"], cell=64).toPandas()
+    for g, n in (("a", 900), (None, 500), ("c", 1)):
+        own = out[out["g"].isna() if g is None else out["g"] == g]
+        assert sorted(own["_rank"]) == list(range(n)) and set(own["_n"]) == {n}
+    assert bs.bootstrap_ci_bucketed(df.filter("g = 'c'"), n_boot=50).first()["ci_low"] == 1.0
+    assert bs.bootstrap_ci_bucketed(df.limit(0), n_boot=50, by=["g"]).count() == 0
+
+
 def test_grouped_bootstrap_is_the_bootstrap_of_each_group(spark):
     a, b = _errors(spark, 50, 900, 3), _errors(spark, 90, 700, 4)
     both = a.withColumn("model", F.lit("a")).unionByName(b.withColumn("model", F.lit("b"))).withColumn("iseed", F.lit(7)).repartition(5)
