@@ -127,6 +127,27 @@ def test_hot_group_is_cut_and_small_groups_stay(spark):
     assert len(hot) >= 3 and all(len(s) == 1 for s in place.values() if s is not hot)
 
 
+def test_a_third_of_all_rows_equal(spark):
+    rows = [(5, "a row that comes again and again " * 6, "s")] * 1000 + [(i, f"text {i} " * 20, "s") for i in range(2000)]
+    fair, largest = sum(len(t) + 16 for _, t, _ in rows) / 40, max(len(t) + 16 for _, t, _ in rows)
+    seen = []
+    for parts in (3, 11):
+        out = sd.sharded(make(spark, rows).repartition(parts)).collect()
+        check_shards(rows, out, 40, 0.02 * fair + 2 * largest)
+        seen.append(sorted((r["doc_id"], r["dk"], r["shard"], r["slot"]) for r in out))
+    assert seen[0] == seen[1]                      # which rows go where, up to rows equal in id and text
+    whole = sd.exchange(make(spark, rows).repartition(5))
+    assert sorted((r["doc_id"], r["shard"]) for r in whole.select("doc_id", "shard").collect()) == sorted((d, s) for d, _, s, _ in seen[0])
+
+
+def test_numbers_of_equal_keys(spark):
+    df = spark.range(700).select((F.col("id") % 3 * F.lit(7)).alias("k"), "id").repartition(6)
+    got = collections.defaultdict(list)
+    for r in sd.dealt(df, "k", "test-dealt").collect():
+        got[r["k"]].append(r["nth"])
+    assert {k: sorted(v) for k, v in got.items()} == {0: list(range(234)), 7: list(range(233)), 14: list(range(233))}
+
+
 def test_exchange_keeps_rows_and_agrees(spark):
     docs = table(spark, SF_SMALL, "documents")
     whole = sd.exchange(docs, 6)
