@@ -2,8 +2,9 @@
 
 A document is contaminated by a test item if it holds at least ``threshold`` of
 the item's distinct ``shingle``-word shingles (lower-cased words joined by one
-space; a text of fewer words is one shingle; a text without words has none and
-never matches).
+space). An item of fewer words is one shingle of as many words as it has, and
+documents are probed with shingles of that length too (only for the lengths that
+occur among the items); an item without words has none and never matches.
 
 Search: items are partitioned by size (distinct shingles, in powers of two, u
 being the partition's upper bound). An item's sketch holds its
@@ -39,32 +40,39 @@ THRESHOLD = 0.8
 BLOCK = 1_000_000
 
 
-def shingle_hashes(words: Column, k: int = SHINGLE) -> Column:
-    """64-bit hash of each shingle, from the hashes of its words."""
+def shingle_hashes(words: Column, lengths: list[int]) -> Column:
+    """64-bit hashes of the word sequences of each of the ``lengths``, from the hashes of their words."""
     def of(h):
-        whole = F.aggregate(h, F.lit(0).cast("long"), lambda acc, x: F.xxhash64(acc, x))
-        each = F.transform(F.sequence(F.lit(0), F.size(h) - k), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(k)]))
-        return F.when(F.size(h) >= k, each).when(F.size(h) > 0, F.array(whole)).otherwise(F.array().cast("array<long>"))
+        def each(k):
+            runs = F.transform(F.sequence(F.lit(0), F.size(h) - k), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(k)]))
+            return F.when(F.size(h) >= k, runs).otherwise(F.array().cast("array<long>"))
+        return each(lengths[0]) if len(lengths) == 1 else F.concat(*[each(k) for k in lengths])
 
     return let(F.transform(words, lambda w: F.xxhash64(w)), of)
 
 
-def shingle_texts(words: Column, k: int = SHINGLE) -> Column:
-    """Distinct shingles as text."""
+def shingle_texts(words: Column, lengths: list[int]) -> Column:
+    """Distinct word sequences of each of the ``lengths`` as text."""
     def of(w):
-        each = F.transform(F.sequence(F.lit(0), F.size(w) - k), lambda i: F.concat_ws(" ", *[F.get(w, i + j) for j in range(k)]))
-        return F.array_distinct(F.when(F.size(w) >= k, each).when(F.size(w) > 0, F.array(F.concat_ws(" ", w)))
-                                .otherwise(F.array().cast("array<string>")))
+        def each(k):
+            runs = F.transform(F.sequence(F.lit(0), F.size(w) - k), lambda i: F.concat_ws(" ", *[F.get(w, i + j) for j in range(k)]))
+            return F.when(F.size(w) >= k, runs).otherwise(F.array().cast("array<string>"))
+        return F.array_distinct(each(lengths[0]) if len(lengths) == 1 else F.concat(*[each(k) for k in lengths]))
 
     return let(words, of)
 
 
 def item_shingles(items: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """One row per item and distinct shingle: ik (item key), item_id, s, h, n (distinct shingles of the item)."""
+    """One row per item and distinct shingle: ik (item key), item_id, s, h, n (distinct shingles of the item), len (words
+    of a shingle)."""
     one = items.select("item_id", text_key(F.col("text")).alias("ik"), word_array(F.col("text")).alias("w")).distinct()
-    one = one.withColumn("ss", shingle_texts(F.col("w"), k))
-    rows = one.select("item_id", "ik", F.size("ss").cast("long").alias("n"), F.explode("ss").alias("s"))
-    return rows.withColumn("h", shingle_hashes(F.split("s", " "), k)[0])
+    long = F.size("w") >= k
+    one = one.withColumn("ss", F.when(long, shingle_texts(F.col("w"), [k])).when(F.size("w") > 0, F.array(F.concat_ws(" ", "w")))
+                         .otherwise(F.array().cast("array<string>"))).withColumn("len", F.least(F.size("w"), F.lit(k)))
+    rows = one.select("item_id", "ik", F.size("ss").cast("long").alias("n"), "len", F.explode("ss").alias("s"))
+    words = F.split("s", " ")
+    h = F.coalesce(*[F.when(F.col("len") == n, shingle_hashes(words, [n])[0]) for n in range(1, k + 1)])
+    return rows.withColumn("h", h)
 
 
 def sketches(shingles: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -80,9 +88,10 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, threshold: float = THR
     """One row per contaminated (document text, item): doc_id, dk (text key), item_id, n_item, n_shared, containment."""
     wanted = written(item_shingles(items, k), "decontam-items")
     sketch = written(sketches(wanted, threshold), "decontam-sketch")
+    lengths = sorted(r["len"] for r in wanted.select("len").distinct().collect()) or [k]    # at most k values
     blocks = max(1, math.ceil(sketch.count() / block))
     keyed = docs.select("doc_id", text_key(F.col("text")).alias("dk"), "text")
-    probes = keyed.select("doc_id", "dk", F.explode(shingle_hashes(word_array(F.col("text")), k)).alias("h"))
+    probes = keyed.select("doc_id", "dk", F.explode(shingle_hashes(word_array(F.col("text")), lengths)).alias("h"))
     found = None
     for i in range(blocks):
         part = sketch.filter(F.pmod(F.col("h"), F.lit(blocks)) == i)
@@ -91,7 +100,7 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, threshold: float = THR
     pairs = written(found.distinct(), "decontam-candidates")
     cand = pairs.select(F.col("doc_id").alias("c_id"), F.col("dk").alias("c_dk")).distinct()
     texts = keyed.join(cand, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("dk") == F.col("c_dk")), "left_semi")
-    have = texts.dropDuplicates(["doc_id", "dk"]).select("doc_id", "dk", F.explode(shingle_texts(word_array(F.col("text")), k)).alias("s"))
+    have = texts.dropDuplicates(["doc_id", "dk"]).select("doc_id", "dk", F.explode(shingle_texts(word_array(F.col("text")), lengths)).alias("s"))
     need = pairs.join(wanted.withColumnRenamed("item_id", "i_id").withColumnRenamed("ik", "i_k"),
                       F.col("item_id").eqNullSafe(F.col("i_id")) & (F.col("ik") == F.col("i_k"))).select("doc_id", "dk", "item_id", "ik", "n", "s")
     have = have.select(F.col("doc_id").alias("h_id"), F.col("dk").alias("h_dk"), F.col("s").alias("h_s"))

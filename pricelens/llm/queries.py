@@ -65,21 +65,23 @@ def op5(spark, sf_dir):
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-_SHINGLES = """list_transform(range(1, greatest(len(w) - 5, 0) + 2), lambda i: array_to_string(w[i:i + 4], ' '))"""
+_SHINGLES = """list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))"""
 
 
 @query("op6_benchmark_decontamination", f"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
-b AS (SELECT item_id, regexp_extract_all(lower(text), '[^\\x20\\x09-\\x0D]+') AS w FROM benchmark),
-ds AS (SELECT DISTINCT doc_id, unnest({_SHINGLES}) AS s FROM d WHERE len(w) > 0),
-bs AS (SELECT DISTINCT item_id, unnest({_SHINGLES}) AS s FROM b WHERE len(w) > 0),
+b AS (SELECT item_id, w, least(len(w), 5) AS k FROM
+      (SELECT item_id, regexp_extract_all(lower(text), '[^\\x20\\x09-\\x0D]+') AS w FROM benchmark) WHERE len(w) > 0),
+dk AS (SELECT doc_id, w, k FROM d JOIN (SELECT DISTINCT k FROM b) ON len(w) >= k),
+ds AS (SELECT DISTINCT doc_id, unnest({_SHINGLES}) AS s FROM dk),
+bs AS (SELECT DISTINCT item_id, unnest({_SHINGLES}) AS s FROM b),
 n AS (SELECT item_id, count(*) AS n_item FROM bs GROUP BY item_id),
 x AS (SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN bs USING (s) GROUP BY doc_id, item_id)
 SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment
 FROM x JOIN n USING (item_id) WHERE n_shared / n_item >= 0.8
 """)
 def op6(spark, sf_dir):
-    """Documents that hold at least 0.8 of a benchmark item's five-word shingles."""
+    """Documents that hold at least 0.8 of a benchmark item's five-word shingles (all of a shorter item)."""
     return decontamination.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 

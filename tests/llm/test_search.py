@@ -14,17 +14,26 @@ from pricelens.llm import topk as tk
 DOCS = "doc_id long, text string, source string"
 
 
-def shingles(text):
-    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
-    return {" ".join(w[i:i + 5]) for i in range(len(w) - 4)} or ({" ".join(w)} if w else set())
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+
+
+def shingles(text, k=5):
+    w = words(text)
+    return {" ".join(w[i:i + k]) for i in range(len(w) - k + 1)}
+
+
+def own_length(item):
+    return min(5, max(1, len(words(item))))
 
 
 def brute(docs, items):
     out = {}
     for d, t in docs:
+        have = {k: shingles(t, k) for k in range(1, 6)}
         for i, x in items:
-            need = shingles(x)
-            n = len(need & shingles(t))
+            need = shingles(x, own_length(x))
+            n = len(need & have[own_length(x)])
             if need and n / len(need) >= 0.8:
                 out[(d, i)] = max(out.get((d, i), (0, 0, 0)), (n / len(need), n, len(need)))
     return out
@@ -61,11 +70,22 @@ def test_containment_matches_brute_force(spark):
     assert got == brute(docs, items)
     clean = dc.decontaminate(d, b)
     assert clean.columns == d.columns
-    bad = {(i, t) for i, t in docs if any(shingles(x) and len(shingles(x) & shingles(t)) / len(shingles(x)) >= 0.8 for _, x in items)}
+    bad = {(i, t) for i, t in docs if brute([(i, t)], items)}
     rows = [(r["doc_id"], r["text"]) for r in clean.collect()]
     assert sorted(rows, key=repr) == sorted([r for r in docs if r not in bad], key=repr)
 
 
+def test_short_items_inside_longer_documents(spark):
+    items = [(1, "Blue whale"), (2, "alpha beta gamma"), (3, "one two  three four"), (4, "solo"), (5, "a b c d e")]
+    docs = [(1, "we saw a blue\nwhale off the coast of the far north today"), (2, "alpha beta gamma"), (3, "x alpha beta delta gamma"),
+            (4, "count one two three four five"), (5, "one two three"), (6, "SOLO"), (7, "a b c d"), (8, "z a b c d e"), (9, None), (10, ""),
+            (11, "bluewhale alone"), (12, "z " * 3000 + "beta gamma alpha beta gamma")]
+    d, b = spark.createDataFrame([(i, t, "s") for i, t in docs], DOCS), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in dc.contaminations(d, b).collect()}
+    assert got == set(brute(docs, items)) == {(1, 1), (2, 2), (4, 3), (6, 4), (8, 5), (12, 2)}
+    assert {r["doc_id"] for r in dc.decontaminate(d, b).collect()} == {3, 5, 7, 9, 10, 11}
+
+
 def test_blocks_of_a_large_benchmark_agree(spark):
     docs, items = corpus(1)
     d = spark.createDataFrame([(i, t, "s") for i, t in docs], DOCS)
