@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import aside, written
+from .common import aside, text_key, written
 
 SHINGLE = 3
 RADIUS = 3
@@ -252,14 +252,20 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id (nulls last), then the
-    smallest fingerprint. Repeated rows with that id and fingerprint count once."""
+    """``docs`` with one document of each component: the one with the smallest id (nulls last), then the smallest
+    fingerprint, then the smallest hash of the text, then of the row's columns (those that can be hashed: all but maps).
+    The survivor is the same over any partitioning; rows that agree in all of that count once. Null, empty and very
+    long texts have fingerprints like any other; an empty table stays empty."""
     plain = aside(docs)
-    rows = written(with_fingerprint(plain, ["doc_id"], shingle), "simhash-rows")
+    keyed = plain.withColumn("__dk", text_key(F.col("text")))
+    rows = written(with_fingerprint(keyed, ["doc_id", "__dk"], shingle), "simhash-rows")
     comps = fingerprint_components(rows, radius)
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("keep_id"))
-    best = (nodes.join(comps, "fp").filter(F.col("keep_id").eqNullSafe(F.col("component_id")))
-            .groupBy("root", "keep_id").agg(F.min("fp").alias("keep_fp")).select("keep_id", "keep_fp"))
-    tagged = with_fingerprint(plain, plain.columns, shingle, out="__fp")
-    kept = tagged.join(best, F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("__fp") == F.col("keep_fp")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "__fp"]).select(*plain.columns).toDF(*docs.columns)
+    nodes = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__dk")).alias("b"))
+    best = (nodes.join(comps, "fp").filter(F.col("b.doc_id").eqNullSafe(F.col("component_id")))
+            .groupBy("root").agg(F.min(F.struct("fp", "b.__dk", "b.doc_id")).alias("k"))
+            .select(F.col("k.doc_id").alias("keep_id"), F.col("k.__dk").alias("keep_dk")))
+    kept = keyed.join(best, F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("__dk") == F.col("keep_dk")), "left_semi")
+    hashed = [f.name for f in plain.schema if "map<" not in f.dataType.simpleString()]
+    first = F.min_by(F.struct(*plain.columns), F.xxhash64(*hashed))
+    out = kept.groupBy(F.col("doc_id").alias("__id"), "__dk").agg(first.alias("__row"))
+    return out.select("__row.*").toDF(*docs.columns)

@@ -98,6 +98,13 @@ def test_near_duplicates_and_keep_one(spark):
     assert ids == sorted(set(want), key=repr)
 
 
+def test_the_survivor_does_not_depend_on_partitioning(spark):
+    rows = [(4, "one two three four" + " " * i, "en", f"s{j}", 0) for i in range(5) for j in range(2)] + [(None, "one  two three four", "en", "s", 0)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("m", F.create_map(F.lit("k"), F.lit(1)))
+    kept = [sh.keep_one(df.repartition(n, *by)).collect() for n, by in ((1, ()), (3, ()), (7, ("text",)), (4, ("source",)))]
+    assert all(len(k) == 1 and k == kept[0] for k in kept) and kept[0][0]["doc_id"] == 4
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert sh.near_duplicates(df).count() == 0 and sh.keep_one(df).count() == 0
