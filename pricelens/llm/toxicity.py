@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import aside, written
+from .common import aside, text_key, written
 
 SAMPLE = 8000
 FEATURES = 256
@@ -167,10 +167,12 @@ def select_features(counts: pd.DataFrame, n1: int, n0: int, size: int = FEATURES
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE) -> DataFrame:
-    """At most ``sample`` labelled rows (doc_id, text, y, fold), smallest hash of the id first."""
+    """At most ``sample`` labelled rows (doc_id, text, y, fold), smallest hash of the id first. The bound holds again
+    after the join: rows that agree in id, text and label count once, smallest hash of id and text first."""
     y = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", (F.col(label) > 0).cast("int").alias("y"))
     picked = y.orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id", "y").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    rows = docs.select("doc_id", "text", text_key(F.col("text")).alias("dk")).join(F.broadcast(picked), "doc_id")
+    rows = rows.dropDuplicates(["doc_id", "dk", "y"]).orderBy(F.xxhash64("doc_id", "dk", F.lit(7)), "doc_id", "dk", "y").limit(sample)
     return rows.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(FOLDS)).cast("int"))
 
 
@@ -199,11 +201,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
 
     def design(batches):
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "y": pdf["y"], "fold": pdf["fold"],
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "dk": pdf["dk"], "y": pdf["y"], "fold": pdf["fold"],
                                 "x": list(chain.design(list(pdf["text"])).astype(np.float32))})
 
-    made = rows.mapInPandas(design, "doc_id long, y int, fold int, x array<float>").toPandas()
-    made = made.sort_values(["doc_id", "y"], kind="stable")
+    kind = T.StructType([rows.schema[c] for c in ("doc_id", "dk", "y", "fold")] + [T.StructField("x", T.ArrayType(T.FloatType()))])
+    made = rows.mapInPandas(design, kind).toPandas().sort_values(["doc_id", "dk", "y"], kind="stable")
     x, y = np.stack(made["x"].to_numpy()).astype(float), made["y"].to_numpy()
     hits = x[:, len(chain.vocab)]
     cats = np.stack([hits > 0, hits > math.log1p(2.5), y > 0], axis=1).astype(float)

@@ -108,6 +108,18 @@ def test_chain_feeds_out_of_fold_probabilities():
     assert ((held[:, 1] > 0.5) == (y[:, 1] == 1)).mean() > 0.85
 
 
+def test_toxicity_of_text_ids_and_of_a_hot_labelled_id(spark):
+    rows = [(f"d{i}", ("vile rotten filth " if i % 4 == 0 else "calm sunny walk ") + f"w{i % 7} w{i % 5}") for i in range(400)]
+    docs = spark.createDataFrame(rows + [("d1", "calm again")] * 300 + [("d1", f"calm {i}") for i in range(300)], "doc_id string, text string")
+    labels = spark.createDataFrame([(f"d{i}", int(i % 4 == 0)) for i in range(400)], "doc_id string, toxic int")
+    assert tx.labelled_sample(docs, labels, sample=250).count() == 250      # the bound holds after the join
+    own = tx.labelled_sample(docs, labels).filter("doc_id = 'd1'").collect()
+    assert len(own) == 302 and len({r["text"] for r in own}) == 302         # equal rows count once
+    out = tx.score(docs, tx.train(docs, labels)).groupBy(F.col("text").startswith("vile").alias("t")).agg(F.avg(F.col("rejected").cast("int")).alias("r"))
+    share = {r["t"]: r["r"] for r in out.collect()}
+    assert share[True] > 0.9 and share[False] < 0.02
+
+
 def test_toxicity_edges(spark):
     labels = spark.createDataFrame([(2, 1, 0), (4, 1, 1), (5, 1, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
     chain = tx.train(odd(spark), labels)
