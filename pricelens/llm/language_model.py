@@ -18,8 +18,9 @@ probabilities are averaged over ``SAMPLES`` seatings after ``BURN`` sweeps.
 Scale. What is gathered is the table of (context, word, count) over all training
 tokens; it grows with the corpus and stays in Spark. Dishes with one customer have
 one table and need no draw; for the others a sweep joins the context's gamma
-variable and the word's unigram probability and draws inside tasks, so a frequent
-context is spread over tasks by its words. Scoring sends each text's distinct
+variable and the word's unigram probability and draws inside tasks. The joins are by
+context and by word: the pairs of a frequent one meet in one partition of the join,
+which only the adaptive skew join splits. Scoring sends each text's distinct
 pairs to the pair table; pairs it doesn't hold are looked up by context and by word.
 The ``HEAD`` most frequent pairs and all pairs among the ``SYMBOLS`` most frequent words
 travel as bounded broadcasts instead: a shortcut with the same probabilities.

@@ -207,11 +207,13 @@ def fit(x: np.ndarray, y: np.ndarray) -> Additive:
 
 
 def train(features: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> Additive:
-    """Model from at most ``sample`` labelled rows; ``features``: doc_id and x."""
+    """Model from at most ``sample`` labelled rows; ``features``: doc_id and x. The bound holds for labels and again after
+    the join: rows that agree in id, features and label count once, smallest hash of id and features first."""
     y = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", (F.col(label) > 0).cast("int").alias("y"))
     picked = y.orderBy(F.xxhash64("doc_id", F.lit(9)), "doc_id", "y").limit(sample)
-    rows = features.select("doc_id", "x").join(F.broadcast(picked), "doc_id").toPandas()
-    rows = rows.sort_values(["doc_id", "y"], kind="stable")
+    rows = features.select("doc_id", "x", F.xxhash64("x").alias("xk")).join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id", "xk", "y"])
+    rows = rows.orderBy(F.xxhash64("doc_id", "xk", F.lit(9)), "doc_id", "xk", "y").limit(sample).toPandas()
+    rows = rows.sort_values(["doc_id", "xk", "y"], kind="stable")
     x = np.array(rows["x"].tolist(), np.float32).reshape(len(rows), len(FEATURES))
     return fit(x, rows["y"].to_numpy(float))
 

@@ -79,6 +79,19 @@ def test_additive_model_learns_an_interaction():
     assert (qu.fit(x, np.ones(6000)).score(x) > 0.99).all() and (qu.fit(x[:0], y[:0]).score(x[:3]) == 0.5).all()
 
 
+def test_quality_bound_holds_after_the_join(spark, monkeypatch):
+    from pricelens.llm.quality import FEATURES
+    n = len(FEATURES)
+    rows = [("hot", [float(i)] + [0.0] * (n - 1)) for i in range(60)] + [("hot", [1.0] * n)] * 500 + [(f"d{i}", [float(i % 3)] * n) for i in range(40)]
+    features = spark.createDataFrame(rows, "doc_id string, x array<float>").repartition(5)
+    labels = spark.createDataFrame([("hot", 1)] + [(f"d{i}", i % 2) for i in range(40)], "doc_id string, quality int")
+    seen = []
+    monkeypatch.setattr(qu, "fit", lambda x, y: seen.append((len(x), int(y.sum()))))
+    qu.train(features, labels)
+    qu.train(features, labels, sample=30)
+    assert seen[0] == (101, 81) and seen[1][0] == 30
+
+
 def test_quality_edges(spark):
     labels = spark.createDataFrame([(2, 1, 0), (4, 0, 0), (5, 1, 1), (5, 0, 1), (6, None, 0), (None, 1, 0), (99, 0, 0)], "doc_id long, quality int, toxic int")
     out = qu.rate(odd(spark), labels, ["doc_id"]).collect()
