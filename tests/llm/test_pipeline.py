@@ -78,7 +78,7 @@ def test_stages_take_awkward_rows(spark, name, stage):
 def test_run_and_registration(spark):
     import __spark_entry__ as e
     assert e.queries()["pipeline"] is cp.run and cp.ORACLE_SQL is None
-    assert {int(n[2:].split("_")[0]) for n in e.queries() if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in e.queries() if n.startswith("op")} == set(range(1, 14))
     out = cp.run(spark, SF)
     assert out.count() > 50 and "shard" in out.columns
     sources = {r["source"] for r in mixing.mix(table(spark, SF, "documents")).select("source").distinct().collect()}
