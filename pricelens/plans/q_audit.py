@@ -8,7 +8,7 @@ from ..operators import audit as au
 from ..operators import diagnostics as dg
 from ..operators import features as fe
 from ..operators.split import make_dev_holdout
-from ..sources.tables import DEVICE_COLS, device_frame
+from ..sources.tables import DEVICE_COLS, device_frame, device_rows
 from .q_diag import edges_sql, label_sql
 from .registry import query, rounded, sql_round
 from .sqlgen import with_ctes
@@ -114,7 +114,7 @@ def _hist_sql(expr, name):
 @query("au7_histograms", sql_round(with_ctes(_hist_sql("price", "price") + " UNION ALL " + _hist_sql("ln(price)", "log_price")),
                                    ["lo", "hi"]))
 def q_au7(spark, sf_dir):
-    d = device_frame(spark, sf_dir).select("price")
+    d = device_rows(spark, sf_dir, "price")
     return rounded(au.histogram(d, F.col("price"), 80, "price").unionByName(au.histogram(d, F.log("price"), 80, "log_price")))
 
 

@@ -11,7 +11,7 @@ from ..operators import cv
 from ..operators import diagnostics as dg
 from ..operators.group_models import fit_closed_form
 from ..operators.split import make_dev_holdout
-from ..sources.tables import device_frame
+from ..sources.tables import device_rows
 from ..functions.portable import unit_sql
 from .q_models import RIDGE1
 from .registry import query, rounded, sql_round
@@ -21,7 +21,7 @@ FEATS = ["gpu_model", "device_type", "brand", "os", "form_factor"]
 
 
 def diag_base(spark, sf_dir):
-    p = cv.cv_predictions_closed(device_frame(spark, sf_dir), RIDGE1, roles=("val",), carry=FEATS)
+    p = cv.cv_predictions_closed(device_rows(spark, sf_dir, "ID", "price", *FEATS), RIDGE1, roles=("val",), carry=FEATS)
     return p.select("ID", "y", F.round("pred", 6).alias("pred"), *FEATS)
 
 
@@ -158,7 +158,7 @@ def q_dg9(spark, sf_dir):
     "cells AS (SELECT gpu_model, avg(y) ybar, count(*) / (count(*) + 100.0::DOUBLE) w FROM hs WHERE role = 'dev' GROUP BY gpu_model)",
     "bb AS (SELECT sum(w * ybar) / sum(w) AS b FROM cells)"), ["holdout_rmse", "baseline_rmse"]))
 def q_dg10(spark, sf_dir):
-    d = make_dev_holdout(device_frame(spark, sf_dir)).select("ID", "gpu_model", F.col("price").alias("y"),
+    d = make_dev_holdout(device_rows(spark, sf_dir, "ID", "gpu_model", "price")).select("ID", "gpu_model", F.col("price").alias("y"),
                                                               F.col("split").alias("role"), F.lit(0).alias("m"))
     dev = d.filter(F.col("role") == "dev")
     model = fit_closed_form(RIDGE1, dev.withColumnRenamed("y", "price"), ["m"], "price")
