@@ -13,21 +13,21 @@ from ..operators.split import nested_prefixes
 from ..operators.stages import build_model
 from ..session import scratch_path, written
 from ..sources import io
-from ..sources.tables import device_frame
+from ..sources.tables import DEVICE_COLS, device_frame, device_rows
 from ..operators.split import make_dev_holdout
 from .registry import query, rounded, sql_round
 from .sqlgen import closed_form_preds_ctes, cv_summary_sql, with_ctes
 
 
 def _fit_ridge(spark, sf_dir):
-    d = make_dev_holdout(device_frame(spark, sf_dir))
+    d = make_dev_holdout(device_rows(spark, sf_dir, *DEVICE_COLS))
     model = build_model("ridge", alpha=10.0).fit(d.filter(F.col("split") == "dev"))
     return d, model
 
 
 def _fit_one_factor(spark, sf_dir):
     """The saved-model form of the closed-form ridge on one column, so that scoring has an oracle."""
-    d = make_dev_holdout(device_frame(spark, sf_dir).select("ID", "gpu_model", "price"))
+    d = make_dev_holdout(device_rows(spark, sf_dir, "ID", "gpu_model", "price"))
     model = build_model("ridge", alpha=10.0).fit(d.filter(F.col("split") == "dev"))
     return d, model
 
@@ -87,7 +87,7 @@ def _pooled_sql():
 @query("io8_oof_cache", _pooled_sql())
 def q_io8(spark, sf_dir):
     from .q_models import RIDGE1
-    dev = device_frame(spark, sf_dir)
+    dev = device_rows(spark, sf_dir, "ID", "price", "gpu_model")
     path = scratch_path(spark, f"io8/{uuid.uuid4().hex[:8]}")
     n = dev.count()
 
@@ -146,7 +146,7 @@ def _leaderboard_sql():
 
 
 def _tracked(spark, sf_dir):
-    dev = device_frame(spark, sf_dir)
+    dev = device_rows(spark, sf_dir, "ID", "price", "gpu_model", "device_type")
     tracker = io.ExperimentTracker(spark, scratch_path(spark, f"io10/{uuid.uuid4().hex[:8]}/results"))
     for name, spec in _logged():
         summary, secs = cv.timed(lambda sp=spec, nm=name: written(cv.cv_summary(cv.cv_predictions_closed(dev, sp), nm), "summary"))
@@ -166,12 +166,13 @@ def q_io10(spark, sf_dir):
 
 
 def _streamed(spark, d, model):
-    """``d`` written as arriving files and scored as a stream."""
+    """``d`` written as arriving files, four at least and as many as it has partitions, and scored as a stream."""
     from ..streaming.score_stream import score_stream
     run = uuid.uuid4().hex[:8]
     src = scratch_path(spark, f"st1/{run}/incoming")
     raw = d.drop("split", "price")
-    raw.repartition(4).write.mode("overwrite").parquet(src)
+    raw = raw if raw.rdd.getNumPartitions() >= 4 else raw.repartition(4)
+    raw.write.mode("overwrite").parquet(src)
     out = scratch_path(spark, f"st1/{run}/scored")
     q = score_stream(spark, src, raw.schema, model, out, scratch_path(spark, f"st1/{run}/ckpt"))
     q.awaitTermination()
@@ -203,7 +204,7 @@ def lc_sizes(n: int) -> tuple[int, list[int]]:
 
 
 def learning_curve_points(spark, sf_dir):
-    d = device_frame(spark, sf_dir).select("ID", "gpu_model", "price")
+    d = device_rows(spark, sf_dir, "ID", "gpu_model", "price")
     n_val, each = lc_sizes(d.count())
     parts = []
     for s in LC_SEEDS:
