@@ -1,6 +1,7 @@
 """The ordered-statistics stage: no row sees its own target, new rows look up, the fitted pipeline is saved whole."""
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -43,6 +44,30 @@ def test_ordered_statistics_match_a_loop(rows, monkeypatch, chunk):
             seen[c, r[c]].append(r["y"])
 
 
+def _plan(df):
+    return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "extended")
+
+
+def test_ordered_statistics_and_small_level_tables_move_no_row_twice(spark, rows):
+    full = en.missing_sentinel(rows, ["a", "b"])
+    stats = ordered_stats(full, ["a", "b"], "y", "ID", 1.0, 42)
+    assert not re.search(r"hashpartitioning\((ID|_k)#", _plan(stats))       # nothing long is gathered by the key
+    model = OrderedTargetEncoder(colsJson='["a", "num", "b"]', labelCol="y").fit(rows)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" not in _plan(model.transform(rows))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_ordered_statistics_of_repeated_missing_and_single_rows(spark):
+    data = [("k1", "x", 1.0), ("k2", "x", 2.0), ("k2", "x", 2.0), (None, "x", 9.0), ("k3", "never", None)]
+    out = ordered_stats(spark.createDataFrame(data, "ID string, a string, y double"), ["a"], "y", "ID", 1.0, 42).collect()
+    assert sorted(r["ID"] for r in out) == ["k1", "k2", "k2", "k3"]          # a row without a key is not encoded
+    assert len({r["ts"][0] for r in out if r["ID"] == "k2"}) == 1
+    assert {r["ts"][0] for r in out if r["ID"] == "k3"} == {3.5}             # the first of its level: the prior
+
+
 def test_new_rows_look_up_and_unseen_levels_have_the_prior(spark, rows):
     model, train = OrderedTargetEncoder(colsJson='["a", "num", "b"]', labelCol="y").fit_rows(rows)
     assert train.count() == 300 and train.columns == ["features", "y"]
