@@ -11,7 +11,7 @@ from ..operators import cv
 from ..operators import diagnostics as dg
 from ..operators.group_models import fit_closed_form
 from ..operators.split import make_dev_holdout
-from ..sources.tables import device_rows
+from ..sources.tables import device_rows, fold_rows
 from ..functions.portable import unit_sql
 from .q_models import RIDGE1
 from .registry import query, rounded, sql_round
@@ -20,9 +20,11 @@ from .sqlgen import closed_form_preds_ctes, with_ctes
 FEATS = ["gpu_model", "device_type", "brand", "os", "form_factor"]
 
 
-def diag_base(spark, sf_dir):
-    p = cv.cv_predictions_closed(device_rows(spark, sf_dir, "ID", "price", *FEATS), RIDGE1, roles=("val",), carry=FEATS)
-    return p.select("ID", "y", F.round("pred", 6).alias("pred"), *FEATS)
+def diag_base(spark, sf_dir, *carry):
+    """The diagnosed predictions with the columns ``carry`` of their rows: what a query doesn't read is neither shuffled nor written."""
+    rows = fold_rows(spark, sf_dir, *dict.fromkeys(["price", RIDGE1["level"], *carry]))
+    p = cv.cv_predictions_folded(rows, RIDGE1, roles=("val",), carry=list(carry))
+    return p.select("y", F.round("pred", 6).alias("pred"), *carry)
 
 
 DIAG_CTES = [
@@ -115,7 +117,7 @@ def q_dg6(spark, sf_dir):
     "SELECT ID, y AS price, round(pred, 1) AS pred, round(y - pred, 1) AS residual, device_type, brand, gpu_model "
     "FROM diag ORDER BY abs(y - pred) DESC, ID LIMIT 15", *DIAG_CTES), ["price", "pred", "residual"]))
 def q_dg7(spark, sf_dir):
-    return rounded(dg.worst_rows(diag_base(spark, sf_dir), 15, ["device_type", "brand", "gpu_model"]))
+    return rounded(dg.worst_rows(diag_base(spark, sf_dir, "ID", "device_type", "brand", "gpu_model"), 15, ["device_type", "brand", "gpu_model"]))
 
 
 LIFT_COLS = ["device_type", "brand", "os", "form_factor"]
@@ -133,7 +135,7 @@ LIFT_COLS = ["device_type", "brand", "os", "form_factor"]
         f"SELECT abs(y - pred) > (SELECT t FROM thr) AS big, '{c}' AS col_name, CAST({c} AS VARCHAR) AS value FROM diag"
         for c in LIFT_COLS) + ")"), ["lift"]))
 def q_dg8(spark, sf_dir):
-    return rounded(dg.segment_lift(diag_base(spark, sf_dir), LIFT_COLS).withColumn("rank", F.col("rank").cast("int")))
+    return rounded(dg.segment_lift(diag_base(spark, sf_dir, *LIFT_COLS), LIFT_COLS).withColumn("rank", F.col("rank").cast("int")))
 
 
 SCREEN_PAIRS = [("gpu_model", "device_type"), ("brand", "os"), ("device_type", "form_factor")]
@@ -144,7 +146,7 @@ SCREEN_PAIRS = [("gpu_model", "device_type"), ("brand", "os"), ("device_type", "
     f"count(*) AS cells, min(n) AS min_cell FROM (SELECT {a}, {b}, count(*) AS n, sum(y - pred) AS s, "
     f"sum((y - pred) ^ 2) AS q FROM diag GROUP BY {a}, {b})" for a, b in SCREEN_PAIRS), *DIAG_CTES), ["explained"]))
 def q_dg9(spark, sf_dir):
-    d = diag_base(spark, sf_dir).withColumn("r", F.col("y") - F.col("pred"))
+    d = diag_base(spark, sf_dir, *dict.fromkeys(c for pair in SCREEN_PAIRS for c in pair)).withColumn("r", F.col("y") - F.col("pred"))
     return rounded(dg.interaction_screen(d, SCREEN_PAIRS))
 
 

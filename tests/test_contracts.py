@@ -16,6 +16,7 @@ from pricelens.operators.features import FeatureConfig, engineer
 from pricelens.operators.split import assign_folds, make_dev_holdout, sample_rows
 from pricelens.operators.stages import FeatureEngineer, Representation, build_model, make_estimator
 from pricelens.sources import io
+from pricelens.sources.tables import device_frame, fold_rows
 
 
 # ---------------------------------------------------------------------------- schema and representation
@@ -107,6 +108,27 @@ def test_csv_refuses_missing_columns_and_bad_rows(spark):
         io.load_raw(spark, _csv("ID,a,b\nk,1,2,3\n"), SCHEMA).collect()
 
 
+# ---------------------------------------------------------------------------- diagnosed rows
+def test_fold_rows_are_the_folded_device_rows_without_what_nobody_reads(spark, tmp_path):
+    lines = [(o, p, 7, n, float(n), 10.25 * n, 0.01, 0.02, "R", "F") for o in (1, 2, 3, None) for p in (1, 2, 9) for n in (1, 2)]
+    tables = {
+        "lineitem": (lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                            "l_discount double, l_tax double, l_returnflag string, l_linestatus string"),
+        "part": ([(1, "a b", "B1", "PROMO", 3, 5.0), (2, None, "B2", None, 4, 6.0)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"),
+        "orders": ([(1, "O", 9.0, "1-URGENT"), (2, "F", 8.0, None), (2, "P", 7.0, "2-HIGH")], "o_orderkey long, o_orderstatus string, o_totalprice double, o_orderpriority string"),
+    }
+    for name, (rows, schema) in tables.items():
+        df = spark.createDataFrame(rows, schema)
+        df = df.withColumn("o_orderdate", F.lit("1995-01-02").cast("timestamp")) if name == "orders" else df
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    cols = ["price", "gpu_model", "os", "ID"]
+    want = assign_folds(device_frame(spark, str(tmp_path)).select(*cols)).select("repeat", "fold", *cols)
+    got = fold_rows(spark, str(tmp_path), *cols)
+    assert got.columns == want.columns and got.count() == 12
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert fold_rows(spark, str(tmp_path), "price", "gpu_model").columns == ["repeat", "fold", "price", "gpu_model"]
+
+
 # ---------------------------------------------------------------------------- selection
 def test_quantiles_over_the_range_of_a_double(spark):
     rng = np.random.default_rng(3)
