@@ -286,3 +286,25 @@ def test_secret_edges(spark):
     assert not {1, 2, 3, 4} & {d for d, _ in got}
     assert se.scan(docs).count() == found.count()
     assert se.scan(docs.limit(0)).count() == 0
+
+
+def test_pairs_are_counted_and_found_in_any_number_of_blocks(spark, monkeypatch):
+    """Rows of arrays leave the tasks, however texts are cut into slices and blocks; draws keep their seeds."""
+    texts = ["the cat sat on  the mat\n", "The dog\tsat", None, " ", "Ä ä the " + "x" * 70, "the the the cat", "a\x0bb\x0cc\rd"] * 4
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    want = Counter(p for t in texts for w in [(t or "").encode().lower().split()] for p in zip([b"", *w], [*w, b""]))
+    keys = spark.createDataFrame([(b"ab" * k, b"xyz" * k) for k in range(30)], "u binary, w binary").select("u", "w", F.xxhash64(F.lit(3), "u", "w").alias("k")).collect()
+    u, w = (lm.pa.array([bytes(r[c]) for r in keys], lm.pa.binary()) for c in ("u", "w"))
+    assert (lm.word_keys(w, lm.word_keys(u, lm.salted(3, 30))).view(np.int64) == [r["k"] for r in keys]).all()
+    seen = []
+    for window, block in ((40, 20), (10**6, 10**6)):
+        monkeypatch.setattr(lm, "WINDOW", window)
+        monkeypatch.setattr(lm, "BLOCK", block)
+        blocks, hot = lm.layout(df)
+        rows = lm.kinds(lm.pair_counts(df, blocks, hot)[0], "pairs").collect()
+        got = Counter({(bytes(r["words"][a]), bytes(r["words"][b])): n for r in rows for a, b, n in zip(r["u"], r["w"], r["n"])})
+        assert got == want and 1 < len(rows) <= blocks and sum(len(r["u"]) for r in rows) == len(want)
+        monkeypatch.setattr(lm, "HEAD", 2)
+        monkeypatch.setattr(lm, "SYMBOLS", 1)
+        seen.append({r["doc_id"]: r["score"] for r in lm.score(df, *lm.train(df), ["doc_id"]).collect()})
+    assert seen[0].keys() == seen[1].keys() == set(range(len(texts))) and all(seen[0][i] == pytest.approx(seen[1][i]) for i in seen[0])
