@@ -51,3 +51,10 @@ def test_squared_errors_follow_from_the_cross_products(spark):
     for r in got:
         own = want[(r["variant"], r["fold"], r["role"])]
         assert r["n"] == own["n"] and r["rmse"] == pytest.approx(own["rmse"], rel=1e-9)
+
+
+def test_errors_of_rows_without_a_target_are_null(spark):
+    d = _rows(spark).withColumn("price", F.when(F.col("many") < 0.99, F.col("price")))
+    products = ln.CrossProducts(d, ["g", "few"])
+    for absolute in (True, False):
+        assert all(r["rmse"] is None for r in products.scan({"v": (["g", "few"], "levels")}, [1.0], absolute=absolute).collect())
